@@ -96,9 +96,8 @@ END
 
 
 def lenient_double(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", coerce.text_to_double(F.expr(DIRTY_PRICE)).alias("price")
-    )
+    dirty = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(DIRTY_PRICE).alias("text"))
+    return dirty.select("l_orderkey", "l_linenumber", coerce.text_to_double(F.col("text")).alias("price"))
 
 
 LENIENT_DOUBLE = r"""
@@ -123,10 +122,9 @@ END
 
 
 def lax_int(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rank = coerce.text_to_int(F.expr(DIRTY_RANK))
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", rank.alias("rank"), rank.isNull().alias("rejected")
-    )
+    dirty = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(DIRTY_RANK).alias("text"))
+    ranked = dirty.select("l_orderkey", "l_linenumber", coerce.text_to_int(F.col("text")).alias("rank"))
+    return ranked.withColumn("rejected", F.col("rank").isNull())
 
 
 LAX_INT = r"""

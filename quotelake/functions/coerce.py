@@ -14,12 +14,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: accepted spellings ---------------------------------------------
-BLANKS = r"[ \t\n\x0B\f\r\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+BLANKS = (
+    " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 DIGITS = r"[0-9]+(?:_[0-9]+)*"
-FLOAT_TEXT = rf"^[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?$"
-INFINITY_TEXT = r"^[+-]?(?i:inf|infinity)$"
-NAN_TEXT = r"^[+-]?(?i:nan)$"
-INT_TEXT = rf"^[+-]?{DIGITS}(?:\.0+)?$"
+PLAIN_DECIMAL = r"^-?[0-9]+(?:\.[0-9]+)?\z"
+# group 1 is what Spark's cast takes, which knows no sign before nan
+FLOAT_TEXT = (
+    r"^(?:[+-](?=(?i:nan)\z))?("
+    rf"[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?"
+    r"|[+-]?(?i:inf|infinity)|(?i:nan))\z"
+)
+INT_TEXT = rf"^([+-]?{DIGITS})(?:\.0+)?\z"
 INT_MIN, INT_MAX = -2147483648, 2147483647
 # --- end of fixed values ----------------------------------------------------------
 
@@ -31,34 +38,31 @@ _AS_ASCII = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
 
 
 def strip_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{BLANKS}+|{BLANKS}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
-def text_to_double(text: Column) -> Column:
-    """Lenient: anything that is not a number becomes NULL and never rejects a record."""
-    ascii_text = F.when(
-        text.rlike(r"[^\x00-\x7F]"), F.translate(text, _OTHER_DIGITS, _AS_ASCII)
-    ).otherwise(text)
-    bare = strip_blanks(ascii_text)
-    return (
-        F.when(bare.rlike(FLOAT_TEXT), F.translate(bare, "_", "").try_cast("double"))
-        .when(
-            bare.rlike(INFINITY_TEXT),
-            F.when(bare.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))),
-        )
-        .when(bare.rlike(NAN_TEXT), F.lit(float("nan")))
-    )
+def _accepted(text: Column, pattern: str) -> Column:
+    """Group 1 of the pattern without digit separators, or an empty text."""
+    return F.translate(F.regexp_extract(strip_blanks(text), pattern, 1), "_", "")
 
 
-def _in_int_range(number: Column) -> Column:
-    return number.between(F.lit(float(INT_MIN)), F.lit(float(INT_MAX)))
+# The generated code of a cast has to stay small: Java does not compile methods beyond
+# 8000 bytes.  So a value passes one cheap pattern or one general one, never a list.
+
+
+def text_to_double(text: Column) -> Column:
+    """Lenient: anything that is not a number becomes NULL and never rejects a record."""
+    general = _accepted(F.translate(text, _OTHER_DIGITS, _AS_ASCII), FLOAT_TEXT)
+    return F.when(text.rlike(PLAIN_DECIMAL), text).otherwise(general).try_cast("double")
 
 
 def text_to_int(text: Column) -> Column:
     """``'5'``, ``' 5 '``, ``'5.0'`` and ``'1_000'`` are integers; NULL when not one."""
-    bare = strip_blanks(text)
-    number = F.when(bare.rlike(INT_TEXT), F.translate(bare, "_", "").try_cast("double"))
-    return F.when(_in_int_range(number), number.cast("int"))
+    return _accepted(text, INT_TEXT).try_cast("int")
+
+
+def _in_int_range(number: Column) -> Column:
+    return number.between(F.lit(float(INT_MIN)), F.lit(float(INT_MAX)))
 
 
 # --- JSON values (VARIANT columns) --------------------------------------------------
@@ -74,19 +78,26 @@ def json_to_string(value: Column) -> Column:
     return F.when(json_kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
+def json_number(value: Column) -> Column:
+    """Numbers and booleans as double, the rest NULL; take strings by text_to_double."""
+    return F.try_variant_get(value, "$", "double")
+
+
+def integral(number: Column) -> Column:
+    """A double without fraction and in range as int, the rest NULL."""
+    return F.when(_in_int_range(number) & (number == F.floor(number)), number.cast("int"))
+
+
 def json_to_double(value: Column) -> Column:
     """Numbers and booleans as they are, strings by :func:`text_to_double`, the rest NULL."""
-    return F.when(
-        json_kind(value) == "STRING", text_to_double(F.try_variant_get(value, "$", "string"))
-    ).otherwise(F.try_variant_get(value, "$", "double"))
+    text = json_to_string(value)
+    return F.when(text.isNotNull(), text_to_double(text)).otherwise(json_number(value))
 
 
 def json_to_int(value: Column) -> Column:
     """Integral numbers, booleans and integer texts; NULL for the rest."""
-    number = F.try_variant_get(value, "$", "double")
-    return F.when(
-        json_kind(value) == "STRING", text_to_int(F.try_variant_get(value, "$", "string"))
-    ).when(_in_int_range(number) & (number == F.floor(number)), number.cast("int"))
+    text = json_to_string(value)
+    return F.when(text.isNotNull(), text_to_int(text)).otherwise(integral(json_number(value)))
 
 
 def json_is_missing(value: Column) -> Column:

@@ -75,44 +75,47 @@ def _merged_columns(
 
 
 def merge(
-    current: DataFrame,
-    folded: DataFrame,
-    policy: UpsertPolicy,
-    now: Column | None = None,
-    small: bool = False,
+    current: DataFrame, folded: DataFrame, policy: UpsertPolicy, now: Column | None = None
 ) -> DataFrame:
     """The stored rows after the folded batch is applied; both sides unique by key.
 
-    By default one full outer join on the key, which shuffles both sides.  With
-    ``small=True`` the caller vouches that the batch has at most ``BROADCAST_ROWS`` rows:
-    the stored rows then stay where they are, are updated by a broadcast left join, and
-    the new keys are added from the batch.
+    One full outer join on the key.  The fold has already placed the batch by key, so the
+    join shuffles the stored side only.
     """
-    columns = current.columns
-    if not small:
-        o = current.withColumn("_stored", F.lit(True)).alias("o")
-        n = folded.withColumn("_loaded", F.lit(True)).alias("n")
-        joined = o.join(n, _same_key(policy), "full_outer")
-        stored, loaded = F.col("o._stored").isNotNull(), F.col("n._loaded").isNotNull()
-        return joined.select(*_merged_columns(columns, policy, now, stored, loaded))
+    o = current.withColumn("_stored", F.lit(True)).alias("o")
+    n = folded.withColumn("_loaded", F.lit(True)).alias("n")
+    joined = o.join(n, _same_key(policy), "full_outer")
+    stored, loaded = F.col("o._stored").isNotNull(), F.col("n._loaded").isNotNull()
+    return joined.select(*_merged_columns(current.columns, policy, now, stored, loaded))
+
+
+def merge_small(
+    current: DataFrame, folded: DataFrame, policy: UpsertPolicy, now: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`merge` for a batch of at most ``BROADCAST_ROWS`` rows, which the caller checks.
 
+    Returns the stored rows, updated where they are by a broadcast left join, and the new
+    rows of the batch.  The stored side is scanned twice, the second time for its keys
+    only, and never shuffled.
+    """
+    columns = current.columns
     n = F.broadcast(folded.withColumn("_loaded", F.lit(True))).alias("n")
     updated = (
         current.alias("o")
         .join(n, _same_key(policy), "left")
         .select(*_merged_columns(columns, policy, now, F.lit(True), F.col("n._loaded").isNotNull()))
     )
-    batch_keys = folded.select(*policy.keys)
-    known = current.select(*policy.keys).join(F.broadcast(batch_keys), list(policy.keys), "left_semi")
+    keys = list(policy.keys)
+    known = current.select(*keys).join(F.broadcast(folded.select(*keys)), keys, "left_semi")
     # known is a subset of the batch's keys, so it is as small as the batch
-    fresh = folded.join(F.broadcast(known), list(policy.keys), "left_anti")
+    fresh = folded.join(F.broadcast(known), keys, "left_anti")
     inserted = fresh.select(
         *[
             (now if c in policy.stamps else F.col(c)).cast(current.schema[c].dataType).alias(c)
             for c in columns
         ]
     )
-    return updated.unionByName(inserted)
+    return updated, inserted
 
 
 def _same_key(policy: UpsertPolicy) -> Column:
@@ -131,8 +134,15 @@ def upsert(
     now: Column | None = None,
     small: bool = False,
 ) -> DataFrame:
-    """Fold ``batch`` in ``order``, then merge it into ``current``."""
-    return merge(current, fold_batch(batch, policy, order), policy, now, small)
+    """Fold ``batch`` in ``order``, then merge it into ``current``.
+
+    ``small=True`` vouches for at most ``BROADCAST_ROWS`` rows in the batch.
+    """
+    folded = fold_batch(batch, policy, order)
+    if not small:
+        return merge(current, folded, policy, now)
+    updated, inserted = merge_small(current, folded, policy, now)
+    return updated.unionByName(inserted)
 
 
 def upsert_delta(current: DataFrame, batch: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -30,17 +30,17 @@ def _lookup(df: DataFrame, field: FieldSpec) -> tuple[str, Column | None]:
     return kind, _first_present([F.col(n) for n in held])
 
 
-def _typed(df: DataFrame, field: FieldSpec) -> tuple[Column, Column]:
-    """The typed value of a field and whether the raw value is missing (absent or null)."""
-    how, raw = _lookup(df, field)
-    spark_type = {"string": "string", "double": "double", "int": "int"}[field.kind]
-    if raw is None:
-        return F.lit(None).cast(spark_type), F.lit(True)
-    if how == "json":
-        convert = {"string": coerce.json_to_string, "double": coerce.json_to_double, "int": coerce.json_to_int}
-        return convert[field.kind](raw), coerce.json_is_missing(raw)
-    convert = {"string": lambda c: c.cast("string"), "double": coerce.text_to_double, "int": coerce.text_to_int}
-    return convert[field.kind](raw), raw.isNull()
+def _typed(field: FieldSpec, how: str) -> Column:
+    """The typed value from the staged columns of a field."""
+    raw = F.col(f"_{field.name}")
+    if field.kind == "string":
+        return coerce.json_to_string(raw) if how == "json" else raw.cast("string")
+    from_text = coerce.text_to_double if field.kind == "double" else coerce.text_to_int
+    if how == "text":
+        return from_text(raw)
+    text, number = F.col(f"_{field.name}_text"), F.col(f"_{field.name}_number")
+    from_number = number if field.kind == "double" else coerce.integral(number)
+    return F.when(text.isNotNull(), from_text(text)).otherwise(from_number)
 
 
 def _reasons(field: FieldSpec, missing: str) -> list[Column]:
@@ -65,11 +65,25 @@ def validate(df: DataFrame, spec: SourceSpec) -> DataFrame:
     fields live on in ``payload`` only.
     """
     carried = [c for c in ("ord", "payload", MALFORMED) if c in df.columns]
-    typed = {f.name: _typed(df, f) for f in spec.fields}
-    values = [value.alias(name) for name, (value, _) in typed.items()]
+    found = {f.name: _lookup(df, f) for f in spec.fields}
+    nothing = F.lit(None).cast("string")
+    # Staged selects: each JSON path is followed once, each text is taken out once.
+    raw = df.select(
+        *carried, *[(nothing if c is None else c).alias(f"_{n}") for n, (_, c) in found.items()]
+    )
+    numeric = [f.name for f in spec.fields if f.kind != "string" and found[f.name][0] == "json"]
+    staged = raw.select(
+        "*",
+        *[coerce.json_to_string(F.col(f"_{n}")).alias(f"_{n}_text") for n in numeric],
+        *[coerce.json_number(F.col(f"_{n}")).alias(f"_{n}_number") for n in numeric],
+    )
+    values = [_typed(f, found[f.name][0]).alias(f.name) for f in spec.fields]
     int_fields = [f.name for f in spec.fields if f.kind == "int"]
-    flags = [typed[n][1].alias(f"_{n}_missing") for n in int_fields]
-    checked = df.select(*carried, *values, *flags)
+    missing = {
+        n: coerce.json_is_missing(F.col(f"_{n}")) if found[n][0] == "json" else F.col(f"_{n}").isNull()
+        for n in int_fields
+    }
+    checked = staged.select(*carried, *values, *[m.alias(f"_{n}_missing") for n, m in missing.items()])
     reasons = [r for f in spec.fields for r in _reasons(f, f"_{f.name}_missing")]
     if MALFORMED in carried:
         reasons = [

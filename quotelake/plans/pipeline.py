@@ -96,7 +96,7 @@ def load_batch(
     if processed:
         good = landed.filter(F.col("status") == "ok")
         batch = with_identity(unify(good, spec, F.lit(now), keep=("ord",)))
-        lake.unified.upsert(batch, unified_policy(spec), ("ord",), batch_id, now, processed)
+        lake.unified.upsert(batch, unified_policy(spec), ("ord",), batch_id, now)
     if drift and spec.expected_types:
         lake.drift.append(drift_rows(landed, spec, now, drift).select(*lake.drift.schema.names))
     return processed, failed
@@ -110,8 +110,7 @@ def with_identity(unified: DataFrame) -> DataFrame:
 def drift_rows(landed: DataFrame, spec: SourceSpec, now: datetime, form: str) -> DataFrame:
     if form not in ("rows", "summary"):
         raise ValueError("drift is 'rows' or 'summary'")
-    records = landed.select(F.try_parse_json("payload").alias("record"))
-    found = drifts.detect(records, spec.expected_types, spec.name, F.lit(now))
+    found = drifts.detect(landed, spec.expected_types, spec.name, F.lit(now), record="payload")
     if form == "rows":
         return found
     return drifts.summarize(found).withColumns({"detected_at": F.lit(now), "resolved": F.lit(False)})

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotelake.operators.paging import offset_page
 from quotelake.schemas import NEVER_RUN, QUOTE_COLUMNS, RUN_COLUMNS
+from quotelake.session import local_rows
 from quotelake.specs import SOURCES
 
 # --- fixed values: argument bounds and defaults -----------------------------------------
@@ -59,7 +61,8 @@ def recent_runs(runs: DataFrame, limit: int = RUN_LIMIT, source: str | None = No
 
 
 def _listed(df: DataFrame, sources: list[str]) -> DataFrame:
-    return df.sparkSession.createDataFrame([(s,) for s in sources], "source string")
+    schema = T.StructType([T.StructField("source", T.StringType())])
+    return local_rows(df.sparkSession, [(s,) for s in sources], schema)
 
 
 def health(checkpoints: DataFrame, sources: list[str] | None = None) -> DataFrame:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def build_session(master: str | None = None, app: str = "quotelake", **conf: str) -> SparkSession:
@@ -21,6 +24,7 @@ def build_session(master: str | None = None, app: str = "quotelake", **conf: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")  # the last one wins
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -54,3 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return f"{shared_dir(spark)}/quotelake/{label}-{uuid.uuid4().hex}"
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A handful of driver-side rows as a local relation, without starting Python workers."""
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)

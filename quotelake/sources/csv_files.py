@@ -94,7 +94,7 @@ def csv_records(lines: DataFrame) -> DataFrame:
     return fields.select(
         *[F.col(f"`{n}`") for n in names],
         "ord",
-        F.to_json(F.struct(*[F.col(f"`{n}`") for n in names]), {"ignoreNullFields": "false"}).alias("payload"),
+        F.to_variant_object(F.struct(*[F.col(f"`{n}`") for n in names])).alias("payload"),
         "malformed",
     )
 

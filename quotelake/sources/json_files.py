@@ -1,20 +1,35 @@
-"""JSON scans: files holding one array of records, and files with one record per line."""
+"""JSON scans: files holding one array of records, and files with one record per line.
+
+Spark's JSON reader parses each value once, straight into a VARIANT column, which keeps
+the difference between an absent field and an explicit null.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.sources.order import with_file_columns, with_row_order
+from quotelake.sources.order import FILE_COLUMNS, with_file_columns, with_row_order
 
+CORRUPT = "_corrupt_record"
+JSON_SCHEMA = f"record variant, {CORRUPT} string"
 
-def read_json_text(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    """Whole files (``json_array``) or lines (``ndjson``) as text plus file columns.
 
-    An array file is one answer page and is read whole, so land many pages or use
-    ``ndjson``, whose files are split among tasks.
-    """
-    return with_file_columns(spark.read.text(path, wholetext=layout == "json_array"))
+def json_reader_options(layout: str) -> dict[str, str]:
+    """An array file is one answer page and is parsed as a whole, so land many pages or use
+    ``ndjson``, whose files are split among tasks."""
+    return {
+        "singleVariantColumn": "record",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "mode": "PERMISSIVE",
+        "multiLine": str(layout == "json_array").lower(),
+    }
+
+
+def read_json(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    return with_file_columns(
+        spark.read.schema(JSON_SCHEMA).options(**json_reader_options(layout)).json(path)
+    )
 
 
 def array_records(pages: DataFrame) -> DataFrame:
@@ -22,34 +37,31 @@ def array_records(pages: DataFrame) -> DataFrame:
 
     A page that is not JSON, or not an array, stays as one malformed row.
     """
-    parsed = pages.select("*", F.try_parse_json("value").alias("_page"))
-    is_array = F.coalesce(F.schema_of_variant("_page").startswith("ARRAY"), F.lit(False))
-    # posexplode keeps the unreadable page as one row; an empty array yields none.
-    items = F.when(is_array, F.try_variant_get("_page", "$", "array<variant>")).otherwise(
-        F.array(F.lit(None).cast("variant"))
-    )
-    exploded = parsed.select(
-        "value", "_file_time", "_file_path", "_file_block", is_array.alias("_ok"), F.posexplode(items)
-    ).withColumnRenamed("col", "record")
+    is_array = F.coalesce(F.schema_of_variant("record").startswith("ARRAY"), F.lit(False))
+    items = F.when(is_array, F.try_variant_get("record", "$", "array<variant>")).otherwise(F.array("record"))
+    exploded = pages.select(CORRUPT, *FILE_COLUMNS, is_array.alias("_ok"), F.posexplode(items))
     ordered = with_row_order(exploded, F.col("pos"))
     return ordered.select(
-        "record",
+        F.col("col").alias("record"),
         "ord",
-        F.when(F.col("_ok"), F.to_json("record")).otherwise(F.col("value")).alias("payload"),
+        F.coalesce("col", F.col(CORRUPT).cast("variant")).alias("payload"),
         (~F.col("_ok")).alias("malformed"),
     )
 
 
 def line_records(lines: DataFrame) -> DataFrame:
     """One row per non-blank line; a line that is not JSON is malformed."""
-    ordered = with_row_order(lines).filter(F.trim("value") != "")
-    return ordered.select(
-        F.try_parse_json("value").alias("record"),
+    return with_row_order(lines).select(
+        "record",
         "ord",
-        F.col("value").alias("payload"),
-    ).withColumn("malformed", F.col("record").isNull())
+        F.coalesce("record", F.col(CORRUPT).cast("variant")).alias("payload"),
+        F.col("record").isNull().alias("malformed"),
+    )
+
+
+def json_records(read: DataFrame, layout: str) -> DataFrame:
+    return array_records(read) if layout == "json_array" else line_records(read)
 
 
 def scan_json(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    text = read_json_text(spark, path, layout)
-    return array_records(text) if layout == "json_array" else line_records(text)
+    return json_records(read_json(spark, path, layout), layout)

@@ -77,8 +77,13 @@ def flatten_quotes(df: DataFrame, record: str = "record") -> DataFrame:
         return level.isNull() | json_kind(level).startswith("OBJECT")
 
     is_object = F.coalesce(json_kind(F.col(record)).startswith("OBJECT"), F.lit(False))
-    keep = F.col("malformed") if "malformed" in df.columns else F.lit(False)
+    # a price that is present proves all levels above it, so most records need one look
+    keep = F.when(variant_field(record, "quotes", "USD", "price").isNotNull(), True).otherwise(
+        is_object & usable(quotes) & usable(usd)
+    )
+    if "malformed" in df.columns:
+        keep = F.col("malformed") | keep
     flat = [variant_field(record, f).alias(f) for f in TICKER_FIELDS]
     flat += [variant_field(record, "quotes", "USD", f).alias(t) for f, t in QUOTE_FIELDS.items()]
     carried = [c for c in df.columns if c != record and c not in (*TICKER_FIELDS, *QUOTE_FIELDS.values())]
-    return df.filter(keep | (is_object & usable(quotes) & usable(usd))).select(*carried, *flat)
+    return df.filter(keep).select(*carried, *flat)

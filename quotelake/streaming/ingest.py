@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from quotelake.operators.upsert import UpsertPolicy
 from quotelake.plans.pipeline import run_source, utc_now
 from quotelake.sources.csv_files import CORRUPT, csv_reader_options, csv_records
-from quotelake.sources.json_files import array_records, line_records
+from quotelake.sources.json_files import JSON_SCHEMA, json_reader_options, json_records
 from quotelake.sources.listing import flatten_quotes
 from quotelake.sources.order import with_file_columns
 from quotelake.specs import SourceSpec
@@ -26,7 +26,7 @@ from quotelake.tables import KeyedTable, Lake
 def stream_files(
     spark: SparkSession, spec: SourceSpec, path: str, columns: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """The landing folder as a stream of text lines, whole pages or CSV rows.
+    """The landing folder as a stream of JSON values or CSV rows.
 
     CSV needs its header names up front: ``columns``, by default those of the spec.
     """
@@ -37,14 +37,14 @@ def stream_files(
         # rows may span lines; a stream cannot look ahead to find out
         frame = reader.schema(schema).options(**csv_reader_options(multi_line=True)).csv(path)
     else:
-        frame = reader.text(path, wholetext=spec.layout == "json_array")
+        frame = reader.schema(JSON_SCHEMA).options(**json_reader_options(spec.layout)).json(path)
     return with_file_columns(frame)
 
 
 def batch_records(batch: DataFrame, spec: SourceSpec) -> DataFrame:
     if spec.layout == "csv":
         return csv_records(batch)
-    records = array_records(batch) if spec.layout == "json_array" else line_records(batch)
+    records = json_records(batch, spec.layout)
     return flatten_quotes(records) if spec.nested_quotes else records
 
 

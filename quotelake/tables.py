@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake import schemas
-from quotelake.operators.upsert import BROADCAST_ROWS, UpsertPolicy, fold_batch, merge
+from quotelake.operators.upsert import BROADCAST_ROWS, UpsertPolicy, fold_batch, merge, merge_small
+from quotelake.session import local_rows
 
 SHARD = "shard"
 
@@ -26,14 +27,14 @@ class LogTable:
 
     def create(self) -> None:
         """Create the table if it is absent."""
-        self.spark.createDataFrame([], self.schema).write.mode("ignore").parquet(self.path)
+        local_rows(self.spark, [], self.schema).write.mode("ignore").parquet(self.path)
 
     def append(self, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path)
 
     def append_rows(self, rows: list[tuple]) -> None:
         """Append a handful of driver-side control rows as one file."""
-        self.append(self.spark.createDataFrame(rows, self.schema).coalesce(1))
+        self.append(local_rows(self.spark, rows, self.schema).coalesce(1))
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
@@ -45,7 +46,8 @@ class KeyedTable:
     Rows live under ``data/version=N/<group>=../shard=../``, where the shard is a hash of
     the key.  An upsert rewrites only the groups and shards its batch touches; a log row
     per rewritten shard makes the new files current.  The log also names the batch, so a
-    batch that is delivered twice is applied once.
+    batch that is delivered twice is applied once.  Choose ``shards`` so that a shard of the
+    largest group holds some tens of GB: a small batch then rewrites little.
     """
 
     LOG_SCHEMA = T.StructType(
@@ -59,7 +61,7 @@ class KeyedTable:
     )
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType, key: str, group: str, shards: int = 8
+        self, spark: SparkSession, root: str, schema: T.StructType, key: str, group: str, shards: int = 4
     ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.key, self.group, self.shards = key, group, shards
@@ -68,20 +70,19 @@ class KeyedTable:
     def create(self) -> None:
         self.log.create()
 
-    def has_batch(self, batch_id: str) -> bool:
-        return not self.log.read().filter(F.col("batch_id") == batch_id).isEmpty()
-
-    def _current_parts(self) -> list[tuple[int, str, int]]:
-        """Current ``(version, group, shard)``: at most groups x shards rows."""
-        log = self.log.read().filter(F.col("part").isNotNull())
-        state = log.groupBy("part", SHARD).agg(F.max("version").alias("version"))
-        return [(r["version"], r["part"], r[SHARD]) for r in state.collect()]
+    def _state(self, batch_id: str | None = None) -> tuple[list[tuple[int, str, int]], bool]:
+        """Current ``(version, group, shard)``, at most groups x shards rows, and whether
+        the batch was published."""
+        seen = F.coalesce(F.bool_or(F.col("batch_id") == F.lit(batch_id)), F.lit(False))
+        state = self.log.read().groupBy("part", SHARD).agg(F.max("version").alias("version"), seen.alias("seen"))
+        rows = state.collect()
+        return [(r["version"], r["part"], r[SHARD]) for r in rows if r["part"] is not None], any(r["seen"] for r in rows)
 
     def _read_parts(self, parts: list[tuple[int, str, int]]) -> DataFrame:
         # The shard is kept in the frame; the version is only a directory.
         stored = T.StructType([*self.schema.fields, T.StructField(SHARD, T.IntegerType())])
         if not parts:
-            return self.spark.createDataFrame([], stored)
+            return local_rows(self.spark, [], stored)
         layout = T.StructType([*stored.fields, T.StructField("version", T.LongType())])
         paths = [f"{self.root}/data/version={v}/{self.group}={g}/{SHARD}={s}" for v, g, s in sorted(parts)]
         reader = self.spark.read.schema(layout).option("basePath", f"{self.root}/data")
@@ -89,7 +90,7 @@ class KeyedTable:
 
     def read(self) -> DataFrame:
         """The current rows; a filter on the group column prunes directories."""
-        return self._read_parts(self._current_parts()).select(*self.schema.names)
+        return self._read_parts(self._state()[0]).select(*self.schema.names)
 
     def shard_of(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.shards)).cast("int")
@@ -101,29 +102,34 @@ class KeyedTable:
         order: tuple[str, ...],
         batch_id: str,
         now: datetime,
-        batch_rows: int | None = None,
     ) -> bool:
         """Apply a batch and publish it; False when it was applied before.
 
-        ``batch`` is read several times and must be stored data.  Its row count, counted
-        here unless given, decides whether it may be broadcast (see ``merge``).
+        ``batch`` is read more than once and must be stored data.  Its row count decides
+        whether it may be broadcast (see ``merge``).
         """
-        if self.has_batch(batch_id):
+        parts, published = self._state(batch_id)
+        if published:
             return False
-        if batch_rows is None:
-            batch_rows = batch.count()
         placed = batch.withColumn(SHARD, self.shard_of(F.col(self.key)))
-        touched = {(r[0], r[1]) for r in placed.select(self.group, SHARD).distinct().collect()}
-        parts = self._current_parts()
+        touched = {(r[0], r[1]): r[2] for r in placed.groupBy(self.group, SHARD).count().collect()}
         version = max((v for v, _, _ in parts), default=0) + 1
         current = self._read_parts([p for p in parts if (p[1], p[2]) in touched])
         # The shard follows from the key, so as a key column it changes nothing.
         sharded = UpsertPolicy((*policy.keys, SHARD), policy.update, policy.created, policy.touched)
-        small = batch_rows <= BROADCAST_ROWS
-        merged = merge(current, fold_batch(placed, sharded, order), sharded, F.lit(now), small)
-        if not small:
-            # Files of useful size per shard; large shards are split among tasks.
-            merged = merged.hint("rebalance", self.group, SHARD)
+        small = sum(touched.values()) <= BROADCAST_ROWS
+        folded = fold_batch(placed, sharded, order)
+
+        def even(df: DataFrame) -> DataFrame:
+            """Files of useful size: small shards share a task, large ones are split."""
+            return df.hint("rebalance", self.group, SHARD)
+
+        if small:
+            # stored rows stay in the tasks that read them, only new keys are moved
+            updated, inserted = merge_small(current, folded, sharded, F.lit(now))
+            merged = updated.unionByName(even(inserted))
+        else:
+            merged = even(merge(current, folded, sharded, F.lit(now)))
         target = f"{self.root}/data/version={version}"
         (
             merged.sortWithinPartitions(self.group, SHARD, self.key)
@@ -139,7 +145,7 @@ class KeyedTable:
 class Lake:
     """The tables of one installation, below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, shards: int = 8):
+    def __init__(self, spark: SparkSession, root: str, shards: int = 4):
         self.spark, self.root = spark, root.rstrip("/")
         self.unified = KeyedTable(
             spark, f"{self.root}/unified", schemas.UNIFIED_SCHEMA, "coin_id", "source", shards
