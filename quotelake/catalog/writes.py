@@ -296,7 +296,7 @@ def load_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LOAD_STATISTICS = """
-SELECT source, CAST(n AS INTEGER) AS records_processed, 2 AS total_runs, CAST(100 AS DOUBLE) AS success_rate,
+SELECT source, CAST(n AS INTEGER) AS records_processed, CAST(2 AS BIGINT) AS total_runs, CAST(100 AS DOUBLE) AS success_rate,
        'success' AS last_run_status, TRUE AS has_success, FALSE AS has_failure
 FROM (SELECT 'coinpaprika' AS source, count(*) AS n FROM customer WHERE c_nationkey >= 5 AND c_nationkey < 20
       UNION ALL SELECT 'coingecko', count(*) FROM supplier

@@ -41,12 +41,12 @@ class UpsertPolicy:
 def fold_batch(batch: DataFrame, policy: UpsertPolicy, order: tuple[str, ...]) -> DataFrame:
     """One row per key; ``order`` must place the rows of a key without ties."""
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    values = [c for c in batch.columns if c not in order or c in policy.update]
-    first = policy.keep_first(values)
-    return batch.groupBy(*policy.keys).agg(
-        *[F.min_by(c, position).alias(c) for c in first],
-        *[F.max_by(c, position).alias(c) for c in policy.update],
-    )
+    first = policy.keep_first([c for c in batch.columns if c not in order])
+    # one comparison for all first values and one for all last values
+    ends = {"_first": (F.min_by, first), "_last": (F.max_by, list(policy.update))}
+    picked = [pick(F.struct(*cs), position).alias(name) for name, (pick, cs) in ends.items() if cs]
+    values = [F.col(f"{name}.{c}").alias(c) for name, (_, cs) in ends.items() for c in cs]
+    return batch.groupBy(*policy.keys).agg(*picked).select(*policy.keys, *values)
 
 
 def _merged_columns(

@@ -18,11 +18,10 @@ def _first_present(values: list[Column]) -> Column:
     return F.coalesce(*values)
 
 
-def _lookup(df: DataFrame, field: FieldSpec) -> tuple[str, Column | None]:
-    """How the frame carries a field: as ``json`` or ``text``, and the column."""
-    if "record" in df.columns:
+def _lookup(types: dict[str, str], field: FieldSpec) -> tuple[str, Column | None]:
+    """How a frame with these columns carries a field: as ``json`` or ``text``, and the column."""
+    if "record" in types:
         return "json", _first_present([variant_field("record", n) for n in field.names])
-    types = dict(df.dtypes)
     held = [n for n in field.names if n in types]
     if not held:
         return "text", None
@@ -64,8 +63,9 @@ def validate(df: DataFrame, spec: SourceSpec) -> DataFrame:
     Scan columns that are not spec fields (``ord``, ``payload``) are kept; unknown source
     fields live on in ``payload`` only.
     """
-    carried = [c for c in ("ord", "payload", MALFORMED) if c in df.columns]
-    found = {f.name: _lookup(df, f) for f in spec.fields}
+    types = dict(df.dtypes)
+    carried = [c for c in ("ord", "payload", MALFORMED) if c in types]
+    found = {f.name: _lookup(types, f) for f in spec.fields}
     nothing = F.lit(None).cast("string")
     # Staged selects: each JSON path is followed once, each text is taken out once.
     raw = df.select(

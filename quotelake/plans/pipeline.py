@@ -60,7 +60,7 @@ def scan_source(
     first ``spec.limit`` in file order.  Without it every detail record counts.
     """
     if spec.layout == "csv":
-        return scan_csv(spark, path)
+        return scan_csv(spark, path, spec.multi_line)
     records = scan_json(spark, path, spec.layout)
     if spec.nested_quotes:
         if listing_path:

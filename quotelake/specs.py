@@ -39,6 +39,7 @@ class SourceSpec:
     update_columns: tuple[str, ...]
     nested_quotes: bool = False
     limit: int | None = None  # records taken per load: first N listed, or top N by market cap
+    multi_line: bool | None = None  # CSV rows may span lines: yes, no, or look first
     expected_types: dict[str, str] = field(default_factory=dict, hash=False)
 
     def __post_init__(self) -> None:

@@ -34,8 +34,9 @@ def stream_files(
     if spec.layout == "csv":
         names = columns or tuple(f.name for f in spec.fields)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
-        # rows may span lines; a stream cannot look ahead to find out
-        frame = reader.schema(schema).options(**csv_reader_options(multi_line=True)).csv(path)
+        # a stream cannot look ahead: unless the spec says no, rows may span lines
+        options = csv_reader_options(spec.multi_line is not False)
+        frame = reader.schema(schema).options(**options).csv(path)
     else:
         frame = reader.schema(JSON_SCHEMA).options(**json_reader_options(spec.layout)).json(path)
     return with_file_columns(frame)

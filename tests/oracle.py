@@ -28,15 +28,29 @@ def run_sql(sql: str, sf_dir: str):
     for path in sorted(Path(sf_dir).glob("*.parquet")):
         con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     result = con.execute(sql)
-    return [d[0] for d in result.description], result.fetchall()
+    return {d[0]: str(d[1]) for d in result.description}, result.fetchall()
+
+
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
 
 
 def compare(df, sql: str, sf_dir: str) -> tuple[int, str | None]:
     """Row count, and what differs (None when nothing does)."""
     got = _rows(df.columns, df.collect())
-    names, rows = run_sql(sql, sf_dir)
+    types, rows = run_sql(sql, sf_dir)
+    names = list(types)
     if sorted(names) != sorted(df.columns):
         return len(got), f"columns {sorted(df.columns)} != {sorted(names)}"
+    differ = [f"{c}: {t} / {types[c]}" for c, t in df.dtypes if TYPES.get(t) != types[c]]
+    if differ:
+        return len(got), f"types {differ}"
     want = _rows(names, rows)
     if len(got) != len(want):
         return len(got), f"{len(got)} rows, SQL gives {len(want)}"
