@@ -49,6 +49,9 @@ SELECT o_orderpriority AS source_name, CAST(o_orderkey AS VARCHAR) AS last_proce
 FROM e WHERE down = 1
 """
 
+# The number in the event's properties, 0 to 99, stands for one of four sources.
+SOURCE = "concat('s', CAST(floor(CAST(get_json_object(props, '$.k') AS INT) / 25) AS STRING))"
+_SOURCE_SQL = "concat('s', CAST(json_extract_string(props, '$.k') AS INTEGER) // 25)"
 STATUS = "CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' ELSE 'started' END"
 DONE = "CASE WHEN event_type IN ('purchase', 'error') THEN ts END"
 
@@ -57,7 +60,7 @@ def _run_events(spark: SparkSession, sf_dir: str, run_id: str = "event_id") -> D
     """Events as runs: purchases succeeded, errors failed, the rest only started."""
     return table(spark, sf_dir, "events").select(
         F.col(run_id).cast("string").alias("run_id"),
-        F.concat(F.lit("s"), F.col("user_id") % 4).alias("source_name"),
+        F.expr(SOURCE).alias("source_name"),
         F.expr(STATUS).alias("status"),
         F.col("user_id").cast("int").alias("records_processed"),
         F.length("props").alias("records_failed"),
@@ -80,7 +83,7 @@ WITH e AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS up,
          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS down
   FROM events)
-SELECT CAST(z.user_id AS VARCHAR) AS run_id, concat('s', z.user_id % 4) AS source_name,
+SELECT CAST(z.user_id AS VARCHAR) AS run_id, concat('s', CAST(json_extract_string(a.props, '$.k') AS INTEGER) // 25) AS source_name,
        CASE z.event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' ELSE 'started' END AS status,
        CAST(z.user_id AS INTEGER) AS records_processed, CAST(length(z.props) AS INTEGER) AS records_failed,
        CASE WHEN z.event_type IN ('purchase', 'error') THEN z.value END AS duration_seconds,
@@ -92,7 +95,7 @@ FROM e z JOIN e a ON z.user_id = a.user_id AND z.down = 1 AND a.up = 1
 
 
 def incremental_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events after the checkpoint, which is the start of the run named by the last order date."""
+    """Events after the checkpoint time."""
     last = F.expr("TIMESTAMP_NTZ '2024-01-15 12:00:00'")
     return control.read_since(table(spark, sf_dir, "events"), "ts", last).select("event_id", "ts", "value")
 
@@ -286,17 +289,17 @@ def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RECENT_RUNS = f"""
-SELECT CAST(event_id AS VARCHAR) AS run_id, concat('s', user_id % 4) AS source_name, {STATUS} AS status,
+SELECT CAST(event_id AS VARCHAR) AS run_id, {_SOURCE_SQL} AS source_name, {STATUS} AS status,
        CAST(user_id AS INTEGER) AS records_processed, CAST(length(props) AS INTEGER) AS records_failed,
        CASE WHEN event_type IN ('purchase', 'error') THEN value END AS duration_seconds,
        ts AS started_at, {DONE} AS completed_at, CASE WHEN event_type = 'error' THEN props END AS error_message
-FROM events WHERE user_id % 4 = 1 ORDER BY ts DESC LIMIT 100
+FROM events WHERE {_SOURCE_SQL} = 's1' ORDER BY ts DESC LIMIT 100
 """
 
 
 def _event_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
-        F.concat(F.lit("s"), F.col("user_id") % 4).alias("source_name"),
+        F.expr(SOURCE).alias("source_name"),
         F.col("event_id").cast("string").alias("last_processed_id"),
         F.col("ts").alias("last_processed_timestamp"),
         F.col("user_id").cast("int").alias("records_processed"),
@@ -313,7 +316,7 @@ def source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SOURCE_STATS = f"""
-WITH e AS (SELECT *, concat('s', user_id % 4) AS source, {STATUS} AS status FROM events),
+WITH e AS (SELECT *, {_SOURCE_SQL} AS source, {STATUS} AS status FROM events),
 runs AS (
   SELECT source, count(*) AS n, count(*) FILTER (WHERE status = 'success') AS won,
          max(ts) FILTER (WHERE status = 'success') AS last_success,
@@ -334,7 +337,7 @@ def health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HEALTH = f"""
 WITH last AS (
-  SELECT concat('s', user_id % 4) AS source, arg_max(event_type, ts) AS kind, max(ts) AS seen_at,
+  SELECT {_SOURCE_SQL} AS source, arg_max(event_type, ts) AS kind, max(ts) AS seen_at,
          arg_max(user_id, ts) AS processed
   FROM events GROUP BY 1)
 SELECT source,
@@ -350,7 +353,7 @@ FROM {_LISTED_SQL} LEFT JOIN last USING (source)
 def _requests(events: DataFrame) -> DataFrame:
     return events.select(
         F.concat(F.lit("/"), "event_type").alias("endpoint"),
-        F.when(F.col("user_id") % 2 == 0, "GET").otherwise("POST").alias("method"),
+        F.when(F.col("value") < 50, "GET").otherwise("POST").alias("method"),
         (F.col("value") / 100).alias("duration_seconds"),
     )
 
@@ -360,7 +363,7 @@ def request_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REQUEST_COUNTER = """
-SELECT concat('/', event_type) AS endpoint, CASE WHEN user_id % 2 = 0 THEN 'GET' ELSE 'POST' END AS method,
+SELECT concat('/', event_type) AS endpoint, CASE WHEN value < 50 THEN 'GET' ELSE 'POST' END AS method,
        count(*) AS requests
 FROM events GROUP BY ALL
 """

@@ -142,7 +142,7 @@ FROM read
 def _json_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as JSON records; the size decides which identifier fields a record has."""
     key = F.col("p_partkey").cast("string")
-    form = F.pmod("p_size", F.lit(6))
+    form = F.floor(F.col("p_size") / 10)
     # to_json leaves NULL struct fields out, so an explicit null is written as text
     identity = (
         F.when(form == 0, F.concat(F.lit('"id":"'), key, F.lit('",')))
@@ -180,7 +180,7 @@ def required_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 REQUIRED_ALIAS = """
 SELECT p_partkey, id AS coin_id, p_name AS name, lower(p_brand) AS symbol, p_retailprice AS current_price,
        CAST(NULL AS DOUBLE) AS total_volume, CASE WHEN id IS NULL THEN 'coin_id_invalid' ELSE '' END AS reasons
-FROM (SELECT *, CASE p_size % 6 WHEN 0 THEN CAST(p_partkey AS VARCHAR) WHEN 1 THEN CAST(p_partkey AS VARCHAR)
+FROM (SELECT *, CASE p_size // 10 WHEN 0 THEN CAST(p_partkey AS VARCHAR) WHEN 1 THEN CAST(p_partkey AS VARCHAR)
                      WHEN 4 THEN concat('a', CAST(p_partkey AS VARCHAR)) END AS id FROM part)
 """
 
@@ -351,7 +351,7 @@ SELECT o_orderkey, c_custkey, c_name, c_acctbal FROM orders JOIN customer ON o_c
 
 def nested_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as nested detail records; the size decides which levels a record has."""
-    form = F.pmod("p_size", F.lit(5))
+    form = F.floor((F.col("p_size") - 1) / 10)
     usd = F.struct(
         F.when(form != 1, F.col("p_retailprice")).alias("price"),
         F.col("p_size").alias("volume_24h"),
@@ -376,11 +376,11 @@ def nested_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NESTED_FLATTEN = """
 SELECT CAST(p_partkey AS VARCHAR) AS coin_id, p_name AS name, p_brand AS symbol, p_size AS rank,
-       CASE WHEN p_size % 5 = 0 THEN p_retailprice END AS price_usd,
-       CASE WHEN p_size % 5 IN (0, 1) THEN CAST(p_size AS DOUBLE) END AS volume_24h_usd,
-       CASE WHEN p_size % 5 IN (0, 1) THEN CAST(p_partkey AS DOUBLE) END AS market_cap_usd,
+       CASE WHEN p_size <= 10 THEN p_retailprice END AS price_usd,
+       CASE WHEN p_size <= 20 THEN CAST(p_size AS DOUBLE) END AS volume_24h_usd,
+       CASE WHEN p_size <= 20 THEN CAST(p_partkey AS DOUBLE) END AS market_cap_usd,
        CAST(NULL AS DOUBLE) AS percent_change_24h
-FROM part WHERE p_size % 5 <> 4
+FROM part WHERE p_size <= 40
 """
 
 

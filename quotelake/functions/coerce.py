@@ -28,6 +28,16 @@ FLOAT_TEXT = (
 )
 INT_TEXT = rf"^([+-]?{DIGITS})(?:\.0+)?\z"
 INT_MIN, INT_MAX = -2147483648, 2147483647
+PYTHON_TYPES = {
+    "STRING": "str",
+    "BIGINT": "int",
+    "DECIMAL": "float",
+    "DOUBLE": "float",
+    "BOOLEAN": "bool",
+    "ARRAY": "list",
+    "OBJECT": "dict",
+    "VOID": "NoneType",
+}
 # --- end of fixed values ----------------------------------------------------------
 
 # Decimal digits of other scripts count as digits in a float.
@@ -118,19 +128,11 @@ def json_truthy(value: Column) -> Column:
 
 
 def python_type_name(value: Column) -> Column:
-    """Name of the Python type a JSON value loads as."""
-    kind = json_kind(value)
-    return (
-        F.when(kind == "STRING", "str")
-        .when(kind == "BIGINT", "int")
-        .when(kind == "BOOLEAN", "bool")
-        .when(kind == "VOID", "NoneType")
-        .when(kind.startswith("ARRAY"), "list")
-        .when(kind.startswith("OBJECT"), "dict")
-        # Integers beyond 64 bits load as DECIMAL(19..38,0); 5.0 loads as DECIMAL(1,0).
-        .when(kind.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$"), "int")
-        .otherwise("float")
-    )
+    """Name of the Python type a JSON value loads as; NULL for a missing value."""
+    # Integers beyond 64 bits are DECIMAL(19..38,0), which the map lacks; 5.0 is DECIMAL(1,0).
+    kind = F.regexp_extract(json_kind(value), r"^(DECIMAL\((?:19|[23][0-9]),0\)|[A-Z]+)", 1)
+    names = F.create_map(*[F.lit(x) for pair in PYTHON_TYPES.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, kind), F.when(value.isNotNull(), "int"))
 
 
 def python_text(value: Column, limit: int = 200) -> Column:

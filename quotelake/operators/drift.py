@@ -28,51 +28,39 @@ def detect(
     A present null is neither missing nor a type change, and an integer where a float is
     expected is no change.  ``keep`` carries identifying columns of the record along.
     """
-    fields = F.try_variant_get(record, "$", "map<string,variant>")
     names = F.array(*[F.lit(n) for n in expected]).cast("array<string>")
     types = F.create_map(*[F.lit(x) for pair in expected.items() for x in pair]).cast("map<string,string>")
-
-    def finding(kind: str, name: Column, wanted: Column, actual: Column, sure: float, sample: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("drift_type"),
-            name.alias("field_name"),
-            wanted.cast("string").alias("expected_type"),
-            actual.cast("string").alias("actual_type"),
-            F.lit(sure).alias("confidence_score"),
-            sample.cast("string").alias("sample_value"),
-        )
-
-    nothing = F.lit(None)
-    missing = F.transform(
+    absent = F.transform(
         F.array_except(names, F.map_keys("_fields")),
-        lambda n: finding(
-            "missing_field", n, F.element_at("_types", n), nothing, MISSING_CONFIDENCE, nothing
-        ),
+        lambda n: F.struct(n.alias("key"), F.lit(None).cast("variant").alias("value")),
     )
-
-    def differs(entry: Column) -> Column:
-        wanted, actual = F.element_at("_types", entry["key"]), python_type_name(entry["value"])
-        widened = (wanted == "float") & (actual == "int")
-        return wanted.isNull() | ((actual != wanted) & (actual != "NoneType") & ~widened)
-
-    def present(entry: Column) -> Column:
-        wanted = F.element_at("_types", entry["key"])
-        actual = python_type_name(entry["value"])
-        sample = python_text(entry["value"], SAMPLE_LENGTH)
-        return F.when(
-            wanted.isNull(), finding("new_field", entry["key"], nothing, actual, NEW_CONFIDENCE, sample)
-        ).otherwise(finding("type_change", entry["key"], wanted, actual, CHANGED_CONFIDENCE, sample))
-
-    others = F.transform(F.filter(F.map_entries("_fields"), differs), present)
-    found = (
-        records.select(*keep, fields.alias("_fields"), types.alias("_types"))
-        .filter(F.col("_fields").isNotNull())
-        .select(*keep, F.explode(F.concat(missing, others)).alias("f"))
+    # A record that is not an object has no fields at all and yields no row.
+    fields = (
+        records.select(*keep, F.try_variant_get(record, "$", "map<string,variant>").alias("_fields"))
+        .select(*keep, F.explode(F.concat(F.map_entries("_fields"), absent)).alias("_field"))
+        .select(*keep, F.col("_field.key").alias("field_name"), F.col("_field.value").alias("_value"))
+    )
+    wanted, actual, value = F.col("expected_type"), F.col("actual_type"), F.col("_value")
+    typed = fields.select(
+        "*",
+        F.try_element_at(types, F.col("field_name")).alias("expected_type"),
+        python_type_name(value).alias("actual_type"),
     )
-    return found.select(
+    widened = (wanted == "float") & (actual == "int")
+    changed = (actual != wanted) & (actual != "NoneType") & ~widened
+    kind = F.when(value.isNull(), "missing_field").when(wanted.isNull(), "new_field").otherwise("type_change")
+    return typed.filter(value.isNull() | wanted.isNull() | changed).select(
         *keep,
         F.lit(source).alias("source_name"),
-        "f.*",
+        kind.alias("drift_type"),
+        "field_name",
+        "expected_type",
+        "actual_type",
+        F.when(value.isNull(), MISSING_CONFIDENCE)
+        .when(wanted.isNull(), NEW_CONFIDENCE)
+        .otherwise(CHANGED_CONFIDENCE)
+        .alias("confidence_score"),
+        python_text(value, SAMPLE_LENGTH).alias("sample_value"),
         detected_at.alias("detected_at"),
         F.lit(False).alias("resolved"),
     )

@@ -24,13 +24,19 @@ from quotelake.tables import KeyedTable, Lake
 
 
 def stream_files(
-    spark: SparkSession, spec: SourceSpec, path: str, columns: tuple[str, ...] | None = None
+    spark: SparkSession,
+    spec: SourceSpec,
+    path: str,
+    columns: tuple[str, ...] | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
     """The landing folder as a stream of JSON values or CSV rows.
 
     CSV needs its header names up front: ``columns``, by default those of the spec.
     """
     reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if spec.layout == "csv":
         names = columns or tuple(f.name for f in spec.fields)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
@@ -62,9 +68,12 @@ def load_new_files(
     checkpoint: str,
     columns: tuple[str, ...] | None = None,
     drift: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Load all files that are new since the last call, then stop.
 
+    ``max_files`` splits a large backlog into micro-batches, oldest files first.
+
     Every record of a new file is loaded: the listing limits apply to polled listings.
     """
 
@@ -72,7 +81,8 @@ def load_new_files(
         run_source(lake, spec, lambda: batch_records(batch, spec), drift, run_id=batch_name(batch, epoch))
 
     lake.create_tables()
-    return _available_now(stream_files(lake.spark, spec, path, columns).writeStream.foreachBatch(apply), checkpoint)
+    stream = stream_files(lake.spark, spec, path, columns, max_files)
+    return _available_now(stream.writeStream.foreachBatch(apply), checkpoint)
 
 
 def upsert_stream(
