@@ -312,9 +312,9 @@ def raw_append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.create_tables()
     for batch_id in ("first", "second"):
         load_batch(lake, CSV, scan_source(spark, CSV, path), batch_id, MOMENT)
-    raw = lake.raw(CSV.name).groupBy("symbol").agg(F.count("*").alias("rows"))
+    raw = lake.raw(CSV).groupBy("symbol").agg(F.count("*").alias("rows"))
     bad = (
-        lake.quarantine(CSV.name)
+        lake.quarantine(CSV)
         .groupBy(F.array_join(REASONS, ",").alias("symbol"))
         .agg(F.count("*").alias("rows"))
     )

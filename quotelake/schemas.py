@@ -56,6 +56,27 @@ UNIFIED_CONTRACT = _schema(
     ("source_updated_at", TS),
 )
 
+# --- raw records of a source ----------------------------------------------------
+
+ORDER_TYPE = _schema(("file_time", TS), ("file_path", STR), ("file_block", LONG), ("row", LONG))
+FIELD_TYPES = {"string": STR, "double": DBL, "int": INT}
+
+
+def landed_schema(spec) -> T.StructType:
+    """A validated batch of the source ``spec`` as it is stored, accepted and rejected rows alike."""
+    typed = [(f.name, FIELD_TYPES[f.kind]) for f in spec.fields]
+    reasons = ("reject_reasons", T.ArrayType(STR))
+    return _schema(
+        ("ord", ORDER_TYPE),
+        ("payload", T.VariantType()),
+        *typed,
+        reasons,
+        ("ingested_at", TS),
+        ("status", STR),
+        ("batch_id", STR),
+    )
+
+
 # --- control tables -------------------------------------------------------------
 CHECKPOINT_SCHEMA = _schema(
     ("source_name", STR, False),

@@ -11,11 +11,19 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
-def build_session(master: str | None = None, app: str = "quotelake", **conf: str) -> SparkSession:
+# Shuffled data per task; a few of these fit in an executor's memory side by side.
+PARTITION_BYTES = 256 << 20
+
+
+def build_session(
+    master: str | None = None, app: str = "quotelake", shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the operators are tuned for.
 
-    ``master`` is left to spark-submit unless given.  ``conf`` overrides any default;
-    write dots as double underscores (``spark__sql__shuffle__partitions="8"``).
+    ``master`` is left to spark-submit unless given.  ``shuffle_bytes`` is the size of the
+    largest shuffle to expect: it sets how many partitions a shuffle starts with, so that
+    one fits in a task's memory; AQE merges them where there is less.  ``conf`` overrides
+    any default; write dots as double underscores (``spark__sql__shuffle__partitions="8"``).
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -29,6 +37,9 @@ def build_session(master: str | None = None, app: str = "quotelake", **conf: str
     )
     if master:
         builder = builder.master(master)
+    if shuffle_bytes:
+        partitions = max(200, -(-shuffle_bytes // PARTITION_BYTES))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

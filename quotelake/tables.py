@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from quotelake import schemas
 from quotelake.operators.upsert import BROADCAST_ROWS, UpsertPolicy, fold_batch, merge, merge_small
 from quotelake.session import local_rows
+from quotelake.specs import SourceSpec
 
 SHARD = "shard"
 
@@ -61,10 +63,21 @@ class KeyedTable:
     )
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType, key: str, group: str, shards: int = 4
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        key: str,
+        group: str,
+        shards: int = 4,
+        lookups: tuple[str, ...] = (),
     ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.key, self.group, self.shards = key, group, shards
+        # Files are sorted by key; other columns looked up by value get a Bloom filter.
+        self.write_options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookups}
+        if lookups:
+            self.write_options["parquet.bloom.filter.adaptive.enabled"] = "true"
         self.log = LogTable(spark, f"{self.root}/log", self.LOG_SCHEMA)
 
     def create(self) -> None:
@@ -88,9 +101,13 @@ class KeyedTable:
         reader = self.spark.read.schema(layout).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*stored.names)
 
-    def read(self) -> DataFrame:
-        """The current rows; a filter on the group column prunes directories."""
-        return self._read_parts(self._state()[0]).select(*self.schema.names)
+    def read(self, group: str | None = None) -> DataFrame:
+        """The current rows; a filter on the group column prunes directories.
+
+        With ``group`` the directories of other groups are not even listed.
+        """
+        parts = [p for p in self._state()[0] if group is None or p[1] == group]
+        return self._read_parts(parts).select(*self.schema.names)
 
     def shard_of(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.shards)).cast("int")
@@ -134,6 +151,7 @@ class KeyedTable:
         (
             merged.sortWithinPartitions(self.group, SHARD, self.key)
             .write.mode("overwrite")  # leftovers of a failed, unpublished attempt
+            .options(**self.write_options)
             .partitionBy(self.group, SHARD)
             .parquet(target)
         )
@@ -148,7 +166,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str, shards: int = 4):
         self.spark, self.root = spark, root.rstrip("/")
         self.unified = KeyedTable(
-            spark, f"{self.root}/unified", schemas.UNIFIED_SCHEMA, "coin_id", "source", shards
+            spark, f"{self.root}/unified", schemas.UNIFIED_SCHEMA, "coin_id", "source", shards, ("symbol",)
         )
         self.runs = LogTable(spark, f"{self.root}/etl_run", schemas.RUN_SCHEMA)
         self.checkpoints = LogTable(spark, f"{self.root}/etl_checkpoint", schemas.CHECKPOINT_SCHEMA)
@@ -174,13 +192,25 @@ class Lake:
         stamped.write.mode("overwrite").partitionBy("status").parquet(path)
         return self.spark.read.schema(stamped.schema).parquet(path)
 
-    def raw(self, source: str, schema: T.StructType | None = None) -> DataFrame:
+    def raw(self, spec: SourceSpec) -> DataFrame:
         """All accepted rows ever loaded from a source; every run adds its own."""
-        return self._landed(source, schema).filter(F.col("status") == "ok").drop("status", "reject_reasons")
-
-    def quarantine(self, source: str, schema: T.StructType | None = None) -> DataFrame:
-        return self._landed(source, schema).filter(F.col("status") == "rejected").drop("status")
-
-    def _landed(self, source: str, schema: T.StructType | None) -> DataFrame:
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(self.raw_path(source))
+        row_id = F.xxhash64("batch_id", "ord").alias("id")
+        fields = [f.name for f in spec.fields]
+        accepted = self._landed(spec).filter(F.col("status") == "ok")
+        return accepted.select(row_id, *fields, F.col("payload").alias("raw_data"), "ingested_at", "batch_id")
+
+    def quarantine(self, spec: SourceSpec) -> DataFrame:
+        """All rejected rows with their reasons."""
+        rejected = self._landed(spec).filter(F.col("status") == "rejected")
+        return rejected.select("reject_reasons", F.col("payload").alias("raw_data"), "ingested_at", "batch_id")
+
+    def _landed(self, spec: SourceSpec) -> DataFrame:
+        schema = schemas.landed_schema(spec)
+        try:
+            return self.spark.read.schema(schema).parquet(self.raw_path(spec.name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        # never loaded yet
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return self.spark.range(0).select(*nothing)

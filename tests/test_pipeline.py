@@ -65,7 +65,7 @@ def test_run_all_loads_limits_and_reports(spark, lake, tmp_path):
     assert {c for s, c in rows if s == "coingecko"} == {f"m{i}" for i in range(20, 70)}
     a = rows["csv", "a"]  # first row's texts, last row's metrics, NULL included
     assert (a.name, a.symbol, a.price_usd, a.market_cap_usd, a.volume_24h_usd) == ("A", "AA", 5.0, None, None)
-    assert lake.quarantine("csv").first().reject_reasons == ["name_invalid"]
+    assert lake.quarantine(CSV).first().reject_reasons == ["name_invalid"]
     cp = control.get_checkpoint(lake, "csv")
     assert (cp.last_processed_id, cp.records_processed, cp.last_run_status) == ("3", 2, "success")
     assert control.get_checkpoint(lake, "none") is None
@@ -75,7 +75,7 @@ def test_run_all_loads_limits_and_reports(spark, lake, tmp_path):
     again = unified(lake)
     assert len(again) == 101 and again["csv", "a"].created_at == created and again["csv", "a"].id == ids
     assert again["csv", "a"].updated_at > created
-    assert lake.raw("csv").count() == 4  # raw rows are kept from every run
+    assert lake.raw(CSV).count() == 4  # raw rows are kept from every run
     stats = {r.source: r for r in reads.source_stats(control.runs(lake), control.checkpoints(lake)).collect()}
     assert (stats["csv"].total_runs, stats["csv"].success_rate, stats["csv"].records_processed) == (2, 100.0, 2)
     assert reads.source_stats(control.runs(lake), control.checkpoints(lake)).count() == 3
@@ -120,12 +120,25 @@ def test_retry_waits_longer_and_gives_up(spark):
     assert with_retry(lambda: 7, 3) == 7
 
 
+def test_raw_rows_keep_type_case_and_unknown_fields(spark, lake, tmp_path):
+    assert lake.raw(MARKET).count() == 0 and lake.quarantine(MARKET).count() == 0  # nothing loaded yet
+    rows = [{"id": "m1", "name": "M", "symbol": "mm", "price_change_24h": "7.5", "extra": [1]}, {"id": 5}]
+    path = write(tmp_path / "m.json", json.dumps(rows))
+    run_source(lake, MARKET, lambda: scan_source(spark, MARKET, path), attempts=1)
+    raw = lake.raw(MARKET).withColumn("raw_data", F.to_json("raw_data")).collect()
+    assert len(raw) == 1 and (raw[0].symbol, raw[0].price_change_24h, raw[0].market_cap) == ("mm", 7.5, None)
+    assert json.loads(raw[0].raw_data) == rows[0]
+    bad = lake.quarantine(MARKET).withColumn("raw_data", F.to_json("raw_data")).first()
+    assert json.loads(bad.raw_data) == {"id": 5}
+    assert bad.reject_reasons == ["coin_id_invalid", "name_invalid", "symbol_invalid"]
+
+
 def test_same_batch_id_is_a_no_op(spark, lake, tmp_path):
     path = landed(tmp_path)[CSV.name]
     now = utc_now()
     for _ in range(2):
         assert load_batch(lake, CSV, scan_source(spark, CSV, path), "b1", now) == (2, 1)
-    assert lake.raw("csv").count() == 2 and lake.quarantine("csv").count() == 1
+    assert lake.raw(CSV).count() == 2 and lake.quarantine(CSV).count() == 1
 
 
 @pytest.mark.parametrize("form,rows", [("rows", 4), ("summary", 2)])
@@ -174,7 +187,7 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, lake, tmp_path):
     last.unlink()
     load_new_files(lake, CSV, str(folder), checkpoint)
     assert lake.unified.read().select("coin_id", "price_usd", "updated_at").orderBy("coin_id").collect() == before
-    assert control.runs(lake).count() == 2 and lake.raw("csv").count() == 4
+    assert control.runs(lake).count() == 2 and lake.raw(CSV).count() == 4
 
 
 @pytest.mark.parametrize("spec", [TICKER, MARKET])

@@ -83,3 +83,24 @@ def test_source_filter_prunes_directories(spark, table):
     table.upsert(spark.createDataFrame(rows, BATCH), POLICY, ("ord",), "a", T1)
     plan = table.read().filter("source = 'x'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan
+
+
+def test_reading_one_group(spark, table):
+    rows = [(f"c{i}", s, 1.0, i) for i in range(40) for s in ("x", "y")]
+    table.upsert(spark.createDataFrame(rows, BATCH), POLICY, ("ord",), "a", T1)
+    only = table.read("x")
+    assert only.count() == 40 and all("source=x" in f for f in only.inputFiles())
+    assert table.read("none").count() == 0
+
+
+def test_lookup_columns_get_a_bloom_filter(spark, tmp_path):
+    sizes = []
+    for name, lookups in (("plain", ()), ("indexed", ("coin_id",))):
+        t = KeyedTable(spark, str(tmp_path / name), SCHEMA, "coin_id", "source", 1, lookups)
+        t.create()
+        rows = [(f"c{i}", "x", 1.0, i) for i in range(1000)]
+        t.upsert(spark.createDataFrame(rows, BATCH), POLICY, ("ord",), "a", T1)
+        assert t.read().filter("coin_id = 'c77'").count() == 1
+        assert t.read().filter("coin_id = 'c77x'").count() == 0
+        sizes.append(sum(f.stat().st_size for f in Path(t.root, "data").rglob("*.parquet")))
+    assert sizes[0] < sizes[1] < sizes[0] + 200_000
