@@ -123,7 +123,8 @@ END
 
 def lax_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(DIRTY_RANK).alias("text"))
-    ranked = dirty.select("l_orderkey", "l_linenumber", coerce.text_to_int(F.col("text")).alias("rank"))
+    read = dirty.withColumn("number", coerce.text_to_whole(F.col("text")))
+    ranked = read.select("l_orderkey", "l_linenumber", coerce.integral(F.col("number")).alias("rank"))
     return ranked.withColumn("rejected", F.col("rank").isNull())
 
 

@@ -52,12 +52,13 @@ def strip_blanks(text: Column) -> Column:
 
 
 def _accepted(text: Column, pattern: str) -> Column:
-    """Group 1 of the pattern without digit separators, or an empty text."""
-    return F.translate(F.regexp_extract(strip_blanks(text), pattern, 1), "_", "")
+    """Group 1 of the pattern without digit separators; NULL when it does not match."""
+    return F.translate(F.nullif(F.regexp_extract(strip_blanks(text), pattern, 1), F.lit("")), "_", "")
 
 
 # The generated code of a cast has to stay small: Java does not compile methods beyond
-# 8000 bytes.  So a value passes one cheap pattern or one general one, never a list.
+# 8000 bytes.  So a value passes one cheap pattern or one general one, never a list.  And a
+# cast only sees text it takes: a refused text costs an exception, even in try_cast.
 
 
 def text_to_double(text: Column) -> Column:
@@ -66,13 +67,20 @@ def text_to_double(text: Column) -> Column:
     return F.when(text.rlike(PLAIN_DECIMAL), text).otherwise(general).try_cast("double")
 
 
-def text_to_int(text: Column) -> Column:
-    """``'5'``, ``' 5 '``, ``'5.0'`` and ``'1_000'`` are integers; NULL when not one."""
-    return _accepted(text, INT_TEXT).try_cast("int")
+def integral(number: Column) -> Column:
+    """A double without fraction and in range as int, the rest NULL."""
+    in_range = number.between(F.lit(float(INT_MIN)), F.lit(float(INT_MAX)))
+    return F.when(in_range & (number == F.floor(number)), number.cast("int"))
+
+
+def text_to_whole(text: Column) -> Column:
+    """The double of an integer text; stage it as a column before :func:`integral`."""
+    return _accepted(text, INT_TEXT).try_cast("double")
 
 
-def _in_int_range(number: Column) -> Column:
-    return number.between(F.lit(float(INT_MIN)), F.lit(float(INT_MAX)))
+def text_to_int(text: Column) -> Column:
+    """``'5'``, ``' 5 '``, ``'5.0'`` and ``'1_000'`` are integers; NULL when not one."""
+    return integral(text_to_whole(text))
 
 
 # --- JSON values (VARIANT columns) --------------------------------------------------
@@ -93,11 +101,6 @@ def json_number(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
-def integral(number: Column) -> Column:
-    """A double without fraction and in range as int, the rest NULL."""
-    return F.when(_in_int_range(number) & (number == F.floor(number)), number.cast("int"))
-
-
 def json_to_double(value: Column) -> Column:
     """Numbers and booleans as they are, strings by :func:`text_to_double`, the rest NULL."""
     text = json_to_string(value)

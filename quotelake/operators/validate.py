@@ -29,17 +29,23 @@ def _lookup(types: dict[str, str], field: FieldSpec) -> tuple[str, Column | None
     return kind, _first_present([F.col(n) for n in held])
 
 
+def _number(field: FieldSpec, how: str) -> Column:
+    """The double behind a numeric field, from its staged raw value and text."""
+    from_text = coerce.text_to_double if field.kind == "double" else coerce.text_to_whole
+    raw = F.col(f"_{field.name}")
+    if how == "text":
+        return from_text(raw)
+    text = F.col(f"_{field.name}_text")
+    return F.when(text.isNull(), coerce.json_number(raw)).otherwise(from_text(text))
+
+
 def _typed(field: FieldSpec, how: str) -> Column:
     """The typed value from the staged columns of a field."""
-    raw = F.col(f"_{field.name}")
     if field.kind == "string":
+        raw = F.col(f"_{field.name}")
         return coerce.json_to_string(raw) if how == "json" else raw.cast("string")
-    from_text = coerce.text_to_double if field.kind == "double" else coerce.text_to_int
-    if how == "text":
-        return from_text(raw)
-    text, number = F.col(f"_{field.name}_text"), F.col(f"_{field.name}_number")
-    from_number = number if field.kind == "double" else coerce.integral(number)
-    return F.when(text.isNotNull(), from_text(text)).otherwise(from_number)
+    number = F.col(f"_{field.name}_number")
+    return number if field.kind == "double" else coerce.integral(number)
 
 
 def _reasons(field: FieldSpec, missing: str) -> list[Column]:
@@ -67,15 +73,19 @@ def validate(df: DataFrame, spec: SourceSpec) -> DataFrame:
     carried = [c for c in ("ord", "payload", MALFORMED) if c in types]
     found = {f.name: _lookup(types, f) for f in spec.fields}
     nothing = F.lit(None).cast("string")
-    # Staged selects: each JSON path is followed once, each text is taken out once.
+    # Staged selects: each JSON path is followed once, each text is taken out and cast once.
     raw = df.select(
         *carried, *[(nothing if c is None else c).alias(f"_{n}") for n, (_, c) in found.items()]
     )
-    numeric = [f.name for f in spec.fields if f.kind != "string" and found[f.name][0] == "json"]
-    staged = raw.select(
-        "*",
-        *[coerce.json_to_string(F.col(f"_{n}")).alias(f"_{n}_text") for n in numeric],
-        *[coerce.json_number(F.col(f"_{n}")).alias(f"_{n}_number") for n in numeric],
+    numeric = [f for f in spec.fields if f.kind != "string"]
+    texts = [
+        coerce.json_to_string(F.col(f"_{f.name}")).alias(f"_{f.name}_text")
+        for f in numeric
+        if found[f.name][0] == "json"
+    ]
+    with_texts = raw.select("*", *texts)
+    staged = with_texts.select(
+        "*", *[_number(f, found[f.name][0]).alias(f"_{f.name}_number") for f in numeric]
     )
     values = [_typed(f, found[f.name][0]).alias(f.name) for f in spec.fields]
     int_fields = [f.name for f in spec.fields if f.kind == "int"]
