@@ -3,28 +3,74 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quotelake.catalog import table
-from quotelake.llm import hostrules, simhash, substrings
+from quotelake.llm import decontam, hostrules, htmltext, langid, mixing, quality, simhash, substrings, tokens, warc
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, max_bits=4)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return langid.identified(docs).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "_found.lang_pred", "_found.score")
+
+
+MIX_REPETITION = 1.5
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draw as many tokens as there are, with no source passed more than one and a half times."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    budget = docs.agg(F.sum(mixing.n_words(F.col("text")))).first()[0] or 0
+    drawn = mixing.mixed(docs, mixing.Mix(repetition=MIX_REPETITION, budget=int(budget)))
+    return drawn.select("doc_id", "source", mixing.n_words(F.col("text")).alias("n_words"), F.col("_pass").alias("pass"))
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrules.host_verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "lcs_share")
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extracted(table(spark, sf_dir, "pages"))
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.write_shards(table(spark, sf_dir, "documents"), tokens.shard_folder(spark))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(files, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeat_digests(table(spark, sf_dir, "documents"), k=13)
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_language": op2_language,
+    "op3_mixing": op3_mixing,
     "op4_host_rules": op4_host_rules,
+    "op5_quality": op5_quality,
+    "op6_decontamination": op6_decontamination,
+    "op7_html_text": op7_html_text,
+    "op8_token_shards": op8_token_shards,
+    "op9_warc": op9_warc,
     "op10_substrings": op10_substrings,
 }
 
@@ -34,6 +80,55 @@ _WORDS = r"""words AS (
 )"""
 
 ORACLE = {
+    "op3_mixing": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_words FROM documents
+),
+src AS (SELECT source, sum(n_words)::BIGINT AS t FROM d GROUP BY source),
+budget AS (SELECT sum(t)::DOUBLE AS b, max(t)::DOUBLE AS top FROM src),
+bisect(i, low, high) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, CASE WHEN over THEN mid ELSE low END, CASE WHEN over THEN high ELSE mid END
+  FROM (
+    SELECT i, low, high, (low + high) / 2 AS mid,
+      (SELECT max(b * pow(t / top, (low + high) / 2) / t) / sum(pow(t / top, (low + high) / 2)) FROM src, budget WHERE t > 0) > {MIX_REPETITION} AS over
+    FROM bisect WHERE i < 40
+  )
+),
+flat AS (SELECT max(b / t) / count(*) > {MIX_REPETITION} AS over FROM src, budget WHERE t > 0),
+ex AS (SELECT CASE WHEN (SELECT over FROM flat) THEN round((SELECT high FROM bisect WHERE i = 40), 6) ELSE 0.0 END AS a),
+z AS (SELECT sum(pow(t / top, a)) AS z FROM src, budget, ex WHERE t > 0),
+plan AS (
+  SELECT source, t, CASE WHEN t > 0 THEN floor(b * (pow(t / top, a) / z) / t * t + 1e-6)::BIGINT ELSE 0 END AS drawn FROM src, budget, ex, z
+),
+parts AS (SELECT source, CASE WHEN t > 0 THEN drawn // t ELSE 0 END AS whole, CASE WHEN t > 0 THEN drawn % t ELSE 0 END AS rest FROM plan),
+keyed AS (
+  SELECT d.*, whole, rest, md5('1|' || whole || '|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(d.source, '')) AS k
+  FROM d JOIN parts ON d.source IS NOT DISTINCT FROM parts.source
+),
+ahead AS (
+  SELECT *, coalesce(sum(n_words) OVER (PARTITION BY source ORDER BY k RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
+    - sum(n_words) OVER (PARTITION BY source, k) AS before FROM keyed
+),
+times AS (SELECT doc_id, source, n_words, whole + (before < rest)::INT AS n FROM ahead)
+SELECT doc_id, source, n_words, unnest(range(0, n::BIGINT))::BIGINT AS pass FROM times
+""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT h, max(page_id) AS first FROM p GROUP BY h),
+s AS (SELECT page_id, h, sha1(h) AS x, first FROM p JOIN g USING (h)),
+b AS (
+  SELECT *, list_transform(range(0, 8), lambda i: list_reduce(list_transform(range(1, 6), lambda j:
+    (instr('0123456789abcdef', substr(x, (i * 5 + j)::BIGINT, 1)) - 1)::BIGINT), lambda a, c: a * 16 + c)) AS v FROM s
+)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(v, lambda q: array_to_string(list_transform([32768, 1024, 32, 1], lambda m:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((q // m) % 32 + 1)::BIGINT, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM b
+""",
     "op4_host_rules": f"""
 WITH {_WORDS},
 wins AS (
