@@ -21,7 +21,7 @@ BINS = 1 << 16
 MAX_LANGUAGES = 256  # bounds the model at 64 MB
 BACKOFF = 0.02  # weight of the common distribution in each language's
 ROUNDS = 12
-PENALTY = 4.0  # per language beyond the first, times the logarithm of the trigrams
+PENALTY = 8.0  # per language beyond the first, times the logarithm of the trigrams
 PRIOR = 5.0  # trigrams' worth of doubt in a score
 UNDETERMINED = "und"
 _LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -144,7 +144,7 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_found", identify(docs.sparkSession, model, F.col("text")))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
     """The rows whose text has a language that makes up at least ``min_score`` of it."""
     rows = identified(docs)
     return rows.filter((F.col("_found.lang_pred") != UNDETERMINED) & (F.col("_found.score") >= min_score)).select(*docs.columns)

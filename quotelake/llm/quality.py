@@ -23,8 +23,8 @@ from quotelake.llm.words import mix
 
 BITS = 18
 SHARDS = 8
-ROUNDS = 3
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
+ROUNDS = 4
+ALPHA, BETA, L1, L2 = 1.5, 1.0, 0.01, 0.001
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
 _SAME = np.uint64(0x5851F42D4C957F2D)  # stands for the pair of a word with itself
 _MASK = np.uint64((1 << BITS) - 1)
