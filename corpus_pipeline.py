@@ -10,8 +10,8 @@ from quotelake.llm.scratch import materialised
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or in which no language makes up half of the text, go."""
-    return langid.keep_identified(docs, min_score=0.5)
+    """Documents without letters, or in which no language makes up 0.3 of the text, go."""
+    return langid.keep_identified(docs, min_score=0.3)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
