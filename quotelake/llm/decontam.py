@@ -213,11 +213,11 @@ def _hits(index: Index, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int,
     high = np.minimum(low + WINDOW, first[text + 1])
     mass = total[high] - total[low]
     at = np.flatnonzero(known[high] - known[low] >= KNOWN_SHARE * mass)
-    for part in np.array_split(at, -(-len(at) // 2048) if len(at) else 0):
+    for part in (at[i : i + 2048] for i in range(0, len(at), 2048)):
         span = low[part][:, None] + np.arange(WINDOW)
         word = np.where(span < high[part][:, None], place[np.minimum(span, len(place) - 1)], -1)
         weight = np.where(word >= 0, index.idf[word], 0.0).astype(np.float32)
-        folded = np.einsum("wn,wnk->wk", weight, index.basis[word], optimize=True) if len(part) <= 64 else _fold(index, word, weight)
+        folded = _fold(index, word, weight)
         cosine = folded @ index.latent.T / np.sqrt(np.maximum(mass[part], 1e-12))[:, None]
         for w, p in zip(*np.nonzero(cosine >= MIN_COSINE)):
             i = part[w]
