@@ -9,7 +9,9 @@ from quotelake.llm.scratch import drop, stored
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    """The smallest of each node and its neighbours, as a table: Spark then sizes the join with it, and can split a hub."""
+    found = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    return edges.sparkSession.read.parquet(stored(found, "least"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
