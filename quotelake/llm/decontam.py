@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotelake.llm.arrow import sliced
 from quotelake.llm.scratch import materialised
 from quotelake.llm.words import hashes, mix, spans
 from quotelake.session import local_rows
@@ -96,7 +97,7 @@ def _word_hashes(packed: bytes) -> np.ndarray:
 def _blocks(batches: Iterator[pa.RecordBatch]):
     """(ids, first word of each text and the end, word hashes) of about a megabyte of texts, or of one text."""
     ids, texts, size = [], [], 0
-    for batch in batches:
+    for batch in sliced(batches):
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             packed = normal(row[-1])
             if not packed:

@@ -8,10 +8,11 @@ few documents is not condemned by one of them.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.llm.arrow import values
 from quotelake.llm.scratch import materialised
 from quotelake.llm.words import covered, equal_groups, pack, spans, windows
 
@@ -45,10 +46,12 @@ def measures(text: str | None) -> tuple[int, int, int, int, int]:
 def measured(text: Column) -> Column:
     """The measures of each text as a struct."""
 
-    @F.pandas_udf("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-        return pd.DataFrame(np.array([measures(t) for t in texts], np.int64).reshape(-1, 5), columns=names)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+    @F.arrow_udf(", ".join(f"{n} bigint" for n in names))
+    def of(texts: pa.Array) -> pa.Array:
+        rows = np.array([measures(t) for t in values(texts)], np.int64).reshape(-1, len(names))
+        return pa.StructArray.from_arrays([pa.array(c) for c in rows.T], names)
 
     return of(text)
 

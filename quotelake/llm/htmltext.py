@@ -13,10 +13,12 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.llm.arrow import values
+
 # fixed values: element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -186,9 +188,9 @@ def main_text(html: str | None) -> str:
 def extract(html: Column) -> Column:
     """The main text of each page; null has an empty one."""
 
-    @F.pandas_udf("string")
-    def of(pages: pd.Series) -> pd.Series:
-        return pd.Series([main_text(h) for h in pages], dtype="object")
+    @F.arrow_udf("string")
+    def of(pages: pa.Array) -> pa.Array:
+        return pa.array([main_text(h) for h in values(pages)], pa.string())
 
     return of(html)
 

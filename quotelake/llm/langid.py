@@ -11,12 +11,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.llm.arrow import sliced, values
+
 BINS = 1 << 16
 MAX_LANGUAGES = 256  # bounds the model at 64 MB
 BACKOFF = 0.02  # weight of the common distribution in each language's
@@ -86,7 +87,7 @@ def _fit(p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in sliced(batches):
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own = counts.setdefault(lang, np.zeros(BINS, np.int64))
             bins, n = np.unique(trigrams(text), return_counts=True)
@@ -120,11 +121,11 @@ def identify(spark: SparkSession, model: Model, text: Column) -> Column:
     """A struct (lang_pred, score) for each text."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        for series in texts:
-            yield pd.DataFrame([model.predict(t) for t in series], columns=["lang_pred", "score"])
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(texts: pa.Array) -> pa.Array:
+        found = [shared.value.predict(t) for t in values(texts)]
+        columns = [pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
+        return pa.StructArray.from_arrays(columns, ["lang_pred", "score"])
 
     return predict(text)
 

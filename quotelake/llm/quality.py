@@ -11,12 +11,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.llm.arrow import sliced, values
 from quotelake.llm.langid import held_out
 from quotelake.llm.scratch import materialised
 from quotelake.llm.words import mix
@@ -52,7 +52,7 @@ def _follow(batches: Iterator[pa.RecordBatch], state: Broadcast) -> Iterator[pa.
     """One shard's pass: the touched coordinates of its state."""
     z, n = state.value[0].copy(), state.value[1].copy()
     seen = np.zeros(len(z), bool)
-    for batch in batches:
+    for batch in sliced(batches):
         for label, bins, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
             i, x = np.array(bins), np.array(value)
             w = _weights(z[i], n[i])
@@ -73,10 +73,11 @@ def train(texts: DataFrame) -> np.ndarray:
     """
     spark = texts.sparkSession
 
-    @F.pandas_udf("bins array<int>, value array<double>")
-    def encode(series: pd.Series) -> pd.DataFrame:
-        rows = [features(t) for t in series]
-        return pd.DataFrame({"bins": [r[0].astype(np.int32) for r in rows], "value": [r[1] for r in rows]})
+    @F.arrow_udf("bins array<int>, value array<double>")
+    def encode(texts: pa.Array) -> pa.Array:
+        rows = [features(t) for t in values(texts)]
+        columns = [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float64()))]
+        return pa.StructArray.from_arrays(columns, ["bins", "value"])
 
     rows = texts.select("label", "order", encode("text").alias("x")).select("label", "x.bins", "x.value", "order")
     rows = materialised(rows, "features")
@@ -100,11 +101,10 @@ def score(spark: SparkSession, weights: np.ndarray, text: Column) -> Column:
     """The probability of label 1 for each text; an empty one has the constant alone."""
     shared = spark.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("double")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def of(texts: pa.Array) -> pa.Array:
         w = shared.value
-        for series in texts:
-            yield pd.Series([_sigmoid(w[i] @ x) for i, x in map(features, series)], dtype="float64")
+        return pa.array([_sigmoid(w[i] @ x) for i, x in map(features, values(texts))], pa.float64())
 
     return of(text)
 

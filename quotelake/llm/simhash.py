@@ -12,12 +12,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.llm.arrow import values
 from quotelake.llm.components import components
 from quotelake.llm.scratch import materialised
 from quotelake.llm.words import spans
@@ -53,9 +53,9 @@ def fingerprint(text: str | None, k: int = 4) -> int:
 def simhash(text: Column, k: int = 4) -> Column:
     """The fingerprint of each text as a bigint with the same bits."""
 
-    @F.pandas_udf("bigint")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, k) for t in texts], np.uint64).view(np.int64))
+    @F.arrow_udf("bigint")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t, k) for t in values(texts)], np.uint64).view(np.int64))
 
     return of(text)
 

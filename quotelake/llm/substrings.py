@@ -17,12 +17,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.llm.arrow import ROWS, sliced
 from quotelake.llm.scratch import materialised
 from quotelake.llm.words import equal_groups, hashes, mix, pack, spans, windows
 
@@ -52,7 +52,7 @@ class _Block:
 
 def _pieces(batches: Iterator[pa.RecordBatch], k: int):
     """(doc, text hash, first word, words) of texts; a long text comes in pieces that overlap by k - 1 words."""
-    for batch in batches:
+    for batch in sliced(batches):
         for doc, text_hash, text in zip(*(c.to_pylist() for c in batch.columns)):
             packed = pack(text)
             doc = _NO_ID if doc is None else doc
@@ -274,10 +274,18 @@ def remove_repeats(docs: DataFrame, k: int = 13, **options) -> DataFrame:
     Other columns are ignored.
     """
 
-    @F.pandas_udf("n_words bigint, n_removed bigint, kept string")
-    def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
-        rows = [_cut(pack(t), f) for t, f in zip(texts, found)]
-        return pd.DataFrame({"n_words": [r[0] for r in rows], "n_removed": [r[1] for r in rows], "kept": [r[2].decode() for r in rows]})
+    return _cut_rows(docs, k, options, "kept", bytes.decode)
+
+
+def _cut_rows(docs: DataFrame, k: int, options: dict, name: str, of) -> DataFrame:
+    @F.arrow_udf(f"n_words bigint, n_removed bigint, {name} string")
+    def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
+        rows = []
+        for at in range(0, len(texts), ROWS):
+            pairs = zip(texts.slice(at, ROWS).to_pylist(), found.slice(at, ROWS).to_pylist())
+            rows += [(n, gone, of(kept)) for n, gone, kept in (_cut(pack(t), f) for t, f in pairs)]
+        columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.string()))]
+        return pa.StructArray.from_arrays(columns, ["n_words", "n_removed", name])
 
     return _with_ranges(docs, k, options).select("doc_id", cut("text", "found").alias("r")).select("doc_id", "r.*")
 
@@ -291,11 +299,4 @@ def _with_ranges(docs: DataFrame, k: int, options: dict) -> DataFrame:
 
 def repeat_digests(docs: DataFrame, k: int = 13, **options) -> DataFrame:
     """As ``remove_repeats``, with the SHA-256 of the kept words in place of the words."""
-
-    @F.pandas_udf("n_words bigint, n_removed bigint, kept_sha256 string")
-    def digest(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
-        rows = [_cut(pack(t), f) for t, f in zip(texts, found)]
-        sha = [hashlib.sha256(r[2]).hexdigest() for r in rows]
-        return pd.DataFrame({"n_words": [r[0] for r in rows], "n_removed": [r[1] for r in rows], "kept_sha256": sha})
-
-    return _with_ranges(docs, k, options).select("doc_id", digest("text", "found").alias("r")).select("doc_id", "r.*")
+    return _cut_rows(docs, k, options, "kept_sha256", lambda kept: hashlib.sha256(kept).hexdigest())

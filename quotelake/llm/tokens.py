@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotelake.llm.scratch import materialised, open_store
+from quotelake.llm.arrow import sliced
+from quotelake.llm.scratch import open_store
 from quotelake.llm.words import mix
 from quotelake.session import local_rows, scratch_path
 
@@ -105,7 +106,7 @@ def _pack(batches: Iterator[pa.RecordBatch], ranks: Broadcast, layout: Layout, p
             ["shard", "place", "n_tokens", "doc_ids", "payload"],
         )
 
-    for batch in batches:
+    for batch in sliced(batches):
         docs, ends, parts, total = list(tail_docs), list(tail_ends), [tail], len(tail)
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if not text:
@@ -136,9 +137,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout) -> It
     draft = f"{base}/.draft-{context.partitionId():06d}-{context.taskAttemptId()}"
     inflate = zstandard.ZstdDecompressor()
     out, shard, position = None, None, 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in sliced(batches):
         if out is None:
             store.create_dir(base, recursive=True)
             out, shard = store.open_output_stream(draft, compression=None), batch.column(0)[0].as_py()

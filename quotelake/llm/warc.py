@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.llm.arrow import sliced
 from quotelake.llm.scratch import materialised, open_store
 from quotelake.session import scratch_path
 
@@ -112,7 +113,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
     draft = f"{base}/.draft-{context.partitionId():06d}-{context.taskAttemptId()}"
     number = 0
     out = None
-    for batch in batches:
+    for batch in sliced(batches):
         for page, url, html, refers in zip(*(batch.column(i).to_pylist() for i in range(4))):
             out = out or store.open_output_stream(draft, compression=None)
             out.write(member(page, url, (html or "").encode(), refers, (context.partitionId() << 40) + number))
