@@ -115,18 +115,16 @@ def _grid(table: DataFrame, max_bits: int, block: int) -> DataFrame:
 
 
 def _forest(table: np.ndarray, probes: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that join up all pairs of a crowded cell within the distance: one per lookup and merge."""
+    """Pairs within the distance that connect what all such pairs of a crowded cell connect: one per lookup and merge."""
     label = np.arange(len(table))
     out = []
     for p in probes:
         at = np.flatnonzero(np.bitwise_count(table ^ p) <= max_bits)
         if not len(at):
             continue
-        if table[at[0]] != p:
-            out.append((int(p), int(table[at[0]])))
-        roots = np.unique(label[at])
+        roots, member = np.unique(label[at], return_index=True)
+        out += [(int(p), int(x)) for x in table[at[member]] if x != p]
         if len(roots) > 1:
-            out += [(int(table[r]), int(table[roots[0]])) for r in roots[1:]]
             label[np.isin(label, roots)] = roots[0]
     return out
 
