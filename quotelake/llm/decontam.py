@@ -26,7 +26,7 @@ WINDOW, STRIDE = 32, 16
 MIN_WORDS = 5
 RANK = 256
 POWERS = 2
-KNOWN_SHARE = 0.2  # least share of a window's squared weight in words that the benchmark has
+SCALES = ((32, 16), (16, 6))  # windows of the documents and their steps; the small ones are for short items
 MIN_COSINE = 0.35
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 8
@@ -65,7 +65,7 @@ class Index:
     vocabulary: np.ndarray  # sorted word hashes
     slots: np.ndarray  # the top bits of a hash to a first guess of its place
     idf: np.ndarray
-    rare: float  # the weight of a word that no item has
+    other: float  # the weight of a word that no item has: the median of those that have one
     basis: np.ndarray  # word x dimension
     latent: np.ndarray  # passage x dimension, of length one at most
 
@@ -187,7 +187,6 @@ def build_index(docs: DataFrame, items: list[tuple[int, str]]) -> Index | None:
     df = np.zeros(len(vocabulary))
     df[list(counted)] = list(counted.values())
     idf = np.log((n + 2) / (df + 1)) + 1e-3
-    rare = float(np.log((n + 2) / 2) + 1e-3)
     rows = []
     for w in words:
         at, tf = np.unique(np.searchsorted(vocabulary, np.array(w, np.uint64)), return_counts=True)
@@ -197,23 +196,27 @@ def build_index(docs: DataFrame, items: list[tuple[int, str]]) -> Index | None:
     matrix = local_rows(spark, rows, schema).repartition(min(8, len(rows)))
     basis = latent_basis(matrix, len(vocabulary))
     latent = np.stack([np.array(x) @ basis[at] for at, x in rows]).astype(np.float32)
-    return Index(np.array(owner, np.int64), words, answers, vocabulary, slots, idf, rare, basis, latent)
+    return Index(np.array(owner, np.int64), words, answers, vocabulary, slots, idf, float(np.median(idf)), basis, latent)
 
 
 def _hits(index: Index, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int, float, float]]:
     """(text, item, cosine, common subsequence) of passages found in the texts of a block."""
     place = index.places(h)
-    squares = np.where(place >= 0, index.idf[place] ** 2, index.rare**2)
+    squares = np.where(place >= 0, index.idf[place] ** 2, index.other**2)
     known = np.concatenate(([0.0], np.cumsum(np.where(place >= 0, squares, 0.0))))
     total = np.concatenate(([0.0], np.cumsum(squares)))
     counts = np.diff(first)
-    per_text = np.maximum(1, -(-(counts - WINDOW) // STRIDE) + 1)
-    text = np.repeat(np.arange(len(counts)), per_text)
-    number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-    low = first[text] + number * STRIDE
-    high = np.minimum(low + WINDOW, first[text + 1])
+    parts = []
+    for window, stride in SCALES:
+        per_text = np.maximum(1, -(-(counts - window) // stride) + 1)
+        text = np.repeat(np.arange(len(counts)), per_text)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+        low = first[text] + number * stride
+        parts.append((text, low, np.minimum(low + window, first[text + 1])))
+    text, low, high = (np.concatenate(x) for x in zip(*parts))
     mass = total[high] - total[low]
-    at = np.flatnonzero(known[high] - known[low] >= KNOWN_SHARE * mass)
+    # no cosine can be larger than the root of the share of the known words
+    at = np.flatnonzero(known[high] - known[low] >= MIN_COSINE**2 * mass)
     for part in (at[i : i + 2048] for i in range(0, len(at), 2048)):
         span = low[part][:, None] + np.arange(WINDOW)
         word = np.where(span < high[part][:, None], place[np.minimum(span, len(place) - 1)], -1)
