@@ -40,7 +40,7 @@ def permute(index: np.ndarray, size: int, key: int) -> np.ndarray:
     """A keyed permutation of 0 to ``size`` - 1: a Feistel network, walked until the value is in range."""
     half = max(1, ((size - 1).bit_length() + 1) // 2)
     low = np.uint64((1 << half) - 1)
-    keys = mix(np.arange(ROUNDS, dtype=np.uint64) + np.uint64(key & 0xFFFFFFFFFFFFFFFF) * np.uint64(0x9E3779B97F4A7C15))
+    keys = mix(np.arange(ROUNDS, dtype=np.uint64) + np.uint64(key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     out = np.asarray(index, np.uint64).copy()
     todo = np.arange(len(out))
     while len(todo):
