@@ -394,6 +394,27 @@ MARKET_TOPK = """
 SELECT p_partkey, p_name, p_retailprice FROM part ORDER BY p_retailprice DESC NULLS LAST, p_partkey LIMIT 50
 """
 
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a cell too many, some with 20,000 quoted characters, judged with all columns and with one."""
+    path = scratch_path(spark, "long")
+    cell = F.when(F.col("c_custkey") % 100 == 0, F.repeat(F.lit('""'), 10_000)).otherwise(F.col("c_name"))
+    extra = F.when(F.col("c_custkey") % 3 == 0, ",more").otherwise("")
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(',"'), cell, F.lit('"'), extra)
+    # one header per file: the lines are written below it as one text
+    rows = table(spark, sf_dir, "customer").groupBy((F.col("c_custkey") % 8).alias("f")).agg(F.array_join(F.collect_list(line), "\n").alias("t"))
+    rows.select(F.concat(F.lit("id,name\n"), "t")).repartition(8).write.text(path)
+    whole = scan_csv(spark, path).filter(F.col("id") != "id")
+    one = scan_csv(spark, path).filter(F.col("id") != "id").select(F.col("id").alias("other"), F.col("malformed").alias("alone"))
+    return whole.join(one, F.col("id") == F.col("other")).select(F.col("id").cast("bigint").alias("id"), F.length("name").cast("bigint").alias("n"), "malformed", "alone")
+
+
+CSV_MALFORMED = """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 100 = 0 THEN 10000 ELSE length(c_name) END::BIGINT AS n,
+  c_custkey % 3 = 0 AS malformed, c_custkey % 3 = 0 AS alone
+FROM customer
+"""
+
+
 QUERIES = {
     "unify_sources": unify_sources,
     "lenient_double": lenient_double,
@@ -402,6 +423,7 @@ QUERIES = {
     "reject_split": reject_split,
     "reject_counts": reject_counts,
     "csv_roundtrip": csv_roundtrip,
+    "csv_malformed": csv_malformed,
     "json_lines_scan": json_lines_scan,
     "json_array_scan": json_array_scan,
     "active_first_n": active_first_n,
@@ -418,6 +440,7 @@ ORACLE = {
     "reject_split": REJECT_SPLIT,
     "reject_counts": REJECT_COUNTS,
     "csv_roundtrip": CSV_ROUNDTRIP,
+    "csv_malformed": CSV_MALFORMED,
     "json_lines_scan": JSON_LINES_SCAN,
     "json_array_scan": JSON_ARRAY_SCAN,
     "active_first_n": ACTIVE_FIRST_N,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,8 @@ from quotelake.operators.validate import REASONS
 from quotelake.plans import control, reads
 from quotelake.plans.pipeline import load_batch, run_all, scan_source
 from quotelake.session import scratch_path
+from quotelake.sources.json_files import scan_json
+from quotelake.sources.listing import market_top_records
 from quotelake.specs import CSV, MARKET, TICKER
 from quotelake.streaming.ingest import load_new_files, upsert_stream
 from quotelake.tables import KeyedTable, Lake
@@ -52,7 +53,7 @@ def line_quotes(spark: SparkSession, sf_dir: str, nulls: bool = False) -> DataFr
 
 def _stored_and_batch(quotes: DataFrame, policy: UpsertPolicy) -> tuple[DataFrame, DataFrame]:
     """The table after all rows before the cutoff, and the rows after it as one batch."""
-    before = F.col("l_shipdate") < F.expr(f"TIMESTAMP_NTZ '{CUTOFF} 00:00:00'")
+    before = F.coalesce(F.col("l_shipdate") < F.expr(f"TIMESTAMP_NTZ '{CUTOFF} 00:00:00'"), F.lit(False))
     stored = fold_batch(quotes.filter(before), policy, ORDER)
     return stored.withColumns({c: F.expr(STORED_AT) for c in policy.stamps}), quotes.filter(~before)
 
@@ -116,7 +117,7 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_delta_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     quotes = line_quotes(spark, sf_dir).select("coin_id", "source", "l_shipdate")
-    before = F.col("l_shipdate") < F.expr(f"TIMESTAMP_NTZ '{CUTOFF} 00:00:00'")
+    before = F.coalesce(F.col("l_shipdate") < F.expr(f"TIMESTAMP_NTZ '{CUTOFF} 00:00:00'"), F.lit(False))
     return upsert_delta(quotes.filter(before), quotes.filter(~before), ("coin_id", "source"))
 
 
@@ -136,12 +137,13 @@ TABLE_SCHEMA = T.StructType(
         *[T.StructField(m, T.IntegerType() if m == "rank" else T.DoubleType()) for m in METRICS],
     ]
 )
-SLICES = ("1995-01-01", "1997-06-01", "2000-03-01", "2100-01-01")
+SLICES = ("1997-06-01", "2000-03-01")
 
 
 def _slices(quotes: DataFrame) -> list[DataFrame]:
-    day = F.col("l_shipdate")
-    return [quotes.filter((day >= F.lit(a).cast("date")) & (day < F.lit(b).cast("date"))) for a, b in zip(SLICES, SLICES[1:])]
+    """Three batches by ship date; rows without one come first."""
+    a, b = (F.coalesce(F.col("l_shipdate") >= F.lit(day).cast("date"), F.lit(False)) for day in SLICES)
+    return [quotes.filter(~a), quotes.filter(a & ~b), quotes.filter(b)]
 
 
 def keyed_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,10 +240,6 @@ def _land_parts(spark: SparkSession, sf_dir: str, root: str) -> str:
     return f"{root}/parts"
 
 
-# The listing limits are lifted so that whole tables load.
-WHOLE = {s.name: replace(s, limit=None) for s in (TICKER, MARKET, CSV)}
-
-
 def _loaded(spark: SparkSession, sf_dir: str, loads: int = 1) -> Lake:
     root = scratch_path(spark, "lake")
     inputs = {
@@ -251,7 +249,7 @@ def _loaded(spark: SparkSession, sf_dir: str, loads: int = 1) -> Lake:
     }
     lake = Lake(spark, f"{root}/lake")
     for _ in range(loads):
-        for result in run_all(lake, inputs, WHOLE, attempts=1):
+        for result in run_all(lake, inputs, attempts=1):
             if result.error:
                 raise RuntimeError(f"{result.source}: {result.error}")
     return lake
@@ -296,7 +294,7 @@ def load_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LOAD_STATISTICS = """
-SELECT source, CAST(n AS INTEGER) AS records_processed, CAST(2 AS BIGINT) AS total_runs, CAST(100 AS DOUBLE) AS success_rate,
+SELECT source, CAST(n AS BIGINT) AS records_processed, CAST(2 AS BIGINT) AS total_runs, CAST(100 AS DOUBLE) AS success_rate,
        'success' AS last_run_status, TRUE AS has_success, FALSE AS has_failure
 FROM (SELECT 'coinpaprika' AS source, count(*) AS n FROM customer WHERE c_nationkey >= 5 AND c_nationkey < 20
       UNION ALL SELECT 'coingecko', count(*) FROM supplier
@@ -329,6 +327,113 @@ UNION ALL SELECT 'unified', count(*) FROM part WHERE p_size <= 45
 """
 
 
+def load_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four polls of the same entities, loaded at once with the shipped spec: the last price counts."""
+    root = scratch_path(spark, "polls")
+    for poll in range(4):
+        record = F.struct(
+            F.concat(F.lit("s"), "s_suppkey").alias("id"),
+            F.col("s_name").alias("name"),
+            F.col("s_name").alias("symbol"),
+            (F.col("s_suppkey") + poll).alias("current_price"),
+        )
+        pages = table(spark, sf_dir, "supplier").groupBy(F.floor(F.col("s_suppkey") / 500).alias("page"))
+        pages.agg(F.to_json(F.collect_list(record)).alias("value")).write.mode("append").partitionBy("page").text(f"{root}/market")
+    lake = Lake(spark, f"{root}/lake")
+    (result,) = run_all(lake, {MARKET.name: f"{root}/market"}, attempts=1)
+    return lake.unified.read().select("coin_id", "price_usd", F.lit(result.processed).cast("bigint").alias("processed"))
+
+
+LOAD_POLLS = """
+SELECT concat('s', s_suppkey) AS coin_id, CAST(s_suppkey + 3 AS DOUBLE) AS price_usd, (SELECT 4 * count(*) FROM supplier) AS processed
+FROM supplier
+"""
+
+
+def top_n_per_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three largest of each landed listing, one listing file per nation."""
+    path = scratch_path(spark, "listings")
+    record = F.struct(F.concat(F.lit("s"), "s_suppkey").alias("id"), F.col("s_acctbal").alias("market_cap"))
+    lists = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.to_json(F.collect_list(record)).alias("value"))
+    lists.write.partitionBy("s_nationkey").text(path)
+    top = market_top_records(scan_json(spark, path, "json_array"), n=3)
+    return top.select(F.expr("variant_get(record, '$.id', 'string')").alias("id"))
+
+
+TOP_N_PER_LISTING = """
+SELECT concat('s', s_suppkey) AS id FROM supplier
+QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, '"s' || s_suppkey || '"') <= 3
+"""
+
+
+def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of one batch delivered twice, stored row by row and summed up by field."""
+    path = scratch_path(spark, "drifting")
+    part = table(spark, sf_dir, "part")
+    record = F.struct(
+        F.concat(F.lit("p"), "p_partkey").alias("id"),
+        F.col("p_name").alias("name"),
+        F.col("p_brand").alias("symbol"),
+        F.when(F.col("p_size") > 25, F.col("p_size")).alias("rank"),
+        F.create_map().cast("map<string,string>").alias("quotes"),
+    )
+    part.select(F.to_json(record)).write.text(path)
+    found = []
+    for form in ("rows", "summary"):
+        lake = Lake(spark, f"{path}-{form}")
+        lake.create_tables()
+        for _ in range(2):
+            load_batch(lake, TICKER, scan_source(spark, TICKER, path), "one", MOMENT, form)
+        sums = lake.drift.read().groupBy("drift_type", "field_name")
+        found.append(sums.agg(F.sum("occurrences").alias("occurrences")).withColumn("form", F.lit(form)))
+    return found[0].unionByName(found[1])
+
+
+DRIFT_LOG = """
+SELECT 'missing_field' AS drift_type, 'rank' AS field_name, count(*)::BIGINT AS occurrences, form
+FROM part, (VALUES ('rows'), ('summary')) AS f(form) WHERE p_size <= 25 GROUP BY form
+"""
+
+
+def keyed_table_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups with characters that a file system reserves are found again."""
+    target = KeyedTable(spark, scratch_path(spark, "groups"), TABLE_SCHEMA, "coin_id", "source")
+    target.create()
+    names = F.array(*(F.lit(n) for n in ("a/b", "x=y", "a:b", "50%")))
+    quotes = line_quotes(spark, sf_dir).withColumn("source", F.element_at(names, (F.col("coin_id") % 4 + 1).cast("int")))
+    target.upsert(quotes, _policy(FULL, stamped=False), ORDER, "all", MOMENT)
+    return target.read().select("coin_id", "source")
+
+
+KEYED_TABLE_GROUPS = """
+SELECT DISTINCT l_partkey AS coin_id, ['a/b', 'x=y', 'a:b', '50%'][(l_partkey % 4 + 1)::INT] AS source FROM lineitem
+"""
+
+
+def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw history of the market source after two loads, with a field that no spec knows."""
+    root = scratch_path(spark, "raw")
+    record = F.struct(
+        F.concat(F.lit("s"), "s_suppkey").alias("id"),
+        F.col("s_name").alias("name"),
+        F.lower("s_name").alias("symbol"),
+        F.col("s_nationkey").alias("unknown"),
+    )
+    pages = table(spark, sf_dir, "supplier").groupBy(F.floor(F.col("s_suppkey") / 500).alias("page"))
+    pages.agg(F.to_json(F.collect_list(record)).alias("value")).write.partitionBy("page").text(f"{root}/market")
+    lake = Lake(spark, f"{root}/lake")
+    for _ in range(2):
+        run_all(lake, {MARKET.name: f"{root}/market"}, attempts=1)
+    unknown = F.expr("variant_get(raw_data, '$.unknown', 'bigint')").alias("unknown")
+    return lake.raw(MARKET).select("coin_id", "symbol", unknown)
+
+
+RAW_MARKET = """
+SELECT concat('s', s_suppkey) AS coin_id, lower(s_name) AS symbol, s_nationkey::BIGINT AS unknown
+FROM supplier, (VALUES (1), (2)) AS loads(n)
+"""
+
+
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files arriving in two lots, loaded incrementally; the run log counts each."""
     root = scratch_path(spark, "arrivals")
@@ -370,6 +475,11 @@ QUERIES = {
     "load_statistics": load_statistics,
     "raw_append_counts": raw_append_counts,
     "stream_load": stream_load,
+    "load_polls": load_polls,
+    "top_n_per_listing": top_n_per_listing,
+    "drift_log": drift_log,
+    "keyed_table_groups": keyed_table_groups,
+    "raw_market": raw_market,
 }
 
 ORACLE = {
@@ -385,4 +495,9 @@ ORACLE = {
     "load_statistics": LOAD_STATISTICS,
     "raw_append_counts": RAW_APPEND_COUNTS,
     "stream_load": STREAM_LOAD,
+    "load_polls": LOAD_POLLS,
+    "top_n_per_listing": TOP_N_PER_LISTING,
+    "drift_log": DRIFT_LOG,
+    "keyed_table_groups": KEYED_TABLE_GROUPS,
+    "raw_market": RAW_MARKET,
 }

@@ -105,12 +105,18 @@ def validate(df: DataFrame, spec: SourceSpec) -> DataFrame:
     )
 
 
+def _settled(validated: DataFrame) -> DataFrame:
+    """The same rows behind a boundary: a filter above it is not pushed below the staged
+    projections, where it would bring in a copy of every parse and cast."""
+    return validated.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in validated.columns]))))
+
+
 def accepted(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.size(REASONS) == 0).drop(REASONS)
+    return _settled(validated).filter(F.size(REASONS) == 0).drop(REASONS)
 
 
 def rejected(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.size(REASONS) > 0)
+    return _settled(validated).filter(F.size(REASONS) > 0)
 
 
 def record_counts(validated: DataFrame) -> DataFrame:

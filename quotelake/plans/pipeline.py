@@ -18,7 +18,7 @@ from quotelake.operators.validate import validate
 from quotelake.plans import control
 from quotelake.sources.csv_files import scan_csv
 from quotelake.sources.json_files import scan_json
-from quotelake.sources.listing import active_only, enrich, first_n, flatten_quotes, market_top_records, variant_field
+from quotelake.sources.listing import active_only, enrich, flatten_quotes, market_top_records, per_file, variant_field
 from quotelake.specs import SOURCES, SourceSpec
 from quotelake.tables import Lake
 
@@ -56,8 +56,8 @@ def scan_source(
 ) -> DataFrame:
     """Records of a landed source.
 
-    ``listing_path`` is the entity list that selects detail records: active ones, the
-    first ``spec.limit`` in file order.  Without it every detail record counts.
+    ``listing_path`` is the entity list that selects detail records: active ones, with a
+    ``spec.limit`` the first so many of each listing file.  Without it every detail record counts.
     """
     if spec.layout == "csv":
         return scan_csv(spark, path, spec.multi_line)
@@ -66,12 +66,12 @@ def scan_source(
         if listing_path:
             listing = active_only(scan_json(spark, listing_path, "json_array").filter(~F.col("malformed")))
             if spec.limit:
-                listing = first_n(listing, spec.limit)
+                listing = per_file(listing, spec.limit, F.asc("ord"))
             # a key listed twice is looked up once here; the upsert would fold it anyway
             key = F.nullif(F.to_json(variant_field("record", "id")), F.lit("null")).alias("_key")
             keys = listing.select(key).distinct()
             keyed = records.select("*", key)
-            records = enrich(keys, keyed, "_key", spec.limit).drop("_key")
+            records = enrich(keys, keyed, "_key").drop("_key")
         return flatten_quotes(records)
     return market_top_records(records, n=spec.limit) if spec.limit else records
 
@@ -86,8 +86,8 @@ def load_batch(
 ) -> tuple[int, int]:
     """Validate, land and upsert one batch; returns the accepted and rejected counts.
 
-    Safe to repeat with the same ``batch_id``: the landed folder is replaced and the
-    upsert is skipped when it was published.  ``drift`` is ``"rows"`` for one drift row per
+    Safe to repeat with the same ``batch_id``: the landed folder and the
+    drift rows are replaced and the upsert is skipped when it was published.  ``drift`` is ``"rows"`` for one drift row per
     record and field, ``"summary"`` for one per field, or None.
     """
     landed = lake.land(validate(records, spec), spec.name, batch_id, now)
@@ -98,7 +98,7 @@ def load_batch(
         batch = with_identity(unify(good, spec, F.lit(now), keep=("ord",)))
         lake.unified.upsert(batch, unified_policy(spec), ("ord",), batch_id, now)
     if drift and spec.expected_types:
-        lake.drift.append(drift_rows(landed, spec, now, drift).select(*lake.drift.schema.names))
+        lake.drift.replace(drift_rows(landed, spec, now, drift).select(*lake.drift.schema.names), batch_id)
     return processed, failed
 
 
@@ -112,7 +112,7 @@ def drift_rows(landed: DataFrame, spec: SourceSpec, now: datetime, form: str) ->
         raise ValueError("drift is 'rows' or 'summary'")
     found = drifts.detect(landed, spec.expected_types, spec.name, F.lit(now), record="payload")
     if form == "rows":
-        return found
+        return found.withColumn("occurrences", F.lit(1).cast("bigint"))
     return drifts.summarize(found).withColumns({"detected_at": F.lit(now), "resolved": F.lit(False)})
 
 
@@ -149,17 +149,17 @@ def run_source(
         processed, failed = with_retry(
             lambda: load_batch(lake, spec, records(), run_id, started, drift), attempts, wait
         )
+        done = clock()
+        fetched = processed + failed
+        last_id = str(fetched) if fetched else ""
+        control.update_checkpoint(lake, spec.name, last_id, done, "success", processed)
+        control.complete_run(lake, run_id, spec.name, "success", started, done, processed, failed)
     except Exception as error:
         done = clock()
         message = str(error)
         control.update_checkpoint(lake, spec.name, "", done, "failure", 0, message)
         control.complete_run(lake, run_id, spec.name, "failed", started, done, 0, 0, message)
         raise
-    done = clock()
-    fetched = processed + failed
-    last_id = str(fetched) if fetched else ""
-    control.update_checkpoint(lake, spec.name, last_id, done, "success", processed)
-    control.complete_run(lake, run_id, spec.name, "success", started, done, processed, failed)
     return RunResult(spec.name, run_id, "success", processed, failed)
 
 

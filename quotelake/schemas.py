@@ -82,7 +82,7 @@ CHECKPOINT_SCHEMA = _schema(
     ("source_name", STR, False),
     ("last_processed_id", STR),
     ("last_processed_timestamp", TS),
-    ("records_processed", INT),
+    ("records_processed", LONG),
     ("last_run_status", STR),
     ("last_error", STR),
     ("created_at", TS),
@@ -93,8 +93,8 @@ RUN_SCHEMA = _schema(
     ("run_id", STR, False),
     ("source_name", STR, False),
     ("status", STR, False),
-    ("records_processed", INT),
-    ("records_failed", INT),
+    ("records_processed", LONG),
+    ("records_failed", LONG),
     ("duration_seconds", DBL),
     ("error_message", STR),
     ("run_metadata", STR),
@@ -110,6 +110,7 @@ DRIFT_SCHEMA = _schema(
     ("actual_type", STR),
     ("confidence_score", DBL),
     ("sample_value", STR),
+    ("occurrences", LONG),
     ("detected_at", TS),
     ("resolved", BOOL),
 )

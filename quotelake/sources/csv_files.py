@@ -43,12 +43,6 @@ SAMPLE_ROWS = (
 CORRUPT = "_corrupt_record"
 
 
-def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
-    """True when a physical line holds an odd number of quotes, so a row may span lines."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
-
-
 def csv_reader_options(multi_line: bool) -> dict[str, str]:
     return {
         "header": "true",
@@ -57,6 +51,7 @@ def csv_reader_options(multi_line: bool) -> dict[str, str]:
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
         "enforceSchema": "false",  # a file whose header differs fails the read
+        "columnPruning": "false",  # a pruned parse would not see that a row is too long
     }
 
 
@@ -66,14 +61,12 @@ def header_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Batch read as text columns plus file columns.
 
-    Files without quoted line breaks can be split among tasks; with ``multi_line=None`` a
-    first pass over the lines finds out, and only files that need it are read unsplit.
+    Files are split among tasks.  ``multi_line`` is for feeds with line breaks inside
+    quotes: each of their files is then read by one task.
     """
-    if multi_line is None:
-        multi_line = has_quoted_line_breaks(spark, path)
     return with_file_columns(
         spark.read.schema(header_schema(spark, path)).options(**csv_reader_options(multi_line)).csv(path)
     )
@@ -84,8 +77,11 @@ def csv_records(lines: DataFrame) -> DataFrame:
     with more fields than the header (rows with fewer end in NULLs and are fine)."""
     names = [c for c in lines.columns if c != CORRUPT and c not in FILE_COLUMNS]
     corrupt = F.col(CORRUPT)
-    outside_quotes = F.regexp_replace(corrupt, r'"(?:[^"]|"")*"', "")
-    too_long = corrupt.isNotNull() & (F.size(F.split(outside_quotes, ",", -1)) > len(names))
+    outside_quotes = F.regexp_replace(corrupt, r'"[^"]*"', "")  # a doubled quote is two quoted runs side by side
+    # adds nothing, but keeps a field in the read: Spark refuses to read the corrupt record alone
+    nothing = F.least(F.lit(0), F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))))
+    width = F.lit(len(names)) + nothing
+    too_long = corrupt.isNotNull() & (F.size(F.split(outside_quotes, ",", -1)) > width)
     cleaned = [
         F.when(F.col(f"`{n}`").isin(*MISSING_TOKENS), None).otherwise(F.col(f"`{n}`")).alias(n) for n in names
     ]
@@ -99,7 +95,7 @@ def csv_records(lines: DataFrame) -> DataFrame:
     )
 
 
-def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return csv_records(read_csv(spark, path, multi_line))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quotelake.functions.coerce import json_kind, json_to_double, json_truthy
 
@@ -19,10 +20,6 @@ QUOTE_FIELDS = {  # nested name under quotes.USD -> flat name
 TICKER_FIELDS = ("id", "name", "symbol", "rank")
 # --- end of fixed values ------------------------------------------------------------
 
-# A limited listing of at most this many rows is small enough to broadcast.
-BROADCAST_LISTING_ROWS = 10_000
-
-
 def variant_field(record: Column | str, *path: str) -> Column:
     """A field as VARIANT: NULL when absent, a variant null when the JSON says null."""
     return F.try_variant_get(record, "$" + "".join(f"['{p}']" for p in path), "variant")
@@ -38,14 +35,20 @@ def first_n(df: DataFrame, n: int = PAGE_LIMIT, order: str = "ord") -> DataFrame
     return df.orderBy(order).limit(n)
 
 
-def enrich(listing: DataFrame, detail: DataFrame, key: str, listing_limit: int | None = None) -> DataFrame:
-    """Detail rows of the listed keys; keys without a detail row drop out.
+def per_file(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The first ``n`` records of each file in the given order, and all malformed ones.
 
-    ``listing_limit`` is the row limit the listing was cut to, when it was: only such a
-    proven bound turns into a broadcast.  An unlimited listing joins as Spark decides.
+    A listing file is one poll, so a limit holds for each.  Spark cuts every partition to
+    ``n`` rows a file before it brings a file's rows together.
     """
-    if listing_limit is not None and listing_limit <= BROADCAST_LISTING_ROWS:
-        listing = F.broadcast(listing)
+    place = F.row_number().over(Window.partitionBy("ord.file_path").orderBy(*order))
+    whole = ~F.col("malformed") if "malformed" in df.columns else F.lit(True)
+    first = df.filter(whole).withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+    return first.unionByName(df.filter(~whole)) if "malformed" in df.columns else first
+
+
+def enrich(listing: DataFrame, detail: DataFrame, key: str) -> DataFrame:
+    """Detail rows of the listed keys; keys without a detail row drop out."""
     return detail.join(listing, key, "inner")
 
 
@@ -57,11 +60,11 @@ def market_top(
 
 
 def market_top_records(df: DataFrame, record: str = "record", n: int = PAGE_LIMIT) -> DataFrame:
-    """:func:`market_top` on scanned JSON records."""
+    """:func:`market_top` of each file of scanned JSON records; malformed ones stay."""
     ranked = df.withColumn("_cap", json_to_double(variant_field(record, "market_cap"))).withColumn(
         "_id", F.to_json(variant_field(record, "id"))
     )
-    return market_top(ranked, "_cap", "_id", n).drop("_cap", "_id")
+    return per_file(ranked, n, F.desc_nulls_last("_cap"), F.asc("_id"), F.asc("ord")).drop("_cap", "_id")
 
 
 def flatten_quotes(df: DataFrame, record: str = "record") -> DataFrame:

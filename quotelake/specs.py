@@ -39,7 +39,7 @@ class SourceSpec:
     update_columns: tuple[str, ...]
     nested_quotes: bool = False
     limit: int | None = None  # records taken per load: first N listed, or top N by market cap
-    multi_line: bool | None = None  # CSV rows may span lines: yes, no, or look first
+    multi_line: bool = False  # CSV rows may span lines; files are then read unsplit
     expected_types: dict[str, str] = field(default_factory=dict, hash=False)
 
     def __post_init__(self) -> None:
@@ -68,7 +68,6 @@ TICKER = SourceSpec(
     name="coinpaprika",
     layout="ndjson",
     nested_quotes=True,
-    limit=50,
     fields=_identity("id", "coin_id")
     + (
         FieldSpec("rank", "int", "rank"),
@@ -90,7 +89,6 @@ TICKER = SourceSpec(
 MARKET = SourceSpec(
     name="coingecko",
     layout="json_array",
-    limit=50,
     fields=_identity("id", "coin_id")
     + (
         FieldSpec("current_price", "double", "price_usd"),

@@ -17,7 +17,7 @@ from quotelake.operators.upsert import UpsertPolicy
 from quotelake.plans.pipeline import run_source, utc_now
 from quotelake.sources.csv_files import CORRUPT, csv_reader_options, csv_records
 from quotelake.sources.json_files import JSON_SCHEMA, json_reader_options, json_records
-from quotelake.sources.listing import flatten_quotes
+from quotelake.sources.listing import flatten_quotes, market_top_records
 from quotelake.sources.order import with_file_columns
 from quotelake.specs import SourceSpec
 from quotelake.tables import KeyedTable, Lake
@@ -40,8 +40,7 @@ def stream_files(
     if spec.layout == "csv":
         names = columns or tuple(f.name for f in spec.fields)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
-        # a stream cannot look ahead: unless the spec says no, rows may span lines
-        options = csv_reader_options(spec.multi_line is not False)
+        options = csv_reader_options(spec.multi_line)
         frame = reader.schema(schema).options(**options).csv(path)
     else:
         frame = reader.schema(JSON_SCHEMA).options(**json_reader_options(spec.layout)).json(path)
@@ -52,7 +51,9 @@ def batch_records(batch: DataFrame, spec: SourceSpec) -> DataFrame:
     if spec.layout == "csv":
         return csv_records(batch)
     records = json_records(batch, spec.layout)
-    return flatten_quotes(records) if spec.nested_quotes else records
+    if spec.nested_quotes:
+        return flatten_quotes(records)
+    return market_top_records(records, n=spec.limit) if spec.limit else records
 
 
 def batch_name(batch: DataFrame, epoch: int) -> str:
@@ -72,9 +73,8 @@ def load_new_files(
 ) -> StreamingQuery:
     """Load all files that are new since the last call, then stop.
 
-    ``max_files`` splits a large backlog into micro-batches, oldest files first.
-
-    Every record of a new file is loaded: the listing limits apply to polled listings.
+    ``max_files`` splits a large backlog into micro-batches, oldest files first.  A spec's
+    limit holds for each listing file, as in a batch load.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:

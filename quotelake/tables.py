@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake import schemas
-from quotelake.operators.upsert import BROADCAST_ROWS, UpsertPolicy, fold_batch, merge, merge_small
+from quotelake.operators.upsert import SMALL_ROWS, UpsertPolicy, fold_batch, merge, merge_small
 from quotelake.session import local_rows
 from quotelake.specs import SourceSpec
 
@@ -38,8 +38,12 @@ class LogTable:
         """Append a handful of driver-side control rows as one file."""
         self.append(local_rows(self.spark, rows, self.schema).coalesce(1))
 
+    def replace(self, rows: DataFrame, batch_id: str) -> None:
+        """Append the rows of a batch; the same batch again replaces them."""
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch-{batch_id}")
+
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(self.path)
 
 
 class KeyedTable:
@@ -49,7 +53,7 @@ class KeyedTable:
     the key.  An upsert rewrites only the groups and shards its batch touches; a log row
     per rewritten shard makes the new files current.  The log also names the batch, so a
     batch that is delivered twice is applied once.  Choose ``shards`` so that a shard of the
-    largest group holds some tens of GB: a small batch then rewrites little.
+    largest group holds some tens of GB.  A batch with more keys than shards rewrites them all.
     """
 
     LOG_SCHEMA = T.StructType(
@@ -97,7 +101,9 @@ class KeyedTable:
         if not parts:
             return local_rows(self.spark, [], stored)
         layout = T.StructType([*stored.fields, T.StructField("version", T.LongType())])
-        paths = [f"{self.root}/data/version={v}/{self.group}={g}/{SHARD}={s}" for v, g, s in sorted(parts)]
+        escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        folders = {g: escaped(g) for _, g, _ in parts}  # as Spark's writer names them
+        paths = [f"{self.root}/data/version={v}/{self.group}={folders[g]}/{SHARD}={s}" for v, g, s in sorted(parts)]
         reader = self.spark.read.schema(layout).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*stored.names)
 
@@ -122,19 +128,23 @@ class KeyedTable:
     ) -> bool:
         """Apply a batch and publish it; False when it was applied before.
 
-        ``batch`` is read more than once and must be stored data.  Its row count decides
-        whether it may be broadcast (see ``merge``).
+        ``batch`` is read more than once and must be stored data.  A batch with a NULL key, or
+        a NULL or empty group, is an error before anything is written.
         """
         parts, published = self._state(batch_id)
         if published:
             return False
         placed = batch.withColumn(SHARD, self.shard_of(F.col(self.key)))
-        touched = {(r[0], r[1]): r[2] for r in placed.groupBy(self.group, SHARD).count().collect()}
+        missing = F.count_if(F.col(self.key).isNull()).alias("missing")
+        found = placed.groupBy(self.group, SHARD).agg(F.count("*").alias("n"), missing).collect()
+        if any(r["missing"] or not r[0] for r in found):
+            raise ValueError(f"a row without {self.key} or {self.group}")
+        touched = {(r[0], r[1]): r["n"] for r in found}
         version = max((v for v, _, _ in parts), default=0) + 1
         current = self._read_parts([p for p in parts if (p[1], p[2]) in touched])
         # The shard follows from the key, so as a key column it changes nothing.
         sharded = UpsertPolicy((*policy.keys, SHARD), policy.update, policy.created, policy.touched)
-        small = sum(touched.values()) <= BROADCAST_ROWS
+        small = sum(touched.values()) <= SMALL_ROWS
         folded = fold_batch(placed, sharded, order)
 
         def even(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quotelake.plans import control, reads
 from quotelake.plans.pipeline import load_batch, run_all, run_source, scan_source, utc_now, with_retry
-from quotelake.specs import CSV, MARKET, TICKER, FieldSpec, SourceSpec
+from quotelake.specs import CSV, MARKET, SOURCES, TICKER, FieldSpec, SourceSpec
 from quotelake.streaming.ingest import load_new_files
 from quotelake.tables import Lake
 
@@ -54,7 +54,8 @@ def landed(tmp_path):
 
 def test_run_all_loads_limits_and_reports(spark, lake, tmp_path):
     inputs = landed(tmp_path)
-    results = run_all(lake, inputs, attempts=1)
+    limited = {**SOURCES, TICKER.name: replace(TICKER, limit=50), MARKET.name: replace(MARKET, limit=50)}
+    results = run_all(lake, inputs, limited, attempts=1)
     assert [(r.source, r.status, r.processed, r.failed) for r in results] == [
         ("coinpaprika", "success", 50, 0), ("coingecko", "success", 50, 0), ("csv", "success", 2, 1)
     ]
@@ -71,7 +72,7 @@ def test_run_all_loads_limits_and_reports(spark, lake, tmp_path):
     assert control.get_checkpoint(lake, "none") is None
 
     created, ids = rows["csv", "a"].created_at, rows["csv", "a"].id
-    run_all(lake, inputs, attempts=1)
+    run_all(lake, inputs, limited, attempts=1)
     again = unified(lake)
     assert len(again) == 101 and again["csv", "a"].created_at == created and again["csv", "a"].id == ids
     assert again["csv", "a"].updated_at > created
@@ -197,3 +198,27 @@ def test_json_streams(spark, lake, tmp_path, spec):
     write(tmp_path / "in" / "1.json", text)
     load_new_files(lake, spec, str(tmp_path / "in"), str(tmp_path / "cp"))
     assert lake.unified.read().filter(F.col("source") == spec.name).count() == len(rows)
+
+
+def test_several_polls_keep_every_entity(spark, lake, tmp_path):
+    for poll in range(4):
+        page = [{"id": f"m{i}", "name": "M", "symbol": "m", "market_cap": i, "current_price": poll} for i in range(60)]
+        write(tmp_path / "polls" / f"{poll}.json", json.dumps(page))
+    (result,) = run_all(lake, {MARKET.name: str(tmp_path / "polls")}, attempts=1)
+    assert (result.status, result.processed) == ("success", 240)
+    assert {(c, r.price_usd) for (_, c), r in unified(lake).items()} == {(f"m{i}", 3.0) for i in range(60)}
+
+
+def test_counts_beyond_32_bits(spark, lake):
+    control.update_checkpoint(lake, "csv", "x", utc_now(), "success", 3_000_000_000)
+    assert control.get_checkpoint(lake, "csv").records_processed == 3_000_000_000
+
+
+@pytest.mark.parametrize("form,rows", [("rows", 4), ("summary", 2)])
+def test_drift_of_a_redelivered_batch_is_stored_once(spark, lake, tmp_path, form, rows):
+    records = [{"id": "a", "name": "A", "symbol": "a", "extra": 1, "quotes": {}}] * 2
+    path = write(tmp_path / "d.json", "\n".join(map(json.dumps, records)))
+    for _ in range(2):
+        load_batch(lake, TICKER, scan_source(spark, TICKER, path), "same", utc_now(), form)
+    got = lake.drift.read()
+    assert got.count() == rows and got.agg(F.sum("occurrences")).first()[0] == 4

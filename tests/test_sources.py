@@ -40,13 +40,18 @@ def test_csv_missing_tokens_quotes_and_lengths(spark, tmp_path):
     assert {k for k, r in rows.items() if r.malformed} == {"e", "g"}
 
 
-def test_csv_line_breaks_in_quotes_are_found(spark, tmp_path):
+def test_csv_line_breaks_in_quotes(spark, tmp_path):
     path = write(tmp_path / "a.csv", HEADER + 'a,"two\nlines",AAA,1\nb,Beta,BBB,2\n')
-    assert csv_files.has_quoted_line_breaks(spark, path)
-    rows = csv_files.scan_csv(spark, path).orderBy("ord").collect()
+    rows = csv_files.scan_csv(spark, path, multi_line=True).orderBy("ord").collect()
     assert [(r.coin_id, r.name) for r in rows] == [("a", "two\nlines"), ("b", "Beta")]
-    flat = write(tmp_path / "b.csv", HEADER + 'a,"x ""y""",AAA,1\n')
-    assert not csv_files.has_quoted_line_breaks(spark, flat)
+
+
+def test_csv_long_rows_are_malformed_under_any_projection(spark, tmp_path):
+    long = '"' + "x" * 20_000 + '"'
+    path = write(tmp_path / "a.csv", HEADER + f"a,{long},AAA,1,more\nb,Beta,BBB,2\n")
+    assert [r.malformed for r in csv_files.scan_csv(spark, path).orderBy("ord").collect()] == [True, False]
+    assert [tuple(r) for r in csv_files.scan_csv(spark, path).select("coin_id", "malformed").collect()] == [("a", True), ("b", False)]
+    assert csv_files.scan_csv(spark, path).filter("malformed").count() == 1
 
 
 def test_csv_columns_go_by_name_and_headers_must_agree(spark, tmp_path):
@@ -141,12 +146,15 @@ def test_flatten_quotes(spark):
 def test_market_top(spark):
     caps = [5, "7", None, 7, 1, "bad"]
     df = records(spark, [{"id": f"c{i}", "market_cap": c} for i, c in enumerate(caps)])
-    assert [r.ord for r in listing.market_top_records(df, n=4).collect()] == [1, 3, 0, 4]
+    files = df.withColumn("ord", F.struct(F.lit("f").alias("file_path"), F.col("ord").alias("row")))
+    assert {r.ord.row for r in listing.market_top_records(files, n=4).collect()} == {1, 3, 0, 4}
+    two = files.unionByName(files.withColumn("ord", F.struct(F.lit("g").alias("file_path"), F.col("ord.row").alias("row"))))
+    assert listing.market_top_records(two, n=4).count() == 8
+    marked = two.withColumn("malformed", F.col("ord.row") == 2)
+    assert listing.market_top_records(marked, n=1).count() == 4
 
 
-def test_enrich_broadcasts_only_limited_listings(spark):
+def test_enrich_keeps_listed_keys(spark):
     detail = spark.range(100).withColumnRenamed("id", "k")
     listed = spark.createDataFrame([(1,), (2,), (500,)], "k long")
-    joined = listing.enrich(listed, detail, "k", listing_limit=50)
-    assert sorted(r.k for r in joined.collect()) == [1, 2]
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString()
+    assert sorted(r.k for r in listing.enrich(listed, detail, "k").collect()) == [1, 2]

@@ -36,7 +36,7 @@ def contents(table):
 
 @pytest.mark.parametrize("limit", [0, 100_000])
 def test_upserts_accumulate(spark, table, monkeypatch, limit):
-    monkeypatch.setattr(tables, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(tables, "SMALL_ROWS", limit)
     assert table.read().count() == 0
     first = [(f"c{i}", s, float(i), i) for i in range(50) for s in ("x", "2024")]
     second = [(f"c{i}", "x", -1.0, i) for i in range(25, 75)]
@@ -104,3 +104,19 @@ def test_lookup_columns_get_a_bloom_filter(spark, tmp_path):
         assert t.read().filter("coin_id = 'c77x'").count() == 0
         sizes.append(sum(f.stat().st_size for f in Path(t.root, "data").rglob("*.parquet")))
     assert sizes[0] < sizes[1] < sizes[0] + 200_000
+
+
+def test_groups_of_any_characters_are_found_again(spark, table):
+    groups = ["a/b", "x=y", "a:b", "50%", "p q", "[z]", "{k}"]
+    rows = [(f"c{i}", g, float(i), i) for i in range(5) for g in groups]
+    table.upsert(spark.createDataFrame(rows, BATCH), POLICY, ("ord",), "a", T1)
+    table.upsert(spark.createDataFrame([("c1", "a/b", 9.0, 1)], BATCH), POLICY, ("ord",), "b", T2)
+    assert contents(table) == {(c, g): p for c, g, p, _ in rows} | {("c1", "a/b"): 9.0}
+    assert table.read("x=y").count() == 5
+
+
+@pytest.mark.parametrize("row", [("a", None, 1.0, 1), ("a", "", 1.0, 1), (None, "x", 1.0, 1)])
+def test_a_row_without_key_or_group_is_an_error(spark, table, row):
+    with pytest.raises(ValueError):
+        table.upsert(spark.createDataFrame([row, ("b", "x", 1.0, 2)], BATCH), POLICY, ("ord",), "a", T1)
+    assert table.read().count() == 0 and not Path(table.root, "data").exists()
