@@ -14,8 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# From this many rows on a batch is merged by one full outer join instead of two lookups.
-SMALL_ROWS = 100_000
+# A batch of at most this many rows and bytes may be broadcast; the caller measures both.
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -91,22 +92,23 @@ def merge(
 def merge_small(
     current: DataFrame, folded: DataFrame, policy: UpsertPolicy, now: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """:func:`merge` for a batch of at most ``SMALL_ROWS`` rows, which the caller checks.
+    """:func:`merge` for a batch of at most ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes, which the caller checks.
 
-    Returns the stored rows, updated by a left join, and the new rows of the batch.  Spark
-    measures the batch and broadcasts it if its bytes allow; the stored side is then never
-    shuffled.  It is scanned twice, the second time for its keys only.
+    Returns the stored rows, updated where they are by a broadcast left join, and the new
+    rows of the batch.  The stored side is scanned twice, the second time for its keys
+    only, and never shuffled.
     """
     columns = current.columns
-    n = folded.withColumn("_loaded", F.lit(True)).alias("n")
+    n = F.broadcast(folded.withColumn("_loaded", F.lit(True))).alias("n")
     updated = (
         current.alias("o")
         .join(n, _same_key(policy), "left")
         .select(*_merged_columns(columns, policy, now, F.lit(True), F.col("n._loaded").isNotNull()))
     )
     keys = list(policy.keys)
-    known = current.select(*keys).join(folded.select(*keys), keys, "left_semi")
-    fresh = folded.join(known, keys, "left_anti")
+    known = current.select(*keys).join(F.broadcast(folded.select(*keys)), keys, "left_semi")
+    # known is a subset of the batch's keys, so it is as small as the batch
+    fresh = folded.join(F.broadcast(known), keys, "left_anti")
     inserted = fresh.select(
         *[
             (now if c in policy.stamps else F.col(c)).cast(current.schema[c].dataType).alias(c)
@@ -134,7 +136,7 @@ def upsert(
 ) -> DataFrame:
     """Fold ``batch`` in ``order``, then merge it into ``current``.
 
-    ``small=True`` vouches for at most ``SMALL_ROWS`` rows in the batch.
+    ``small=True`` vouches for the bounds of ``merge_small``.
     """
     folded = fold_batch(batch, policy, order)
     if not small:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake import schemas
-from quotelake.operators.upsert import SMALL_ROWS, UpsertPolicy, fold_batch, merge, merge_small
+from quotelake.operators.upsert import BROADCAST_BYTES, BROADCAST_ROWS, UpsertPolicy, fold_batch, merge, merge_small
 from quotelake.session import local_rows
 from quotelake.specs import SourceSpec
 
@@ -136,15 +136,16 @@ class KeyedTable:
             return False
         placed = batch.withColumn(SHARD, self.shard_of(F.col(self.key)))
         missing = F.count_if(F.col(self.key).isNull()).alias("missing")
-        found = placed.groupBy(self.group, SHARD).agg(F.count("*").alias("n"), missing).collect()
+        rows, size = F.count("*").alias("n"), F.sum(_row_bytes(placed)).alias("bytes")
+        found = placed.groupBy(self.group, SHARD).agg(rows, missing, size).collect()
         if any(r["missing"] or not r[0] for r in found):
             raise ValueError(f"a row without {self.key} or {self.group}")
-        touched = {(r[0], r[1]): r["n"] for r in found}
+        touched = {(r[0], r[1]) for r in found}
         version = max((v for v, _, _ in parts), default=0) + 1
         current = self._read_parts([p for p in parts if (p[1], p[2]) in touched])
         # The shard follows from the key, so as a key column it changes nothing.
         sharded = UpsertPolicy((*policy.keys, SHARD), policy.update, policy.created, policy.touched)
-        small = sum(touched.values()) <= SMALL_ROWS
+        small = sum(r["n"] for r in found) <= BROADCAST_ROWS and sum(r["bytes"] for r in found) <= BROADCAST_BYTES
         folded = fold_batch(placed, sharded, order)
 
         def even(df: DataFrame) -> DataFrame:
@@ -170,6 +171,18 @@ class KeyedTable:
         return True
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """The size of a row in memory, about: fixed-width values, and the bytes of texts and of nested values as JSON."""
+    fixed, size = 16 * len(df.columns), F.lit(0)
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind == "variant" or "<" in kind:
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return (size + fixed).cast("bigint")
+
+
 class Lake:
     """The tables of one installation, below one root folder."""
 
