@@ -218,7 +218,7 @@ def _hits(index: Index, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int,
     # no cosine can be larger than the root of the share of the known words
     at = np.flatnonzero(known[high] - known[low] >= MIN_COSINE**2 * mass)
     for part in (at[i : i + 2048] for i in range(0, len(at), 2048)):
-        span = low[part][:, None] + np.arange(WINDOW)
+        span = low[part][:, None] + np.arange((high[part] - low[part]).max())
         word = np.where(span < high[part][:, None], place[np.minimum(span, len(place) - 1)], -1)
         weight = np.where(word >= 0, index.idf[word], 0.0).astype(np.float32)
         folded = _fold(index, word, weight)
