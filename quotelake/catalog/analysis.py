@@ -233,6 +233,18 @@ def quote_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.quote_page(_order_quotes(spark, sf_dir), page=3, page_size=100)[0]
 
 
+def quote_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page beyond the depth of a top-k."""
+    return reads.quote_page(_order_quotes(spark, sf_dir), page=40, page_size=100)[0]
+
+
+def quote_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page after the last row of the fifth."""
+    quotes = _order_quotes(spark, sf_dir)
+    last = reads.quote_page(quotes, page=5, page_size=100)[0].collect()[-1]
+    return reads.quote_page_after(quotes, last.asDict(), page_size=100)
+
+
 def quote_page_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.quote_page(_order_quotes(spark, sf_dir), page=2, source="1-URGENT")[0]
 
@@ -247,9 +259,8 @@ def quote_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quote_page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page of every quote at 20 a page: the numbering behind pages of any depth."""
-    order = [F.desc_nulls_first("updated_at"), F.asc("source"), F.asc("coin_id")]
     quotes = _order_quotes(spark, sf_dir).select("coin_id", "source", "updated_at")
-    numbered = number_rows(quotes, order)
+    numbered = number_rows(quotes, reads.PAGE_ORDER)
     page = (F.floor(F.col("position") / 20) + 1).alias("page")
     return numbered.select("coin_id", "source", "updated_at", "position", page)
 
@@ -413,6 +424,8 @@ QUERIES = {
     "drift_summary": drift_summary,
     "drift_documents": drift_documents,
     "quote_page": quote_page,
+    "quote_page_deep": quote_page_deep,
+    "quote_page_after": quote_page_after,
     "quote_page_source": quote_page_source,
     "quote_page_symbol": quote_page_symbol,
     "quote_total": quote_total,
@@ -437,6 +450,8 @@ ORACLE = {
     "drift_summary": DRIFT_SUMMARY,
     "drift_documents": DRIFT_DOCUMENTS,
     "quote_page": _ORDER_QUOTES + _PAGE.format(n=100, k=200),
+    "quote_page_deep": _ORDER_QUOTES + _PAGE.format(n=100, k=3900),
+    "quote_page_after": _ORDER_QUOTES + _PAGE.format(n=100, k=500),
     "quote_page_source": _ORDER_QUOTES + "WHERE o_orderpriority = '1-URGENT' " + _PAGE.format(n=20, k=20),
     "quote_page_symbol": _ORDER_QUOTES + "WHERE o_orderstatus = 'F' " + _PAGE.format(n=50, k=0),
     "quote_total": "SELECT count(*) AS total FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'",

@@ -1,17 +1,78 @@
-"""Offset pagination that stays distributed at any depth."""
+"""Pages of a total order: by offset at any depth, or after a given row."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotelake.session import shared_dir
 
-# Pages that end within this many rows come from a top-k; deeper ones from a range sort.
-TOPK_ROWS = 100_000
+# Pages that end within this many rows come from a top-k; for deeper ones the rows are
+# narrowed to a range of about this size first.
+TOPK_ROWS = 2_000
+SPLITS = 16  # more make code that Java no longer compiles
+
+
+@dataclass(frozen=True)
+class Key:
+    """A column of an order; nulls come first, whichever way it runs."""
+
+    name: str
+    descending: bool = False
+
+    @property
+    def sort(self) -> Column:
+        return F.desc_nulls_first(self.name) if self.descending else F.asc_nulls_first(self.name)
+
+
+def _literals(df: DataFrame, row: Mapping[str, Any]) -> dict[str, Column | None]:
+    """A row's values as typed constants; an integer in a timestamp column is its microseconds."""
+    out = {}
+    for name, value in row.items():
+        kind = df.schema[name].dataType
+        if value is None:
+            out[name] = None
+        elif isinstance(kind, T.TimestampType) and isinstance(value, int):
+            out[name] = F.timestamp_micros(F.lit(value))
+        elif isinstance(kind, T.TimestampNTZType):  # as text, so that no time zone comes in
+            out[name] = F.lit(str(value)).cast(kind)
+        else:
+            out[name] = F.lit(value).cast(kind)
+    return out
+
+
+def precedes(order: Sequence[Key], row: Mapping[str, Column | None]) -> Column:
+    """Whether a row comes before the given one."""
+    result = F.lit(False)
+    for key in reversed(order):
+        column, value = F.col(key.name), row[key.name]
+        if value is None:
+            result = column.isNull() & result
+        else:
+            less = column > value if key.descending else column < value
+            result = column.isNull() | less | ((column == value) & result)
+    return result
+
 
+def follows(order: Sequence[Key], row: Mapping[str, Column | None]) -> Column:
+    """Whether a row comes after the given one."""
+    result = F.lit(False)
+    for key in reversed(order):
+        column, value = F.col(key.name), row[key.name]
+        if value is None:
+            result = column.isNotNull() | result
+        else:
+            more = column < value if key.descending else column > value
+            result = column.isNotNull() & (more | ((column == value) & result))
+    return result
 
-def number_rows(df: DataFrame, order: list[Column], position: str = "position") -> DataFrame:
+
+def number_rows(df: DataFrame, order: Sequence[Key], position: str = "position") -> DataFrame:
     """Add the 0-based place of every row in the total ``order``.
 
     Rows are range-partitioned and sorted, then checkpointed to the shared folder so that
@@ -19,9 +80,10 @@ def number_rows(df: DataFrame, order: list[Column], position: str = "position")
     together; no task sees more than its range.
     """
     shared_dir(df.sparkSession)
+    by = [k.sort for k in order]
     placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(*by)
+        .sortWithinPartitions(*by)
         .withColumn("_part", F.spark_partition_id())
         # the low 33 bits of the id count the rows of a partition from 0
         .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
@@ -37,10 +99,47 @@ def number_rows(df: DataFrame, order: list[Column], position: str = "position")
     )
 
 
-def offset_page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
+def _splits(rows: DataFrame, order: Sequence[Key]) -> list[dict[str, Column | None]]:
+    """Some rows at random, to divide the others by."""
+    names = [k.name for k in order]
+    micros = [F.unix_micros(n).alias(n) if isinstance(rows.schema[n].dataType, T.TimestampType) else F.col(n) for n in names]
+    return [_literals(rows, r.asDict()) for r in rows.select(*micros).orderBy(F.rand()).limit(SPLITS).collect()]
+
+
+def _narrow(df: DataFrame, order: Sequence[Key], offset: int, limit: int) -> tuple[DataFrame, int]:
+    """The range of rows that holds a page, and the page's offset in it.
+
+    Each round takes some rows at random, counts the rows before each in one aggregate, and
+    keeps what lies between the two that enclose the page.  Only the columns of the order
+    are read, and nothing is shuffled but counts.
+    """
+    rows = df
+    while True:
+        splits = _splits(rows, order)
+        if not splits:
+            return rows, offset
+        *before, total = rows.agg(*(F.count_if(precedes(order, s)) for s in splits), F.count("*")).first()
+        low = max((i for i, n in enumerate(before) if n <= offset), key=before.__getitem__, default=None)
+        high = min((i for i, n in enumerate(before) if n >= offset + limit), key=before.__getitem__, default=None)
+        skipped = 0 if low is None else before[low]
+        size = (total if high is None else before[high]) - skipped
+        if low is not None:
+            rows = rows.filter(~precedes(order, splits[low]))
+        if high is not None:
+            rows = rows.filter(precedes(order, splits[high]))
+        offset -= skipped
+        if size <= TOPK_ROWS or size == total:  # small enough, or rows that the order cannot tell apart
+            return rows, offset
+
+
+def offset_page(df: DataFrame, order: Sequence[Key], offset: int, limit: int) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of ``df`` in ``order``, sorted."""
-    if offset + limit <= TOPK_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    numbered = number_rows(df, order)
-    wanted = numbered.filter(F.col("position").between(offset, offset + limit - 1))
-    return wanted.orderBy("position").drop("position")
+    if offset + limit > TOPK_ROWS:
+        df, offset = _narrow(df, order, offset, limit)
+    return df.orderBy(*(k.sort for k in order)).offset(offset).limit(limit)
+
+
+def page_after(df: DataFrame, order: Sequence[Key], row: Mapping[str, Any], limit: int) -> DataFrame:
+    """The first ``limit`` rows after ``row`` (the values of the order's columns), sorted: a top-k at any depth."""
+    later = follows(order, _literals(df, {k.name: row[k.name] for k in order}))
+    return df.filter(later).orderBy(*(k.sort for k in order)).limit(limit)

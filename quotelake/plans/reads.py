@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotelake.operators.paging import offset_page
+from quotelake.operators.paging import Key, offset_page, page_after
 from quotelake.schemas import NEVER_RUN, QUOTE_COLUMNS, RUN_COLUMNS
 from quotelake.session import local_rows
 from quotelake.specs import SOURCES
@@ -17,6 +20,10 @@ RUN_LIMIT, MAX_RUN_LIMIT = 10, 100
 # --- end of fixed values ----------------------------------------------------------------
 
 
+# latest first; source and key make the order total, so pages never overlap
+PAGE_ORDER = (Key("updated_at", descending=True), Key("source"), Key("coin_id"))
+
+
 def check_bounds(**arguments: tuple[int, int, int | None]) -> None:
     """Each argument as ``(value, least, most)``; a violation is a ``ValueError``."""
     for name, (value, least, most) in arguments.items():
@@ -46,13 +53,29 @@ def quote_page(
     """One page, latest update first, and the one-row total before paging."""
     check_bounds(page=(page, 1, None), page_size=(page_size, 1, MAX_PAGE_SIZE))
     matching = quote_filter(quotes, source, symbol)
-    # source and key make the order total, so pages never overlap
-    order = [F.desc_nulls_first("updated_at"), F.asc("source"), F.asc("coin_id")]
-    columns = [c for c in QUOTE_COLUMNS if c in quotes.columns]
-    rows = offset_page(matching.select(*columns), order, (page - 1) * page_size, page_size)
+    rows = offset_page(_shown(matching), PAGE_ORDER, (page - 1) * page_size, page_size)
     return rows, matching.agg(F.count("*").alias("total"))
 
 
+def quote_page_after(
+    quotes: DataFrame,
+    last: Mapping[str, Any],
+    page_size: int = PAGE_SIZE,
+    source: str | None = None,
+    symbol: str | None = None,
+) -> DataFrame:
+    """The page that follows the row ``last`` (its updated_at, source and coin_id at least).
+
+    It costs the same at any depth, and rows that arrive meanwhile shift no page.
+    """
+    check_bounds(page_size=(page_size, 1, MAX_PAGE_SIZE))
+    return page_after(_shown(quote_filter(quotes, source, symbol)), PAGE_ORDER, last, page_size)
+
+
+def _shown(quotes: DataFrame) -> DataFrame:
+    return quotes.select(*[c for c in QUOTE_COLUMNS if c in quotes.columns])
+
+
 def recent_runs(runs: DataFrame, limit: int = RUN_LIMIT, source: str | None = None) -> DataFrame:
     check_bounds(limit=(limit, 1, MAX_RUN_LIMIT))
     if source:

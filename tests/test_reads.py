@@ -63,6 +63,23 @@ def test_deep_pages_agree_with_top_k(spark, monkeypatch):
     assert shallow == deep and [len(p) for p in deep] == [100, 100, 100, 0]
 
 
+def test_pages_after_a_row_agree_with_offsets(spark):
+    rows = [(f"c{i:03}", "n", "S", 1.0, "xyz"[i % 3], None if i % 5 == 0 else T0 + timedelta(hours=i % 7)) for i in range(100)]
+    df = quotes(spark, rows).repartition(3)
+    want = [tuple(r) for p in (1, 2, 3, 4) for r in reads.quote_page(df, p, 30)[0].collect()]
+    got = reads.quote_page(df, 1, 30)[0].collect()
+    while len(got) < 200 and (page := reads.quote_page_after(df, got[-1].asDict(), 30).collect()):
+        got += page
+    assert [tuple(r) for r in got] == want and len(want) == 100
+
+
+def test_deep_pages_among_rows_without_time(spark, monkeypatch):
+    df = quotes(spark, [(f"c{i:03}", "n", "S", 1.0, "x", None) for i in range(300)]).repartition(4)
+    monkeypatch.setattr(paging, "TOPK_ROWS", 50)
+    page = reads.quote_page(df, 3, 100)[0]
+    assert [r.coin_id for r in page.collect()] == [f"c{i:03}" for i in range(200, 300)]
+
+
 def run_rows(spark, rows):
     made = [(f"run-{i}", s, st, 100 + i, 0, sec, None, "{}", T0 + timedelta(hours=i), done) for i, (s, st, sec, done) in enumerate(rows)]
     return spark.createDataFrame(made, RUN_SCHEMA)
