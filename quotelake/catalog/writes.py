@@ -159,6 +159,20 @@ def keyed_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 KEYED_TABLE_UPSERT = f"SELECT * EXCLUDE (created_at, updated_at) FROM ({_upsert_sql(FULL)})"
 
 
+def upsert_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, compacted, the second delivered once more and a third on top."""
+    target = KeyedTable(spark, scratch_path(spark, "compacted"), TABLE_SCHEMA, "coin_id", "source")
+    target.create()
+    first, second, third = _slices(line_quotes(spark, sf_dir))
+    for batch_id, batch in (("a", first), ("b", second)):
+        target.upsert(batch, _policy(FULL, stamped=False), ORDER, batch_id, MOMENT)
+    target.compact(MOMENT)
+    target.drop_superseded(datetime.now(timezone.utc))
+    for batch_id, batch in (("b", second), ("c", third)):
+        target.upsert(batch, _policy(FULL, stamped=False), ORDER, batch_id, MOMENT)
+    return target.read()
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three arrivals in a landing folder, each taken up by an incremental run."""
     root = scratch_path(spark, "stream")
@@ -302,6 +316,26 @@ FROM (SELECT 'coinpaprika' AS source, count(*) AS n FROM customer WHERE c_nation
 """
 
 
+def checkpoint_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoints after a load, a failed load and an empty one: the id is the fetched count, or empty."""
+    root = scratch_path(spark, "checkpoints")
+    parts, none = _land_parts(spark, sf_dir, root), f"{root}/none"
+    spark.range(0).select(F.lit("").alias("value")).write.text(none)
+    lake = Lake(spark, f"{root}/lake")
+    for inputs in ({CSV.name: parts, TICKER.name: f"{root}/missing"}, {MARKET.name: none}):
+        run_all(lake, inputs, attempts=1)
+    columns = ("source_name", "last_processed_id", "last_run_status", "records_processed")
+    return control.checkpoints(lake).select(*columns, F.col("last_error").isNotNull().alias("has_error"))
+
+
+CHECKPOINT_AFTER_LOAD = """
+SELECT 'csv' AS source_name, CAST(count(*) AS VARCHAR) AS last_processed_id, 'success' AS last_run_status,
+       count(*) FILTER (WHERE p_size <= 45) AS records_processed, FALSE AS has_error FROM part
+UNION ALL SELECT 'coinpaprika', '', 'failure', 0, TRUE
+UNION ALL SELECT 'coingecko', '', 'success', 0, FALSE
+"""
+
+
 def raw_append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts loaded twice: raw rows double, rejects are kept apart, unified rows do not."""
     root = scratch_path(spark, "raw")
@@ -470,9 +504,11 @@ QUERIES = {
     "upsert_idempotent": upsert_idempotent,
     "upsert_delta": upsert_delta_counts,
     "keyed_table_upsert": keyed_table_upsert,
+    "upsert_after_compaction": upsert_after_compaction,
     "stream_upsert": stream_upsert,
     "load_all_sources": load_all_sources,
     "load_statistics": load_statistics,
+    "checkpoint_after_load": checkpoint_after_load,
     "raw_append_counts": raw_append_counts,
     "stream_load": stream_load,
     "load_polls": load_polls,
@@ -490,9 +526,11 @@ ORACLE = {
     "upsert_idempotent": _upsert_sql(FULL),
     "upsert_delta": UPSERT_DELTA_COUNTS,
     "keyed_table_upsert": KEYED_TABLE_UPSERT,
+    "upsert_after_compaction": KEYED_TABLE_UPSERT,
     "stream_upsert": KEYED_TABLE_UPSERT,
     "load_all_sources": LOAD_ALL_SOURCES,
     "load_statistics": LOAD_STATISTICS,
+    "checkpoint_after_load": CHECKPOINT_AFTER_LOAD,
     "raw_append_counts": RAW_APPEND_COUNTS,
     "stream_load": STREAM_LOAD,
     "load_polls": LOAD_POLLS,

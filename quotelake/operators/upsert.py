@@ -14,10 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A batch of at most this many rows and bytes may be broadcast; the caller measures both.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 << 20
-
 
 @dataclass(frozen=True)
 class UpsertPolicy:
@@ -89,35 +85,6 @@ def merge(
     return joined.select(*_merged_columns(current.columns, policy, now, stored, loaded))
 
 
-def merge_small(
-    current: DataFrame, folded: DataFrame, policy: UpsertPolicy, now: Column | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """:func:`merge` for a batch of at most ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes, which the caller checks.
-
-    Returns the stored rows, updated where they are by a broadcast left join, and the new
-    rows of the batch.  The stored side is scanned twice, the second time for its keys
-    only, and never shuffled.
-    """
-    columns = current.columns
-    n = F.broadcast(folded.withColumn("_loaded", F.lit(True))).alias("n")
-    updated = (
-        current.alias("o")
-        .join(n, _same_key(policy), "left")
-        .select(*_merged_columns(columns, policy, now, F.lit(True), F.col("n._loaded").isNotNull()))
-    )
-    keys = list(policy.keys)
-    known = current.select(*keys).join(F.broadcast(folded.select(*keys)), keys, "left_semi")
-    # known is a subset of the batch's keys, so it is as small as the batch
-    fresh = folded.join(F.broadcast(known), keys, "left_anti")
-    inserted = fresh.select(
-        *[
-            (now if c in policy.stamps else F.col(c)).cast(current.schema[c].dataType).alias(c)
-            for c in columns
-        ]
-    )
-    return updated, inserted
-
-
 def _same_key(policy: UpsertPolicy) -> Column:
     condition = F.lit(True)
     for i, k in enumerate(policy.keys):
@@ -132,17 +99,9 @@ def upsert(
     policy: UpsertPolicy,
     order: tuple[str, ...],
     now: Column | None = None,
-    small: bool = False,
 ) -> DataFrame:
-    """Fold ``batch`` in ``order``, then merge it into ``current``.
-
-    ``small=True`` vouches for the bounds of ``merge_small``.
-    """
-    folded = fold_batch(batch, policy, order)
-    if not small:
-        return merge(current, folded, policy, now)
-    updated, inserted = merge_small(current, folded, policy, now)
-    return updated.unionByName(inserted)
+    """Fold ``batch`` in ``order``, then merge it into ``current``."""
+    return merge(current, fold_batch(batch, policy, order), policy, now)
 
 
 def upsert_delta(current: DataFrame, batch: DataFrame, keys: tuple[str, ...]) -> DataFrame:

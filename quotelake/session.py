@@ -71,6 +71,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quotelake/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of a table; False if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def local_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A handful of driver-side rows as a local relation, without starting Python workers."""
     arrow = to_arrow_schema(schema)

@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake import schemas
-from quotelake.operators.upsert import BROADCAST_BYTES, BROADCAST_ROWS, UpsertPolicy, fold_batch, merge, merge_small
-from quotelake.session import local_rows
+from quotelake.operators.upsert import UpsertPolicy, fold_batch
+from quotelake.session import local_rows, remove_folder
 from quotelake.specs import SourceSpec
 
-SHARD = "shard"
+VERSION, REFRESHED = "table_version", "refreshed_columns"
+REFRESHED_FIELD = T.StructField(REFRESHED, T.ArrayType(T.StringType()))
+DELTA, BASE, EMPTY = "delta", "base", "empty"  # kinds of versions
 
 
 class LogTable:
@@ -47,37 +49,28 @@ class LogTable:
 
 
 class KeyedTable:
-    """One row per key, changed by upserts that publish a new version.
-
-    Rows live under ``data/version=N/<group>=../shard=../``, where the shard is a hash of
-    the key.  An upsert rewrites only the groups and shards its batch touches; a log row
-    per rewritten shard makes the new files current.  The log also names the batch, so a
-    batch that is delivered twice is applied once.  Choose ``shards`` so that a shard of the
-    largest group holds some tens of GB.  A batch with more keys than shards rewrites them all.
+    """One row per key, changed by upserts that publish a version each.
+
+    A version lives under ``data/table_version=N/<group>=../``.  An upsert writes its folded
+    batch and nothing else, whatever the table holds; a log row makes it current and names
+    the batch, so a batch that is delivered twice is applied once.  Reads fold the versions
+    by key: a column comes from the last version that refreshed it, or else from the first
+    that has the key.  ``compact`` writes the folded rows as one version, from which reads
+    need no shuffle; ``drop_superseded`` then frees the older ones.
     """
 
     LOG_SCHEMA = T.StructType(
         [
-            T.StructField("version", T.LongType()),
+            T.StructField(VERSION, T.LongType()),
             T.StructField("batch_id", T.StringType()),
-            T.StructField("part", T.StringType()),
-            T.StructField(SHARD, T.IntegerType()),
+            T.StructField("kind", T.StringType()),
             T.StructField("published_at", T.TimestampType()),
         ]
     )
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        schema: T.StructType,
-        key: str,
-        group: str,
-        shards: int = 4,
-        lookups: tuple[str, ...] = (),
-    ):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, group: str, lookups: tuple[str, ...] = ()):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.key, self.group, self.shards = key, group, shards
+        self.key, self.group = key, group
         # Files are sorted by key; other columns looked up by value get a Bloom filter.
         self.write_options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookups}
         if lookups:
@@ -87,36 +80,56 @@ class KeyedTable:
     def create(self) -> None:
         self.log.create()
 
-    def _state(self, batch_id: str | None = None) -> tuple[list[tuple[int, str, int]], bool]:
-        """Current ``(version, group, shard)``, at most groups x shards rows, and whether
-        the batch was published."""
+    def _last(self, batch_id: str | None = None) -> tuple[int, int, bool]:
+        """The last version, the last compacted one, and whether the batch was published."""
         seen = F.coalesce(F.bool_or(F.col("batch_id") == F.lit(batch_id)), F.lit(False))
-        state = self.log.read().groupBy("part", SHARD).agg(F.max("version").alias("version"), seen.alias("seen"))
-        rows = state.collect()
-        return [(r["version"], r["part"], r[SHARD]) for r in rows if r["part"] is not None], any(r["seen"] for r in rows)
-
-    def _read_parts(self, parts: list[tuple[int, str, int]]) -> DataFrame:
-        # The shard is kept in the frame; the version is only a directory.
-        stored = T.StructType([*self.schema.fields, T.StructField(SHARD, T.IntegerType())])
-        if not parts:
-            return local_rows(self.spark, [], stored)
-        layout = T.StructType([*stored.fields, T.StructField("version", T.LongType())])
-        escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        folders = {g: escaped(g) for _, g, _ in parts}  # as Spark's writer names them
-        paths = [f"{self.root}/data/version={v}/{self.group}={folders[g]}/{SHARD}={s}" for v, g, s in sorted(parts)]
-        reader = self.spark.read.schema(layout).option("basePath", f"{self.root}/data")
-        return reader.parquet(*paths).select(*stored.names)
+        base = F.max(F.when(F.col("kind") == BASE, F.col(VERSION)))
+        top, base, seen = self.log.read().agg(F.max(VERSION), base, seen).first()
+        return top or 0, base or 0, seen
+
+    def _live(self) -> list[int]:
+        """The versions that reads fold: the last compacted one and one per batch since."""
+        current = (F.col(VERSION) >= self._last()[1]) & (F.col("kind") != EMPTY)
+        return sorted(r[0] for r in self.log.read().filter(current).select(VERSION).collect())
+
+    def _folder(self, version: int) -> str:
+        return f"{self.root}/data/{VERSION}={version}"
 
     def read(self, group: str | None = None) -> DataFrame:
-        """The current rows; a filter on the group column prunes directories.
+        """The current rows, or those of one group.  A filter on the group column prunes directories."""
+        versions = self._live()
+        if not versions:
+            return local_rows(self.spark, [], self.schema)
+        layout = T.StructType([*self.schema.fields, REFRESHED_FIELD, T.StructField(VERSION, T.LongType())])
+        reader = self.spark.read.schema(layout).option("basePath", f"{self.root}/data")
+        rows = reader.parquet(*(self._folder(v) for v in versions))
+        if group is not None:
+            rows = rows.filter(F.col(self.group) == group)
+        if len(versions) > 1:  # one version holds a key once
+            rows = self._fold(rows)
+        return rows.select(*self.schema.names)
 
-        With ``group`` the directories of other groups are not even listed.
-        """
-        parts = [p for p in self._state()[0] if group is None or p[1] == group]
-        return self._read_parts(parts).select(*self.schema.names)
+    def _fold(self, rows: DataFrame) -> DataFrame:
+        age = F.col(VERSION)
+
+        def current(c: str) -> Column:
+            refreshed = F.array_contains(REFRESHED, F.lit(c))
+            return F.max_by(c, F.when(refreshed, age).otherwise(-age)).alias(c)
 
-    def shard_of(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.shards)).cast("int")
+        keys = (self.group, self.key)
+        return rows.groupBy(*keys).agg(*(current(c) for c in self.schema.names if c not in keys))
+
+    def _write(self, rows: DataFrame, refreshed: tuple[str, ...], version: int) -> None:
+        (
+            rows.withColumn(REFRESHED, F.array(*map(F.lit, refreshed)).cast("array<string>"))
+            # files of useful size: small groups share a task, large ones are split
+            .hint("rebalance", self.group)
+            .sortWithinPartitions(self.group, self.key)
+            .write.mode("overwrite")  # leftovers of a failed, unpublished attempt
+            .options(**self.write_options)
+            .partitionBy(self.group)
+            .parquet(self._folder(version))
+        )
 
     def upsert(
         self,
@@ -128,68 +141,55 @@ class KeyedTable:
     ) -> bool:
         """Apply a batch and publish it; False when it was applied before.
 
-        ``batch`` is read more than once and must be stored data.  A batch with a NULL key, or
-        a NULL or empty group, is an error before anything is written.
+        ``batch`` is read twice and must be stored data.  A batch with a NULL key, or a NULL
+        or empty group, is an error before anything is written.
         """
-        parts, published = self._state(batch_id)
+        if {*policy.keys} != {self.key, self.group}:
+            raise ValueError(f"the key of the table is {self.key}, {self.group}")
+        top, _, published = self._last(batch_id)
         if published:
             return False
-        placed = batch.withColumn(SHARD, self.shard_of(F.col(self.key)))
-        missing = F.count_if(F.col(self.key).isNull()).alias("missing")
-        rows, size = F.count("*").alias("n"), F.sum(_row_bytes(placed)).alias("bytes")
-        found = placed.groupBy(self.group, SHARD).agg(rows, missing, size).collect()
-        if any(r["missing"] or not r[0] for r in found):
-            raise ValueError(f"a row without {self.key} or {self.group}")
-        touched = {(r[0], r[1]) for r in found}
-        version = max((v for v, _, _ in parts), default=0) + 1
-        current = self._read_parts([p for p in parts if (p[1], p[2]) in touched])
-        # The shard follows from the key, so as a key column it changes nothing.
-        sharded = UpsertPolicy((*policy.keys, SHARD), policy.update, policy.created, policy.touched)
-        small = sum(r["n"] for r in found) <= BROADCAST_ROWS and sum(r["bytes"] for r in found) <= BROADCAST_BYTES
-        folded = fold_batch(placed, sharded, order)
-
-        def even(df: DataFrame) -> DataFrame:
-            """Files of useful size: small shards share a task, large ones are split."""
-            return df.hint("rebalance", self.group, SHARD)
-
-        if small:
-            # stored rows stay in the tasks that read them, only new keys are moved
-            updated, inserted = merge_small(current, folded, sharded, F.lit(now))
-            merged = updated.unionByName(even(inserted))
-        else:
-            merged = even(merge(current, folded, sharded, F.lit(now)))
-        target = f"{self.root}/data/version={version}"
-        (
-            merged.sortWithinPartitions(self.group, SHARD, self.key)
-            .write.mode("overwrite")  # leftovers of a failed, unpublished attempt
-            .options(**self.write_options)
-            .partitionBy(self.group, SHARD)
-            .parquet(target)
-        )
-        entries = [(version, batch_id, g, s, now) for g, s in sorted(touched)]
-        self.log.append_rows(entries or [(version, batch_id, None, None, now)])
+        nameless = F.col(self.key).isNull() | F.coalesce(F.col(self.group).cast("string") == "", F.lit(True))
+        n, missing = batch.agg(F.count("*"), F.count_if(nameless)).first()
+        if missing:
+            raise ValueError(f"{missing} rows without {self.key} or {self.group}")
+        if n:
+            folded = fold_batch(batch, policy, order)
+            columns = [
+                (F.lit(now) if f.name in policy.stamps else F.col(f.name)).cast(f.dataType).alias(f.name)
+                for f in self.schema.fields
+            ]
+            self._write(folded.select(*columns), (*policy.update, *policy.touched), top + 1)
+        self.log.append_rows([(top + 1, batch_id, DELTA if n else EMPTY, now)])
         return True
 
+    def compact(self, now: datetime) -> bool:
+        """Write the current rows as one version; False when they already are."""
+        if len(self._live()) < 2:
+            return False
+        version = self._last()[0] + 1
+        self._write(self.read(), (), version)
+        self.log.append_rows([(version, None, BASE, now)])
+        return True
 
-def _row_bytes(df: DataFrame) -> Column:
-    """The size of a row in memory, about: fixed-width values, and the bytes of texts and of nested values as JSON."""
-    fixed, size = 16 * len(df.columns), F.lit(0)
-    for name, kind in df.dtypes:
-        column = F.col(f"`{name}`")
-        if kind in ("string", "binary"):
-            size = size + F.coalesce(F.octet_length(column), F.lit(0))
-        elif kind == "variant" or "<" in kind:
-            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
-    return (size + fixed).cast("bigint")
+    def drop_superseded(self, before: datetime) -> int:
+        """Delete versions older than a compaction that was published before ``before``; how many.
+
+        Readers that started before that compaction must have ended.
+        """
+        log = self.log.read()
+        base = log.filter((F.col("kind") == BASE) & (F.col("published_at") < F.lit(before))).agg(F.max(VERSION)).first()[0] or 0
+        versions = [r[0] for r in log.filter((F.col(VERSION) < base) & (F.col("kind") != EMPTY)).select(VERSION).collect()]
+        return sum(remove_folder(self.spark, self._folder(v)) for v in versions)
 
 
 class Lake:
     """The tables of one installation, below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, shards: int = 4):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.unified = KeyedTable(
-            spark, f"{self.root}/unified", schemas.UNIFIED_SCHEMA, "coin_id", "source", shards, ("symbol",)
+            spark, f"{self.root}/unified", schemas.UNIFIED_SCHEMA, "coin_id", "source", ("symbol",)
         )
         self.runs = LogTable(spark, f"{self.root}/etl_run", schemas.RUN_SCHEMA)
         self.checkpoints = LogTable(spark, f"{self.root}/etl_checkpoint", schemas.CHECKPOINT_SCHEMA)

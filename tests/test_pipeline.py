@@ -24,7 +24,7 @@ HEADER = "coin_id,name,symbol,price,market_cap,volume\n"
 
 @pytest.fixture
 def lake(spark, tmp_path):
-    made = Lake(spark, str(tmp_path / "lake"), shards=2)
+    made = Lake(spark, str(tmp_path / "lake"))
     made.create_tables()
     return made
 

@@ -1,4 +1,4 @@
-"""Keyed tables: publishing, replays, partial rewrites, both merge paths."""
+"""Keyed tables: publishing, replays, folds on read, compaction."""
 
 from datetime import datetime, timezone
 from pathlib import Path
@@ -6,7 +6,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import types as T
 
-from quotelake import tables
 from quotelake.operators.upsert import UpsertPolicy
 from quotelake.tables import KeyedTable
 
@@ -25,7 +24,7 @@ T1, T2 = datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 2, 1, tzinfo=
 
 @pytest.fixture
 def table(spark, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, "coin_id", "source", shards=4)
+    t = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, "coin_id", "source")
     t.create()
     return t
 
@@ -34,9 +33,7 @@ def contents(table):
     return {(r.coin_id, r.source): r.price for r in table.read().collect()}
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_upserts_accumulate(spark, table, monkeypatch, limit):
-    monkeypatch.setattr(tables, "BROADCAST_ROWS", limit)
+def test_upserts_accumulate(spark, table):
     assert table.read().count() == 0
     first = [(f"c{i}", s, float(i), i) for i in range(50) for s in ("x", "2024")]
     second = [(f"c{i}", "x", -1.0, i) for i in range(25, 75)]
@@ -54,18 +51,61 @@ def test_replayed_batch_changes_nothing(spark, table):
     assert contents(table) == {("a", "x"): 2.0}
 
 
-def test_only_touched_shards_are_rewritten(spark, table):
-    many = [(f"c{i}", s, 1.0, i) for i in range(100) for s in ("x", "y")]
-    table.upsert(spark.createDataFrame(many, BATCH), POLICY, ("ord",), "a", T1)
-    table.upsert(spark.createDataFrame([("c1", "x", 9.0, 1)], BATCH), POLICY, ("ord",), "b", T2)
-    second = Path(table.root, "data", "version=2")
-    assert len(list(second.glob("source=*/shard=*"))) == 1
-    assert len(contents(table)) == 200 and contents(table)["c1", "x"] == 9.0
+def written(table, version):
+    return [f.stat().st_size for f in Path(table.root, "data", f"table_version={version}").rglob("*.parquet")]
+
+
+def test_a_batch_writes_the_same_whatever_is_stored(spark, table, tmp_path):
+    small = spark.createDataFrame([("c1", "x", 9.0, 1), ("new", "y", 8.0, 2)], BATCH)
+    many = spark.range(20_000).selectExpr("concat('c', id) as coin_id", "if(id % 2 = 0, 'x', 'y') as source", "rand(1) as price", "cast(id as int) as ord")
+    table.upsert(many, POLICY, ("ord",), "a", T1)
+    table.upsert(small, POLICY, ("ord",), "b", T2)
+    empty = KeyedTable(spark, str(tmp_path / "other"), SCHEMA, "coin_id", "source")
+    empty.create()
+    empty.upsert(small, POLICY, ("ord",), "b", T2)
+    assert sorted(written(table, 2)) == sorted(written(empty, 1)) and sum(written(table, 2)) < sum(written(table, 1)) / 10
+    assert table.read().count() == 20_002
+
+
+def test_compaction_leaves_the_rows_and_one_file_per_group(spark, table):
+    for n in range(5):
+        rows = [(f"c{i}", s, float(n), i) for i in range(n, n + 10) for s in ("x", "y")]
+        table.upsert(spark.createDataFrame(rows, BATCH), POLICY, ("ord",), f"b{n}", T1)
+    before = sorted(table.read().collect())
+    assert "Exchange" in table.read()._jdf.queryExecution().executedPlan().toString()
+    assert table.compact(T2) and not table.compact(T2)
+    assert len(written(table, 6)) == 2 and sorted(table.read().collect()) == before
+    assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    assert not table.upsert(spark.createDataFrame([("c1", "x", 7.0, 1)], BATCH), POLICY, ("ord",), "b2", T2)
+    assert table.drop_superseded(T2) == 0 and table.drop_superseded(T2 + (T2 - T1)) == 5
+    assert sorted(table.read().collect()) == before
+    table.upsert(spark.createDataFrame([("c1", "x", 7.0, 1)], BATCH), POLICY, ("ord",), "later", T2)
+    assert contents(table)["c1", "x"] == 7.0 and len(contents(table)) == len(before)
+
+
+NAMED = T.StructType([*SCHEMA.fields, T.StructField("name", T.StringType()), T.StructField("created_at", T.TimestampType())])
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_column_is_the_first_or_the_last_as_each_policy_says(spark, tmp_path, compacted):
+    t = KeyedTable(spark, str(tmp_path / "named"), NAMED, "coin_id", "source")
+    t.create()
+    keys, stamps = ("coin_id", "source"), ("created_at", ("updated_at",))
+    both, price = UpsertPolicy(keys, ("price", "name"), *stamps), UpsertPolicy(keys, ("price",), *stamps)
+    steps = [(price, 1.0, "first"), (price, 2.0, "second"), (both, None, "third"), (price, 4.0, None)]
+    for n, (policy, value, name) in enumerate(steps):
+        batch = spark.createDataFrame([("a", "x", value, name, 1)], "coin_id string, source string, price double, name string, ord int")
+        t.upsert(batch, policy, ("ord",), str(n), T1 if n == 0 else T2)
+        if compacted:
+            t.compact(T2)
+        (row,) = t.read().collect()
+        assert (row.price, row.name) == (value, "third" if n >= 2 else "first")
+        assert row.created_at.month == 1 and row.updated_at.month == (1 if n == 0 else 2)
 
 
 def test_unpublished_leftovers_are_replaced(spark, table):
     leftovers = spark.createDataFrame([("junk", 5.0, None)], "coin_id string, price double, updated_at timestamp")
-    leftovers.write.parquet(f"{table.root}/data/version=1/source=x/shard=0")
+    leftovers.write.parquet(f"{table.root}/data/table_version=1/source=x")
     assert table.read().count() == 0
     table.upsert(spark.createDataFrame([("a", "x", 1.0, 1)], BATCH), POLICY, ("ord",), "a", T1)
     assert contents(table) == {("a", "x"): 1.0}
@@ -89,14 +129,14 @@ def test_reading_one_group(spark, table):
     rows = [(f"c{i}", s, 1.0, i) for i in range(40) for s in ("x", "y")]
     table.upsert(spark.createDataFrame(rows, BATCH), POLICY, ("ord",), "a", T1)
     only = table.read("x")
-    assert only.count() == 40 and all("source=x" in f for f in only.inputFiles())
+    assert only.count() == 40 and "PartitionFilters: [isnotnull(source" in only._jdf.queryExecution().executedPlan().toString()
     assert table.read("none").count() == 0
 
 
 def test_lookup_columns_get_a_bloom_filter(spark, tmp_path):
     sizes = []
     for name, lookups in (("plain", ()), ("indexed", ("coin_id",))):
-        t = KeyedTable(spark, str(tmp_path / name), SCHEMA, "coin_id", "source", 1, lookups)
+        t = KeyedTable(spark, str(tmp_path / name), SCHEMA, "coin_id", "source", lookups)
         t.create()
         rows = [(f"c{i}", "x", 1.0, i) for i in range(1000)]
         t.upsert(spark.createDataFrame(rows, BATCH), POLICY, ("ord",), "a", T1)

@@ -6,7 +6,6 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from quotelake.operators import upsert as ops
 from quotelake.operators.upsert import UpsertPolicy, fold_batch, upsert, upsert_delta
 
 SCHEMA = "coin_id string, source string, name string, price double, rank int, created_at timestamp, updated_at timestamp"
@@ -47,13 +46,12 @@ def random_case(seed):
     return stored, batch
 
 
-@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("update", [("price", "rank"), ("price",)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_matches_sequential_upsert(spark, seed, update, small):
+def test_matches_sequential_upsert(spark, seed, update):
     stored, batch = random_case(seed)
     current = spark.createDataFrame([(*r[:5], OLD, OLD) for r in stored], SCHEMA)
-    result = upsert(current, spark.createDataFrame(batch, BATCH), policy(update), ("ord",), F.lit(NEW), small)
+    result = upsert(current, spark.createDataFrame(batch, BATCH), policy(update), ("ord",), F.lit(NEW))
     assert result.columns == current.columns
     got = {(r[0], r[1]): (r[2], r[3], r[4], label(r[5]), label(r[6])) for r in result.collect()}
     assert got == simulate(stored, batch, update)
@@ -86,19 +84,6 @@ def test_fold_aggregates_before_the_shuffle(spark):
     assert "partial_max_by" in plan and plan.index("Exchange hashpartitioning") < plan.index("partial_max_by")
 
 
-def test_small_merge_never_shuffles_the_table(spark):
-    current = spark.range(1000).select(
-        F.col("id").cast("string").alias("coin_id"), F.lit("x").alias("source"), F.lit("n").alias("name"),
-        F.rand(1).alias("price"), F.lit(1).alias("rank"), F.lit(OLD).alias("created_at"), F.lit(OLD).alias("updated_at"),
-    )
-    batch = spark.createDataFrame([("1", "x", "A", 1.0, 1, 1), ("zz", "x", "A", 1.0, 1, 1)], BATCH)
-    p = policy(("price",))
-    updated, inserted = ops.merge_small(current, fold_batch(batch, p, ("ord",)), p, F.lit(NEW))
-    assert updated.count() == 1000 and inserted.count() == 1
-    plan = updated._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
-
-
 def test_delta_counts(spark):
     current = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     batch = spark.createDataFrame([("b", 2), ("b", 3), ("c", 1), ("d", 1)], "k string, v int")
