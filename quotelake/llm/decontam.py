@@ -66,8 +66,9 @@ class Index:
     slots: np.ndarray  # the top bits of a hash to a first guess of its place
     idf: np.ndarray
     other: float  # the weight of a word that no item has: the median of those that have one
-    basis: np.ndarray  # word x dimension
+    weighted: np.ndarray  # word x dimension, times the word's weight; the last row, of no word, is zero
     latent: np.ndarray  # passage x dimension, of length one at most
+    spelled: np.ndarray  # passage x word, as places in the vocabulary; short passages end in places of no word
 
     def places(self, h: np.ndarray) -> np.ndarray:
         return _places(self.vocabulary, self.slots, h)
@@ -196,7 +197,12 @@ def build_index(docs: DataFrame, items: list[tuple[int, str]]) -> Index | None:
     matrix = local_rows(spark, rows, schema).repartition(min(8, len(rows)))
     basis = latent_basis(matrix, len(vocabulary))
     latent = np.stack([np.array(x) @ basis[at] for at, x in rows]).astype(np.float32)
-    return Index(np.array(owner, np.int64), words, answers, vocabulary, slots, idf, float(np.median(idf)), basis, latent)
+    weighted = np.zeros((len(vocabulary) + 1, basis.shape[1]), np.float32)
+    weighted[:-1] = basis * idf[:, None].astype(np.float32)
+    spelled = np.full((len(words), WINDOW), len(vocabulary), np.int32)
+    for i, w in enumerate(words):
+        spelled[i, : len(w)] = np.searchsorted(vocabulary, np.array(w, np.uint64))
+    return Index(np.array(owner, np.int64), words, answers, vocabulary, slots, idf, float(np.median(idf)), weighted, latent, spelled)
 
 
 def _hits(index: Index, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int, float, float]]:
@@ -217,32 +223,45 @@ def _hits(index: Index, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int,
     mass = total[high] - total[low]
     # no cosine can be larger than the root of the share of the known words
     at = np.flatnonzero(known[high] - known[low] >= MIN_COSINE**2 * mass)
+    sizes = np.array([len(w) for w in index.words])
+    least = np.maximum(np.ceil(LIKELY * sizes - 1e-9), np.minimum(sizes, ANSWER_WORDS)).astype(np.int64)
+    present = np.zeros(len(index.vocabulary) + 1, bool)
     for part in (at[i : i + 2048] for i in range(0, len(at), 2048)):
-        span = low[part][:, None] + np.arange((high[part] - low[part]).max())
-        word = np.where(span < high[part][:, None], place[np.minimum(span, len(place) - 1)], -1)
-        weight = np.where(word >= 0, index.idf[word], 0.0).astype(np.float32)
-        folded = _fold(index, word, weight)
-        cosine = folded @ index.latent.T / np.sqrt(np.maximum(mass[part], 1e-12))[:, None]
-        for w, p in zip(*np.nonzero(cosine >= MIN_COSINE)):
+        product = _fold(index, place, low[part], high[part]) @ index.latent.T
+        norm = np.sqrt(np.maximum(mass[part], 1e-12)).astype(np.float32)
+        near, passages = np.divmod(np.flatnonzero(product >= MIN_COSINE * norm[:, None]), product.shape[1])
+        edges = np.flatnonzero(np.concatenate(([True], near[1:] != near[:-1], [True]))) if len(near) else near
+        for a, b in zip(edges, edges[1:]):
+            w, found = near[a], passages[a:b]
             i = part[w]
-            around = h[max(first[text[i]], low[i] - STRIDE) : min(first[text[i] + 1], high[i] + STRIDE)].tolist()
-            passage = index.words[p]
-            common = lcs(passage, around)
-            share = common / len(passage)
-            if share < LIKELY or common < min(len(passage), ANSWER_WORDS):
+            start, end = max(first[text[i]], low[i] - STRIDE), min(first[text[i] + 1], high[i] + STRIDE)
+            # no common subsequence is longer than the number of words that occur here at all
+            present[place[start:end]] = True
+            present[-1] = False
+            found = found[present[index.spelled[found]].sum(axis=1) >= least[found]]
+            present[place[start:end]] = False
+            if not len(found):
                 continue
-            if share < SURE:  # a paraphrase must have the answer as well
-                after = h[max(first[text[i]], low[i] - STRIDE) : min(first[text[i] + 1], high[i] + 2 * WINDOW)].tolist()
-                if lcs(index.answers[p], after) < ANSWER * len(index.answers[p]):
+            around = h[start:end].tolist()
+            for p in found:
+                common = lcs(index.words[p], around)
+                if common < least[p]:
                     continue
-            yield int(text[i]), int(index.items[p]), float(cosine[w, p]), share
+                share = common / sizes[p]
+                if share < SURE:  # a paraphrase must have the answer as well
+                    after = h[start : min(first[text[i] + 1], high[i] + 2 * WINDOW)].tolist()
+                    if lcs(index.answers[p], after) < ANSWER * len(index.answers[p]):
+                        continue
+                yield int(text[i]), int(index.items[p]), float(product[w, p] / norm[w]), float(share)
 
 
-def _fold(index: Index, word: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def _fold(index: Index, place: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Windows in the latent space, one word of each at a time."""
-    out = np.zeros((len(word), index.basis.shape[1]), np.float32)
-    for j in range(word.shape[1]):
-        out += weight[:, j, None] * index.basis[word[:, j]]
+    out = np.zeros((len(low), index.weighted.shape[1]), np.float32)
+    row = np.empty_like(out)
+    for j in range((high - low).max()):
+        word = np.where(low + j < high, place[np.minimum(low + j, len(place) - 1)], -1)
+        out += np.take(index.weighted, word, axis=0, out=row, mode="wrap")  # -1 is the row of no word
     return out
 
 
