@@ -179,15 +179,21 @@ def _scatter(batches: Iterator[pa.RecordBatch], k: int, frequent: np.ndarray, bu
             yield _rows(rows)
 
 
-def _gather(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Ranges of the windows that a smaller document has, bucket by bucket."""
-
-    def settle(blobs):
-        parts = []
-        for blob in blobs:
-            raw = zstandard.ZstdDecompressor().decompress(blob)
-            n = struct.unpack_from("<q", raw)[0]
-            parts.append((np.frombuffer(raw, "<i8", 4 * n, 8).reshape(4, n), raw[8 + 32 * n :]))
+def _gather(batches: Iterator[pa.RecordBatch], k: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Ranges of the windows that a smaller document has, bucket by bucket.
+
+    A bucket with more than ``limit`` bytes is settled as it arrives: a window that has been
+    found behind a smaller document is done with, so only the first of equal windows wait.
+    """
+    inflate = zstandard.ZstdDecompressor()
+
+    def unpacked(blob):
+        raw = inflate.decompress(blob)
+        n = struct.unpack_from("<q", raw)[0]
+        return np.frombuffer(raw, "<i8", 4 * n, 8).reshape(4, n), raw[8 + 32 * n :]
+
+    def settle(parts, last):
+        """The ranges found, and what later windows of the bucket must still be compared with."""
         columns = np.concatenate([c for c, _ in parts], axis=1)
         packed = b" ".join([s for _, s in parts])
         starts, ends = spans(packed)
@@ -195,12 +201,21 @@ def _gather(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
         b = _Block(packed, starts, ends, piece, columns[0], columns[1], columns[2])
         at = np.flatnonzero(piece[: len(starts) - k + 1] == piece[k - 1 :])
         word = b.place(at)
-        return _ranges(_repeats(b, at, k), word, word + k, b.doc[piece[at]], b.text_hash[piece[at]])
+        again = _repeats(b, at, k)
+        found = _ranges(again, word, word + k, b.doc[piece[at]], b.text_hash[piece[at]])
+        if last:
+            return found, []
+        at, word = at[~again], word[~again]
+        cut = np.flatnonzero(at[1:] != at[:-1] + 1)
+        first, final = np.concatenate(([0], cut + 1)), np.concatenate((cut, [len(at) - 1]))
+        kept = np.stack((b.doc[piece[at[first]]], b.text_hash[piece[at[first]]], word[first], final - first + k))
+        strings = [packed[i:j] for i, j in zip(starts[at[first]].tolist(), ends[at[final] + k - 1].tolist())]
+        return found, [(kept, b" ".join(strings))]
 
     def out(rows):
         return _rows([(0, None, *r) for r in rows])
 
-    bucket, blobs = None, []
+    bucket, parts, size, most = None, [], 0, limit
     for batch in batches:
         through = [r for r in zip(*(c.to_pylist() for c in batch.columns[2:])) if r[2] is not None]
         if through:
@@ -208,13 +223,16 @@ def _gather(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
         for number, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if blob is None:
                 continue
-            if number != bucket and blobs:
-                if found := settle(blobs):
+            if parts and (number != bucket or size > most):
+                found, parts = settle(parts, number != bucket)
+                if found:
                     yield out(found)
-                blobs = []
+                size = sum(c.nbytes + len(s) for c, s in parts)
+                most = max(limit, 2 * size)
             bucket = number
-            blobs.append(blob)
-    if blobs and (found := settle(blobs)):
+            parts.append(unpacked(blob))
+            size += parts[-1][0].nbytes + len(parts[-1][1])
+    if parts and (found := settle(parts, True)[0]):
         yield out(found)
 
 
@@ -245,8 +263,8 @@ def repeated_ranges(docs: DataFrame, k: int = 13, share: float = 1e-4, bucket_by
         .repartitionById(max(tasks, buckets // 16), F.col("bucket") % F.lit(max(tasks, buckets // 16)))
         .sortWithinPartitions("bucket")
     )
-    found = moved.mapInArrow(lambda b: _gather(b, k), "bucket int, blob binary, doc bigint, text_hash bigint, found binary")
-    return found.groupBy("doc", "text_hash").agg(F.collect_list("found").alias("found"))
+    found = moved.mapInArrow(lambda b: _gather(b, k, 2 * bucket_bytes), "bucket int, blob binary, doc bigint, text_hash bigint, found binary")
+    return found.groupBy("doc", "text_hash").agg(F.collect_set("found").alias("found"))
 
 
 def _cut(packed: bytes, found) -> tuple[int, int, bytes]:

@@ -145,6 +145,8 @@ def test_repeated_windows(spark, k, small, monkeypatch):
         return
     got = substrings.remove_repeats(frame(spark, rows), k).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == plain_repeats(rows, k)
+    tight = substrings.remove_repeats(frame(spark, rows), k, bucket_bytes=512).collect()  # buckets are settled as they arrive
+    assert sorted(tight, key=str) == sorted(got, key=str)
     sha = substrings.repeat_digests(frame(spark, rows), k).collect()
     assert sorted(r.kept_sha256 for r in sha) == sorted(hashlib.sha256(r[3].encode()).hexdigest() for r in plain_repeats(rows, k))
 
