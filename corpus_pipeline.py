@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.catalog import table
 from quotelake.llm import decontam, langid, mixing, simhash, tokens
-from quotelake.llm.scratch import materialised
+from quotelake.llm.scratch import materialised, unused
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source is passed at least once and at most one and a half times; repeated documents are repeated rows."""
-    return mixing.mixed(docs, mixing.Mix(repetition=1.5)).drop("_pass")
+    number = unused(docs, "_pass")
+    return mixing.mixed(docs, mixing.Mix(repetition=1.5), name=number).drop(number)
 
 
 def write_token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake.llm.arrow import sliced
-from quotelake.llm.scratch import materialised
+from quotelake.llm.scratch import materialised, unused
 from quotelake.llm.words import hashes, mix, spans
 from quotelake.session import local_rows
 
@@ -309,5 +309,6 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a benchmark passage."""
-    bad = materialised(contaminations(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    i, h = unused(docs, "_id"), unused(docs, "_hash")
+    bad = materialised(contaminations(docs, benchmark).select(F.col("doc_id").alias(i), F.col("text_hash").alias(h)).distinct(), "contaminated")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(h)), "left_anti")

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.llm.arrow import sliced, values
+from quotelake.llm.scratch import unused
 
 BINS = 1 << 16
 MAX_LANGUAGES = 256  # bounds the model at 64 MB
@@ -135,17 +136,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct ``_found`` (lang_pred, score), learned from its rows that are not held out.
+def identified(docs: DataFrame, name: str = "_found") -> DataFrame:
+    """``docs`` with a struct ``name`` (lang_pred, score), learned from its rows that are not held out.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything if no
     row has a language.  Ties go to the first name.  Repeated rows count as often as they occur.
     """
     model = train(docs.filter(~held_out(F.col("doc_id"))))
-    return docs.withColumn("_found", identify(docs.sparkSession, model, F.col("text")))
+    return docs.withColumn(name, identify(docs.sparkSession, model, F.col("text")))
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
     """The rows whose text has a language that makes up at least ``min_score`` of it."""
-    rows = identified(docs)
-    return rows.filter((F.col("_found.lang_pred") != UNDETERMINED) & (F.col("_found.score") >= min_score)).select(*docs.columns)
+    name = unused(docs, "_found")
+    lang, score = F.col(name)["lang_pred"], F.col(name)["score"]
+    return identified(docs, name).filter((lang != UNDETERMINED) & (score >= min_score)).drop(name)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quotelake.llm.scratch import materialised
+from quotelake.llm.scratch import materialised, unused
 from quotelake.session import local_rows
 
 MAX_SOURCES = 200_000  # the driver holds one number for each
@@ -113,8 +113,8 @@ def _plan(docs: DataFrame, mix: Mix, seed: int) -> DataFrame:
     return plan.join(last.withColumnRenamed("s", "t"), F.col("s").eqNullSafe(F.col("t")), "left").select("s", "whole", "last")
 
 
-def mixed(docs: DataFrame, mix: Mix, seed: int = 1) -> DataFrame:
-    """``docs`` (doc_id, source, text and any others), each row once per pass that takes it, with ``_pass`` from 0.
+def mixed(docs: DataFrame, mix: Mix, seed: int = 1, name: str = "_pass") -> DataFrame:
+    """``docs`` (doc_id, source, text and any others), each row once per pass that takes it, with its pass from 0 in the column ``name``.
 
     A partial pass takes documents in key order until those before have its tokens; documents
     of equal key (repeated rows) go together.  Null is a source of its own.  A source without
@@ -122,8 +122,9 @@ def mixed(docs: DataFrame, mix: Mix, seed: int = 1) -> DataFrame:
     depend on partitions or block sizes.
     """
     # one small row per source, at most MAX_SOURCES
-    plan = F.broadcast(materialised(_plan(docs, mix, seed), "mix").withColumnsRenamed({"s": "_s", "whole": "_whole", "last": "_last"}))
-    rows = docs.join(plan, F.col("source").eqNullSafe(F.col("_s")))
-    more = F.coalesce(_key(seed, F.col("_whole").cast("string")) <= F.col("_last"), F.lit(False)).cast("bigint")
-    times = F.col("_whole") + more
-    return rows.filter(times > 0).withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("bigint"), times - 1))).select(*docs.columns, "_pass")
+    source, whole, last = (unused(docs, n) for n in ("_source", "_whole", "_last"))
+    plan = F.broadcast(materialised(_plan(docs, mix, seed), "mix").withColumnsRenamed({"s": source, "whole": whole, "last": last}))
+    rows = docs.join(plan, F.col("source").eqNullSafe(F.col(source)))
+    more = F.coalesce(_key(seed, F.col(whole).cast("string")) <= F.col(last), F.lit(False)).cast("bigint")
+    times = F.col(whole) + more
+    return rows.filter(times > 0).withColumn(name, F.explode(F.sequence(F.lit(0).cast("bigint"), times - 1))).drop(source, whole, last)

@@ -20,6 +20,14 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(stored(df, label))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column has, for a helper column beside columns of any name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table that no later step reads."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

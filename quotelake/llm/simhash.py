@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.arrow import values
 from quotelake.llm.components import components
-from quotelake.llm.scratch import materialised
+from quotelake.llm.scratch import materialised, unused
 from quotelake.llm.words import spans
 
 SEED = 42
@@ -232,7 +232,8 @@ def one_per_group(docs: DataFrame, k: int = 4, max_bits: int = 4) -> DataFrame:
     found = near_duplicates(docs, k, max_bits)
     keep = found.filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = found.filter("component_id is null").select(F.col("fingerprint").alias("_print")).distinct()
+    name = unused(docs, "_print")
+    nameless = found.filter("component_id is null").select(F.col("fingerprint").alias(name)).distinct()
     print_of = F.lower(F.lpad(F.hex(simhash(F.col("text"), k)), 16, "0"))
-    rest = docs.filter("doc_id is null").withColumn("_print", print_of).join(nameless, "_print", "left_semi")
-    return kept.unionByName(rest.select(*docs.columns))
+    rest = docs.filter("doc_id is null").withColumn(name, print_of).join(nameless, name, "left_semi")
+    return kept.unionByName(rest.drop(name))

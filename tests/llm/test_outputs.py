@@ -110,6 +110,19 @@ def test_shards_round_trip(spark, tmp_path):
     assert tokens.write_shards(docs.limit(0), str(tmp_path / "none"), length=64).count() == 0
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    names = "_id _hash _print _found _pass _pass_ _source _whole _last fp node root component_id fingerprint text_hash item_id key s t n_words score".split()
+    rows = [(i, f"w{i} and some more plain words of text {i % 7} " * 3, "en", "ab"[i % 2]) for i in range(30)]
+    rows += [(None, None, None, None), (31, "", "en", "a"), (5, rows[5][1], "en", "b")]
+    docs = spark.createDataFrame([(*r, *names) for r in rows], "doc_id bigint, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, "/root/testdata/sf0.001")
+        assert got.schema.names == docs.schema.names, name
+        found = got.collect()
+        assert found and all(list(r)[4:] == names for r in found), name
+
+
 def test_pipeline_stages(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
