@@ -2,8 +2,10 @@
 
 Benchmark items are cut into passages.  Their TF-IDF vectors (document frequencies are
 those of the corpus) are reduced by a randomised singular value decomposition whose
-products run over the passages' partitions.  Windows of the documents are folded into the
-latent space; those near a passage are compared word by word.
+products run over the passages' partitions.  A decomposition takes no more passages than it
+has dimensions, so that every passage lies wholly in its latent space; a larger benchmark has
+several.  Windows of the documents are folded into each latent space; those near a passage
+are compared word by word.
 """
 
 from __future__ import annotations
@@ -24,14 +26,15 @@ from quotelake.session import local_rows
 
 WINDOW, STRIDE = 32, 16
 MIN_WORDS = 5
-RANK = 256
+RANK = 256  # dimensions, and passages at most, of one decomposition
 POWERS = 2
 SCALES = ((32, 16), (16, 6))  # windows of the documents and their steps; the small ones are for short items
 MIN_COSINE = 0.35
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 8
 BLOCK = 1 << 20  # bytes of text handled at a time
-ITEM_BYTES = 256 << 10  # benchmark text per index; bounds the index at about 45,000 words and 45 MB
+ITEM_BYTES = 256 << 10  # benchmark text per index; bounds the index at about 45,000 words and 70 MB
+ITEM_COUNT = 2048  # items per index
 _KEEP = bytes(c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
 
@@ -56,19 +59,27 @@ def lcs(a: list[int], b: list[int]) -> int:
 
 
 @dataclass
-class Index:
-    """Benchmark passages in the latent space, and the words that lead there."""
+class Part:
+    """Passages that were decomposed together: at most RANK, so that none has a share outside the latent space."""
 
     items: np.ndarray  # item of each passage
     words: list[list[int]]  # word hashes of each passage
     answers: list[list[int]]  # the last words of its item
+    rows: np.ndarray  # the row in ``weighted`` of each place in the vocabulary, or -1; the last one, of no word, is -1
+    weighted: np.ndarray  # word x dimension, times the word's weight; the last row, of no word, is zero
+    latent: np.ndarray  # passage x dimension, of length one
+    spelled: np.ndarray  # passage x word, as places in the vocabulary; short passages end in places of no word
+
+
+@dataclass
+class Index:
+    """Benchmark passages in latent spaces, and the words that lead there."""
+
+    parts: list[Part]
     vocabulary: np.ndarray  # sorted word hashes
     slots: np.ndarray  # the top bits of a hash to a first guess of its place
     idf: np.ndarray
     other: float  # the weight of a word that no item has: the median of those that have one
-    weighted: np.ndarray  # word x dimension, times the word's weight; the last row, of no word, is zero
-    latent: np.ndarray  # passage x dimension, of length one at most
-    spelled: np.ndarray  # passage x word, as places in the vocabulary; short passages end in places of no word
 
     def places(self, h: np.ndarray) -> np.ndarray:
         return _places(self.vocabulary, self.slots, h)
@@ -188,46 +199,64 @@ def build_index(docs: DataFrame, items: list[tuple[int, str]]) -> Index | None:
     df = np.zeros(len(vocabulary))
     df[list(counted)] = list(counted.values())
     idf = np.log((n + 2) / (df + 1)) + 1e-3
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    parts = [_part(spark, [(owner[i], words[i], answers[i]) for i in some], vocabulary, idf) for some in np.array_split(order, -(-len(order) // RANK))]
+    return Index(parts, vocabulary, slots, idf, float(np.median(idf)))
+
+
+def _part(spark: SparkSession, passages: list[tuple[int, list[int], list[int]]], vocabulary: np.ndarray, idf: np.ndarray) -> Part:
+    """Decompose some passages (item, words, answer), at most RANK."""
+    owner, words, answers = (list(c) for c in zip(*passages))
+    spelled = np.full((len(words), WINDOW), len(vocabulary), np.int32)
+    for i, w in enumerate(words):
+        spelled[i, : len(w)] = np.searchsorted(vocabulary, np.array(w, np.uint64))
+    own = np.unique(spelled[spelled < len(vocabulary)])
+    place_to_row = np.full(len(vocabulary) + 1, -1, np.int32)
+    place_to_row[own] = np.arange(len(own))
     rows = []
-    for w in words:
-        at, tf = np.unique(np.searchsorted(vocabulary, np.array(w, np.uint64)), return_counts=True)
+    for i, w in enumerate(words):
+        at, tf = np.unique(spelled[i, : len(w)], return_counts=True)
         x = tf * idf[at]
-        rows.append((at.tolist(), (x / np.linalg.norm(x)).tolist()))
+        rows.append((place_to_row[at].tolist(), (x / np.linalg.norm(x)).tolist()))
     schema = T.StructType([T.StructField("words", T.ArrayType(T.IntegerType())), T.StructField("weights", T.ArrayType(T.DoubleType()))])
     matrix = local_rows(spark, rows, schema).repartition(min(8, len(rows)))
-    basis = latent_basis(matrix, len(vocabulary))
+    basis = latent_basis(matrix, len(own))
     latent = np.stack([np.array(x) @ basis[at] for at, x in rows]).astype(np.float32)
-    weighted = np.zeros((len(vocabulary) + 1, basis.shape[1]), np.float32)
-    weighted[:-1] = basis * idf[:, None].astype(np.float32)
-    spelled = np.full((len(words), WINDOW), len(vocabulary), np.int32)
-    for i, w in enumerate(words):
-        spelled[i, : len(w)] = np.searchsorted(vocabulary, np.array(w, np.uint64))
-    return Index(np.array(owner, np.int64), words, answers, vocabulary, slots, idf, float(np.median(idf)), weighted, latent, spelled)
+    weighted = np.zeros((len(own) + 1, basis.shape[1]), np.float32)
+    weighted[:-1] = basis * idf[own, None].astype(np.float32)
+    return Part(np.array(owner, np.int64), words, answers, place_to_row, weighted, latent, spelled)
 
 
 def _hits(index: Index, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int, float, float]]:
     """(text, item, cosine, common subsequence) of passages found in the texts of a block."""
     place = index.places(h)
     squares = np.where(place >= 0, index.idf[place] ** 2, index.other**2)
-    known = np.concatenate(([0.0], np.cumsum(np.where(place >= 0, squares, 0.0))))
     total = np.concatenate(([0.0], np.cumsum(squares)))
     counts = np.diff(first)
-    parts = []
+    windows = []
     for window, stride in SCALES:
         per_text = np.maximum(1, -(-(counts - window) // stride) + 1)
         text = np.repeat(np.arange(len(counts)), per_text)
         number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         low = first[text] + number * stride
-        parts.append((text, low, np.minimum(low + window, first[text + 1])))
-    text, low, high = (np.concatenate(x) for x in zip(*parts))
+        windows.append((text, low, np.minimum(low + window, first[text + 1])))
+    text, low, high = (np.concatenate(x) for x in zip(*windows))
+    present = np.zeros(len(index.vocabulary) + 1, bool)
+    for part in index.parts:
+        yield from _part_hits(part, first, h, place, squares, total, text, low, high, present)
+
+
+def _part_hits(index: Part, first, h, place, squares, total, text, low, high, present) -> Iterator[tuple[int, int, float, float]]:
+    """The hits of one part in windows from ``low`` to ``high``; ``present`` is a false value for each place."""
+    row = index.rows[place]
+    known = np.concatenate(([0.0], np.cumsum(np.where(row >= 0, squares, 0.0))))
     mass = total[high] - total[low]
     # no cosine can be larger than the root of the share of the known words
     at = np.flatnonzero(known[high] - known[low] >= MIN_COSINE**2 * mass)
     sizes = np.array([len(w) for w in index.words])
     least = np.maximum(np.ceil(LIKELY * sizes - 1e-9), np.minimum(sizes, ANSWER_WORDS)).astype(np.int64)
-    present = np.zeros(len(index.vocabulary) + 1, bool)
     for part in (at[i : i + 2048] for i in range(0, len(at), 2048)):
-        product = _fold(index, place, low[part], high[part]) @ index.latent.T
+        product = _fold(index, row, low[part], high[part]) @ index.latent.T
         norm = np.sqrt(np.maximum(mass[part], 1e-12)).astype(np.float32)
         near, passages = np.divmod(np.flatnonzero(product >= MIN_COSINE * norm[:, None]), product.shape[1])
         edges = np.flatnonzero(np.concatenate(([True], near[1:] != near[:-1], [True]))) if len(near) else near
@@ -255,12 +284,12 @@ def _hits(index: Index, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int,
                 yield int(text[i]), int(index.items[p]), float(product[w, p] / norm[w]), float(share)
 
 
-def _fold(index: Index, place: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def _fold(index: Part, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Windows in the latent space, one word of each at a time."""
     out = np.zeros((len(low), index.weighted.shape[1]), np.float32)
     row = np.empty_like(out)
     for j in range((high - low).max()):
-        word = np.where(low + j < high, place[np.minimum(low + j, len(place) - 1)], -1)
+        word = np.where(low + j < high, rows[np.minimum(low + j, len(rows) - 1)], -1)
         out += np.take(index.weighted, word, axis=0, out=row, mode="wrap")  # -1 is the row of no word
     return out
 
@@ -280,8 +309,8 @@ def _scan(batches, shared) -> Iterator[pa.RecordBatch]:
 def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The benchmark in blocks of bounded size; a block at a time is on the driver."""
     rows = benchmark.select("item_id", "text").dropna()
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // ITEM_BYTES)
+    size, count = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    n = max(-(-size // ITEM_BYTES), -(-count // ITEM_COUNT))
     for i in range(n):
         yield sorted(tuple(r) for r in rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect())
 
@@ -293,7 +322,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     0.6 of them and the item's last words.  Items of fewer than five words, null items and
     null texts match nothing.  Repeated documents and items give one pair.  ``text_hash``
     tells apart documents without an id or with the same one.  A benchmark beyond 256 KB is
-    taken in blocks, each with an index of its own and a pass over the documents.
+    taken in blocks, each with an index of its own and a pass over the documents; so is one of more
+    than 2,048 items.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")

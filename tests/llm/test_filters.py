@@ -172,6 +172,19 @@ def test_benchmark_passages_are_found(spark):
     assert decontam.uncontaminated(frame(spark, rows), none).count() == len(rows)
 
 
+def test_every_copy_of_a_large_benchmark_is_found(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(f"v{rng.randrange(4000)}" for _ in range(40))) for i in range(1100)]
+    rows = []
+    for i, text in items:
+        words = [f"v{rng.randrange(4000)}" if rng.random() < 0.5 else f"x{rng.randrange(3000)}" for _ in range(120)]
+        at = rng.randrange(len(words))
+        rows.append((i, " ".join(words[:at] + text.split() + words[at:]), None, "a"))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminations(frame(spark, rows), bench).collect()}
+    assert {(i, i) for i, _ in items} == got
+
+
 def test_basis_spans_the_rows(spark):
     rng = np.random.default_rng(2)
     a = rng.standard_normal((20, 4)) @ rng.standard_normal((4, 50))
