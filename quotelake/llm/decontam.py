@@ -4,8 +4,10 @@ Benchmark items are cut into passages.  Their TF-IDF vectors (document frequenci
 those of the corpus) are reduced by a randomised singular value decomposition whose
 products run over the passages' partitions.  A decomposition takes no more passages than it
 has dimensions, so that every passage lies wholly in its latent space; a larger benchmark has
-several.  Windows of the documents are folded into each latent space; those near a passage
-are compared word by word.
+several.  Windows of the documents are folded into each latent space.  There a window is near
+a passage if their product reaches that of the fewest and lightest words that can make a
+match; words around a copy, however heavy, do not count against it.  Near ones are compared
+word by word.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ WINDOW, STRIDE = 32, 16
 MIN_WORDS = 5
 RANK = 256  # dimensions, and passages at most, of one decomposition
 POWERS = 2
-SCALES = ((32, 16), (16, 6))  # windows of the documents and their steps; the small ones are for short items
-MIN_COSINE = 0.35
+AROUND = 64  # words of a document, from every STRIDE on, in which a passage's words are close together
+SPAN, STEP = AROUND + STRIDE, 2 * STRIDE  # windows of the documents and their step: two such stretches each
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 8
 BLOCK = 1 << 20  # bytes of text handled at a time
@@ -68,7 +70,11 @@ class Part:
     rows: np.ndarray  # the row in ``weighted`` of each place in the vocabulary, or -1; the last one, of no word, is -1
     weighted: np.ndarray  # word x dimension, times the word's weight; the last row, of no word, is zero
     latent: np.ndarray  # passage x dimension, of length one
-    spelled: np.ndarray  # passage x word, as places in the vocabulary; short passages end in places of no word
+    spelled: np.ndarray  # passage x word, as rows in ``weighted``; short passages end in the row of no word
+    sizes: np.ndarray  # words of each passage
+    least: np.ndarray  # how many of them a match has at least
+    light: np.ndarray  # sum of squared weights of its ``least`` lightest words
+    need: np.ndarray  # product with a window that has any ``least`` of its words, at least
 
 
 @dataclass
@@ -207,81 +213,97 @@ def build_index(docs: DataFrame, items: list[tuple[int, str]]) -> Index | None:
 def _part(spark: SparkSession, passages: list[tuple[int, list[int], list[int]]], vocabulary: np.ndarray, idf: np.ndarray) -> Part:
     """Decompose some passages (item, words, answer), at most RANK."""
     owner, words, answers = (list(c) for c in zip(*passages))
-    spelled = np.full((len(words), WINDOW), len(vocabulary), np.int32)
-    for i, w in enumerate(words):
-        spelled[i, : len(w)] = np.searchsorted(vocabulary, np.array(w, np.uint64))
-    own = np.unique(spelled[spelled < len(vocabulary)])
+    own = np.unique(np.array([x for w in words for x in w], np.uint64))
+    at_own = np.searchsorted(vocabulary, own)
     place_to_row = np.full(len(vocabulary) + 1, -1, np.int32)
-    place_to_row[own] = np.arange(len(own))
-    rows = []
+    place_to_row[at_own] = np.arange(len(own))
+    idf = idf[at_own]
+    spelled = np.full((len(words), WINDOW), len(own), np.int32)
+    sizes = np.array([len(w) for w in words])
+    least = np.ceil(np.where(sizes > ANSWER_WORDS, LIKELY, SURE) * sizes - 1e-9).astype(np.int64)
+    rows, light, need = [], [], []
     for i, w in enumerate(words):
+        spelled[i, : len(w)] = np.searchsorted(own, np.array(w, np.uint64))
         at, tf = np.unique(spelled[i, : len(w)], return_counts=True)
         x = tf * idf[at]
-        rows.append((place_to_row[at].tolist(), (x / np.linalg.norm(x)).tolist()))
+        rows.append((at.tolist(), (x / np.linalg.norm(x)).tolist()))
+        light.append((np.sort(idf[spelled[i, : len(w)]])[: least[i]] ** 2).sum())
+        need.append(light[i] / np.linalg.norm(x))
     schema = T.StructType([T.StructField("words", T.ArrayType(T.IntegerType())), T.StructField("weights", T.ArrayType(T.DoubleType()))])
     matrix = local_rows(spark, rows, schema).repartition(min(8, len(rows)))
     basis = latent_basis(matrix, len(own))
     latent = np.stack([np.array(x) @ basis[at] for at, x in rows]).astype(np.float32)
     weighted = np.zeros((len(own) + 1, basis.shape[1]), np.float32)
-    weighted[:-1] = basis * idf[own, None].astype(np.float32)
-    return Part(np.array(owner, np.int64), words, answers, place_to_row, weighted, latent, spelled)
+    weighted[:-1] = basis * idf[:, None].astype(np.float32)
+    return Part(np.array(owner, np.int64), words, answers, place_to_row, weighted, latent, spelled, sizes, least, np.array(light), np.array(need))
 
 
 def _hits(index: Index, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int, float, float]]:
     """(text, item, cosine, common subsequence) of passages found in the texts of a block."""
     place = index.places(h)
-    squares = np.where(place >= 0, index.idf[place] ** 2, index.other**2)
-    total = np.concatenate(([0.0], np.cumsum(squares)))
+    weights = np.where(place >= 0, index.idf[place], index.other)
     counts = np.diff(first)
-    windows = []
-    for window, stride in SCALES:
-        per_text = np.maximum(1, -(-(counts - window) // stride) + 1)
-        text = np.repeat(np.arange(len(counts)), per_text)
-        number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-        low = first[text] + number * stride
-        windows.append((text, low, np.minimum(low + window, first[text + 1])))
-    text, low, high = (np.concatenate(x) for x in zip(*windows))
-    present = np.zeros(len(index.vocabulary) + 1, bool)
+    per_text = np.maximum(1, -(-(counts - SPAN) // STEP) + 1)
+    text = np.repeat(np.arange(len(counts)), per_text)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    low = first[text] + number * STEP
+    high = np.minimum(low + SPAN, first[text + 1])
     for part in index.parts:
-        yield from _part_hits(part, first, h, place, squares, total, text, low, high, present)
+        yield from _part_hits(part, first, h, place, weights, text, low, high)
 
 
-def _part_hits(index: Part, first, h, place, squares, total, text, low, high, present) -> Iterator[tuple[int, int, float, float]]:
-    """The hits of one part in windows from ``low`` to ``high``; ``present`` is a false value for each place."""
+def _part_hits(index: Part, first, h, place, weights, text, low, high) -> Iterator[tuple[int, int, float, float]]:
+    """The hits of one part in windows from ``low`` to ``high``."""
     row = index.rows[place]
-    known = np.concatenate(([0.0], np.cumsum(np.where(row >= 0, squares, 0.0))))
-    mass = total[high] - total[low]
-    # no cosine can be larger than the root of the share of the known words
-    at = np.flatnonzero(known[high] - known[low] >= MIN_COSINE**2 * mass)
-    sizes = np.array([len(w) for w in index.words])
-    least = np.maximum(np.ceil(LIKELY * sizes - 1e-9), np.minimum(sizes, ANSWER_WORDS)).astype(np.int64)
-    for part in (at[i : i + 2048] for i in range(0, len(at), 2048)):
-        product = _fold(index, row, low[part], high[part]) @ index.latent.T
-        norm = np.sqrt(np.maximum(mass[part], 1e-12)).astype(np.float32)
-        near, passages = np.divmod(np.flatnonzero(product >= MIN_COSINE * norm[:, None]), product.shape[1])
-        edges = np.flatnonzero(np.concatenate(([True], near[1:] != near[:-1], [True]))) if len(near) else near
-        for a, b in zip(edges, edges[1:]):
-            w, found = near[a], passages[a:b]
-            i = part[w]
-            start, end = max(first[text[i]], low[i] - STRIDE), min(first[text[i] + 1], high[i] + STRIDE)
-            # no common subsequence is longer than the number of words that occur here at all
-            present[place[start:end]] = True
-            present[-1] = False
-            found = found[present[index.spelled[found]].sum(axis=1) >= least[found]]
-            present[place[start:end]] = False
-            if not len(found):
-                continue
-            around = h[start:end].tolist()
-            for p in found:
-                common = lcs(index.words[p], around)
-                if common < least[p]:
+    known = np.concatenate(([0], np.cumsum(row >= 0)))
+    mass = np.concatenate(([0.0], np.cumsum(np.where(row >= 0, weights**2, 0.0))))
+    enough = (known[high] - known[low] >= index.least.min()) & (mass[high] - mass[low] >= index.light.min() * (1 - 1e-6) - 1e-9)
+    need = (index.need * 0.999 - 1e-4).astype(np.float32)  # single precision
+    at = np.flatnonzero(enough)
+    for some in (at[i : i + 2048] for i in range(0, len(at), 2048)):
+        product = _fold(index, row, low[some], high[some]) @ index.latent.T
+        near, passages = np.divmod(np.flatnonzero(product >= need), product.shape[1])
+        for w, p in _shared(index, row, low[some], high[some], near, passages):
+            i = some[w]
+            found = 0.0, 0.0
+            for start in range(low[i], max(low[i] + 1, high[i] - AROUND + STRIDE), STRIDE):
+                end = min(start + AROUND, high[i])
+                common = lcs(index.words[p], h[start:end].tolist())
+                if common < index.least[p]:
                     continue
-                share = common / sizes[p]
+                share = common / index.sizes[p]
                 if share < SURE:  # a paraphrase must have the answer as well
-                    after = h[start : min(first[text[i] + 1], high[i] + 2 * WINDOW)].tolist()
+                    after = h[start : min(first[text[i] + 1], end + 2 * WINDOW - STRIDE)].tolist()
                     if lcs(index.answers[p], after) < ANSWER * len(index.answers[p]):
                         continue
-                yield int(text[i]), int(index.items[p]), float(product[w, p] / norm[w]), float(share)
+                found = max(found, (share, _cosine(index, p, row[start:end], h[start:end], weights[start:end])))
+            if found[0]:
+                yield int(text[i]), int(index.items[p]), found[1], found[0]
+
+
+def _shared(index: Part, rows: np.ndarray, low: np.ndarray, high: np.ndarray, near: np.ndarray, passages: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Of the pairs of a window and a passage, those with enough words of the passage in the window in any order."""
+    if not len(near):
+        return
+    present = np.zeros((len(low), len(index.weighted)), bool)
+    for j in range((high - low).max()):
+        here = np.flatnonzero(low + j < high)
+        present[here, rows[low[here] + j]] = True
+    present[:, -1] = False  # -1 is the row of no word
+    for a in range(0, len(near), 1 << 15):
+        w, p = near[a : a + (1 << 15)], passages[a : a + (1 << 15)]
+        keep = present[w[:, None], index.spelled[p]].sum(axis=1) >= index.least[p]
+        yield from zip(w[keep].tolist(), p[keep].tolist())
+
+
+def _cosine(index: Part, p: int, rows: np.ndarray, h: np.ndarray, weights: np.ndarray) -> float:
+    """The cosine of a passage and the words of its number that are most like it."""
+    n = min(int(index.sizes[p]), len(h))
+    products = np.concatenate(([0.0], np.cumsum(index.weighted[rows] @ index.latent[p], dtype=float)))
+    squares = np.concatenate(([0.0], np.cumsum(weights**2)))
+    best = int(np.argmax((products[n:] - products[:-n]) / np.sqrt(squares[n:] - squares[:-n])))
+    _, one, tf = np.unique(h[best : best + n], return_index=True, return_counts=True)
+    return min(1.0, float((products[best + n] - products[best]) / np.linalg.norm(tf * weights[best : best + n][one])))
 
 
 def _fold(index: Part, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -319,7 +341,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, cosine, lcs_share): pairs of a document and an item of which it has a passage.
 
     A passage is found if 0.8 of its words are in the document in order, close together, or
-    0.6 of them and the item's last words.  Items of fewer than five words, null items and
+    0.6 of them and the item's last words.  Words are close together within any 49 words, and
+    within some 64.  An item of up to eight words consists of last words: 0.8 of them must
+    be close together.  ``cosine`` is that of the passage and as many words of the document.  Items of fewer than five words, null items and
     null texts match nothing.  Repeated documents and items give one pair.  ``text_hash``
     tells apart documents without an id or with the same one.  A benchmark beyond 256 KB is
     taken in blocks, each with an index of its own and a pass over the documents; so is one of more

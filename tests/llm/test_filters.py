@@ -185,6 +185,25 @@ def test_every_copy_of_a_large_benchmark_is_found(spark):
     assert {(i, i) for i, _ in items} == got
 
 
+def test_short_items_in_many_documents_are_found(spark):
+    rng = random.Random(9)
+    items = [(0, "s0 s1 s2 s3 s4 s5 s6 s7"), (1, " ".join(f"t{i}" for i in range(13)))]
+    items += [(i, " ".join(f"r{i}x{j}" for j in range(rng.choice([9, 20, 50])))) for i in range(2, 60)]
+    changed = ["s0 s1 s2 z s4 s5 s6 s7", "s0 s1 s2 s3 s4 s5 s6", "s1 s0 s2 s3 s5 s4 s6 s7"]
+    rows, want = [], set()
+    for d in range(300):
+        words = [f"x{rng.randrange(2000)}" for _ in range(rng.choice([20, 90, 200]))]
+        planted = [items[d % 3][1]] if d % 3 < 2 else [changed[d // 3 % 3]]
+        if d % 3 < 2 or d // 3 % 3 < 2:
+            want.add((d, 0 if d % 3 == 2 else d % 3))
+        at = d % len(words)
+        rows.append((d, " ".join(words[:at] + planted + words[at:]), None, "a"))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontam.contaminations(frame(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert all(abs(r.cosine - 1) < 1e-4 for r in got if r.doc_id % 3 < 2)
+
+
 def test_basis_spans_the_rows(spark):
     rng = np.random.default_rng(2)
     a = rng.standard_normal((20, 4)) @ rng.standard_normal((4, 50))
