@@ -211,29 +211,38 @@ def near_duplicates(docs: DataFrame, k: int = 4, max_bits: int = 4, block: int =
     if it has none.  Repeated rows give repeated rows.  Other columns are ignored.
     """
     prints = materialised(docs.select("doc_id", simhash(F.col("text"), k).alias("fp")), "prints")
+    of_print = _groups(prints, max_bits, block)
+    return prints.join(of_print, prints["fp"] == of_print["print"]).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _groups(prints: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """(print, root, component_id) of each fingerprint in ``prints`` (doc_id, fp); a group has one root."""
     distinct = materialised(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = components(fingerprint_links(distinct.select("fp"), max_bits, block))
     labelled = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     ids = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_print = materialised(labelled.join(ids, "root").select(F.col("fp").alias("print"), "component_id"), "groups")
-    return prints.join(of_print, prints["fp"] == of_print["print"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return materialised(labelled.join(ids, "root").select(F.col("fp").alias("print"), "root", "component_id"), "groups")
 
 
 def one_per_group(docs: DataFrame, k: int = 4, max_bits: int = 4) -> DataFrame:
-    """The documents that stay: of each group the one whose id the group has.
+    """The documents that stay: one row of each group, with the group's id if it has one.
 
-    Of repeated rows of that id one stays.  Rows without id stay only if their whole group
-    has no id.
+    It is the first in the order of doc_id (null last), fingerprint, text and the other
+    columns, the last two by their hashes, so every run keeps the same one.
     """
-    found = near_duplicates(docs, k, max_bits)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    name = unused(docs, "_print")
-    nameless = found.filter("component_id is null").select(F.col("fingerprint").alias(name)).distinct()
-    print_of = F.lower(F.lpad(F.hex(simhash(F.col("text"), k)), 16, "0"))
-    rest = docs.filter("doc_id is null").withColumn(name, print_of).join(nameless, name, "left_semi")
-    return kept.unionByName(rest.drop(name))
+    # maps and variants have no hash; rows that differ in nothing else are taken for equal
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    of_text, of_row = unused(docs, "_text"), unused(docs, "_row")
+    marked = docs.withColumns({of_text: F.xxhash64("text"), of_row: F.xxhash64(*(F.col(f"`{c}`") for c in hashed), *(F.col(f"`{c}`").isNull() for c in hashed))})
+    prints = marked.select("doc_id", simhash(F.col("text"), k).alias("fp"), F.col(of_text).alias("t"), F.col(of_row).alias("r"))
+    prints = materialised(prints, "prints")
+    of_print = _groups(prints, max_bits, 2048)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "t", "r")
+    first = prints.join(of_print, prints["fp"] == of_print["print"]).groupBy("root").agg(F.min(order).alias("first"))
+    stays = materialised(first.select(F.col("first.t").alias("t"), F.col("first.r").alias("r")).distinct(), "stays")
+    kept = marked.join(stays, (F.col(of_text) == F.col("t")) & (F.col(of_row) == F.col("r")), "left_semi")
+    return kept.dropDuplicates([of_text, of_row]).drop(of_text, of_row)

@@ -79,6 +79,16 @@ def test_fingerprints_and_groups(spark):
     assert kept[0].fp == "x"
 
 
+def test_one_of_each_group_stays_without_or_with_repeated_ids(spark):
+    rng = random.Random(4)
+    one, two, three = (" ".join(rng.choices([f"w{i}" for i in range(500)], k=80)) for _ in range(3))
+    rows = [(None, one)] * 3 + [(7, two), (7, three), (8, two), (None, three), (7, two)]
+    runs = [[(r.doc_id, r.text) for r in simhash.one_per_group(frame(spark, some)).collect()] for some in (rows, rows[::-1])]
+    assert all(sorted(map(str, got)) == sorted(map(str, [(None, one), (7, two), (7, three)])) for got in runs)
+    none = simhash.one_per_group(frame(spark, [(None, one), (None, one + " tail")])).collect()
+    assert [r.text for r in none] == [r.text for r in simhash.one_per_group(frame(spark, [(None, one + " tail"), (None, one)])).collect()]
+
+
 @pytest.mark.parametrize("block", [3, 2048])
 def test_crowded_keys_lose_no_link(spark, block):
     rng = random.Random(3)
