@@ -10,7 +10,7 @@ from quotelake.llm.scratch import materialised, unused
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or in which no language makes up 0.3 of the text, go."""
+    """Documents without letters, mostly in no known language, or in which no language makes up 0.3 of the text, go."""
     return langid.keep_identified(docs, min_score=0.3)
 
 

@@ -2,7 +2,8 @@
 
 Each language is a distribution over hashed byte trigrams of lower-cased letters.  A text is
 explained as a mixture of languages: expectation-maximisation finds the proportions, and a
-language joins the set only if it raises the likelihood by more than a penalty.
+language joins the set only if it raises the likelihood by more than a penalty.  What the
+languages explain worse than trigrams drawn at random is left to none of them.
 """
 
 from __future__ import annotations
@@ -46,7 +47,10 @@ class Model:
     likelihood: np.ndarray  # bins x languages
 
     def mixture(self, text: str | None) -> dict[str, float]:
-        """The proportions of the languages that a text is written in; none without a letter."""
+        """The proportions of the languages that a text is written in; none without a letter.
+
+        They add up to less than one by the share of the text that is in no learned language.
+        """
         if not text or not self.languages or not _LETTER.search(text):
             return {}
         bins, n = np.unique(trigrams(text), return_counts=True)
@@ -55,26 +59,30 @@ class Model:
         p, total = self.likelihood[bins], n.sum()
         alone = n @ np.log(p)
         best = int(np.argmax(alone))
-        if len(self.languages) == 1:
-            return {self.languages[0]: 1.0}
         share, _ = _fit(p, n)
         ranked = [best, *(i for i in np.argsort(-share, kind="stable").tolist() if i != best)]
-        chosen, weight, reached = [best], np.ones(1), alone[best]
+        chosen, reached = [best], alone[best]
         for m in range(2, len(ranked) + 1):
-            trial, level = _fit(p[:, ranked[:m]], n)
+            _, level = _fit(p[:, ranked[:m]], n)
             if level - reached <= PENALTY * np.log(total):
                 break
-            chosen, weight, reached = ranked[:m], trial, level
+            chosen, reached = ranked[:m], level
+        weight, _ = _fit(np.column_stack((p[:, chosen], np.full(len(p), 1 / BINS))), n)  # the last one: no language
         return {self.languages[i]: float(w) for i, w in zip(chosen, weight)}
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language with the largest proportion, and that proportion, less in short texts."""
+        """The language with the largest proportion, and that proportion, less in short texts.
+
+        A text of which a larger part is in no learned language is undetermined.
+        """
         found = self.mixture(text)
         if not found:
             return UNDETERMINED, 0.0
         language = max(found, key=lambda k: (found[k], k))
+        if 1 - sum(found.values()) > found[language]:
+            return UNDETERMINED, 0.0
         n = len(trigrams(text))
-        return language, (found[language] * n + PRIOR / len(self.languages)) / (n + PRIOR)
+        return language, (found[language] * n + PRIOR / (len(self.languages) + 1)) / (n + PRIOR)
 
 
 def _fit(p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
@@ -139,8 +147,8 @@ def held_out(doc_id: Column) -> Column:
 def identified(docs: DataFrame, name: str = "_found") -> DataFrame:
     """``docs`` with a struct ``name`` (lang_pred, score), learned from its rows that are not held out.
 
-    Null texts and texts without a letter are ``und`` with score 0, as is everything if no
-    row has a language.  Ties go to the first name.  Repeated rows count as often as they occur.
+    Null texts, texts without a letter and texts mostly in no learned language are ``und``
+    with score 0, as is everything if no row has a language.  Ties go to the first name.  Repeated rows count as often as they occur.
     """
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     return docs.withColumn(name, identify(docs.sparkSession, model, F.col("text")))

@@ -43,6 +43,16 @@ def test_languages_and_mixtures(spark):
     assert set(model.mixture(" ".join(ONE * 20))) == {"el"}
 
 
+def test_texts_in_no_learned_language_go(spark):
+    rows = texts(1, ONE, 60, 0, "el") + texts(2, TWO, 60, 100, "de")
+    foreign = [(400, "москва северный ветер и солнце спорили " * 5), (401, "北風と太陽が言い争っていました " * 5), (402, "kysymys jyväskylä hyvin pitkä " * 5)]
+    for some in (rows, rows[:60]):  # also where one language was learned
+        df = frame(spark, some + [(i, t, None, "a") for i, t in foreign])
+        got = {r.doc_id: r._found for r in langid.identified(df).collect()}
+        assert all(got[i].lang_pred == "und" and got[i].score == 0 for i, _ in foreign)
+        assert {r.doc_id for r in langid.keep_identified(df).collect()} == {i for i, *_ in some}
+
+
 def test_no_languages_to_learn_from(spark):
     rows = [(1, "alpha", None, "a"), (2, None, None, "a")]
     assert [(r._found.lang_pred, r._found.score) for r in langid.identified(frame(spark, rows)).collect()] == [("und", 0.0)] * 2
