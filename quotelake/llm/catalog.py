@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.catalog import table
-from quotelake.llm import decontam, hostrules, htmltext, langid, mixing, quality, simhash, substrings, tokens, warc
+from quotelake.llm import bpe, decontam, fim, hostrules, htmltext, langid, mixing, periodic, quality, simhash, substrings, tokens, warc
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,49 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeat_digests(table(spark, sf_dir, "documents"), k=13)
 
 
+def _times_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a tenth of the texts made periodic from a word on, as their ids say."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(1))
+    words = F.when(h % 10 == 0, F.regexp_extract_all(F.col("text"), F.lit(mixing.WORD), F.lit(0)))
+    g = F.floor(h / 10)
+    n, a, p = F.col("n"), F.col("a"), F.col("p")
+    cut = docs.select("doc_id", "text", words.alias("w"), g.alias("g")).withColumn("n", F.size("w"))
+    cut = cut.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", 1 + F.floor((n - a) / (3 + F.col("g") % 8)))
+    part = F.slice("w", (a + 1).cast("int"), p.cast("int"))
+    again = F.flatten(F.array_repeat(part, F.ceil((n - a) / p).cast("int")))
+    made = F.array_join(F.slice(F.concat(F.slice("w", F.lit(1), a.cast("int")), again), F.lit(1), n), " ")
+    return cut.select("doc_id", F.when(n > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_times_over(spark, sf_dir))
+    # runs are sorted by start, then period, so the first of equal exponents stays
+    better = lambda a, b: a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"])
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.reduce("runs", none, lambda a, b: F.when(better(a, b), b).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
+BPE_VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.encoded(table(spark, sf_dir, "documents"), BPE_VOCABULARY)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    text = bpe.decoded(spark, F.col("ids"), BPE_VOCABULARY)
+    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2(text, 256).alias("decoded_sha256"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.transformed(table(spark, sf_dir, "documents"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -72,6 +115,9 @@ QUERIES = {
     "op8_token_shards": op8_token_shards,
     "op9_warc": op9_warc,
     "op10_substrings": op10_substrings,
+    "op11_periodic": op11_periodic,
+    "op12_bpe": op12_bpe,
+    "op13_fim": op13_fim,
 }
 
 # words of every text with their positions
@@ -175,5 +221,23 @@ gone_list AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, len(coalesce(ps, []))::BIGINT AS n_removed,
   sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' ')) AS kept_sha256
 FROM words LEFT JOIN gone_list USING (doc_id)
+""",
+    "op13_fim": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+h AS (
+  SELECT doc_id, text, length(text)::BIGINT AS n, list_transform(range(0, 4), lambda i: ('0x' || substr(s, (1 + 8 * i)::BIGINT, 8))::BIGINT) AS h FROM d
+),
+c AS (
+  SELECT doc_id, text, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+    ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a) END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c
 """,
 }
