@@ -14,12 +14,12 @@ from __future__ import annotations
 import json
 import os
 import pickle
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import Broadcast, TaskContext
@@ -34,9 +34,11 @@ BLOCK = 8 << 20  # bytes of text cut together
 SPAN = 32  # bytes that the rolling hash sees
 MASK = np.uint32(2047)  # a chunk ends at one place in 2,048
 LEAST = 256  # bytes of a chunk, at least
-BUCKETS = 2  # of each task
-KEPT_BYTES = 64 << 20  # chunks of a bucket, and their ids, that are kept for later copies
-KEPT_WORDS = 1 << 19  # words whose ids a worker keeps, and as many older ones
+BUCKETS = 4  # of each task
+AT_ONCE = 12 << 20  # bytes of distinct chunks that are encoded together, of one bucket or more
+KEPT_BYTES = 48 << 20  # of a larger bucket, so many are taken together
+KEPT_WORDS = 1 << 19  # words of each kind whose ids a worker keeps
+KEPT_BESIDE = 1 << 17  # words beside joins whose ids a worker keeps
 PARTS = 4096  # a chunk is encoded once for each so many partitions of the input, so that a bucket stays small
 EMIT = 1 << 20  # ids in a batch
 _BLANK = np.zeros(256, bool)
@@ -45,6 +47,32 @@ _MULTIPLY = [np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
 _loaded: dict[int, Encoder] = {}
 
 
+class Known:
+    """Ids of words met before, so that a word is not encoded again; emptied when there are too many."""
+
+    def __init__(self, encode, dtype: np.dtype) -> None:
+        self.encode = encode
+        self.words, self.ids, self.ends = pa.array([], pa.large_string()), np.zeros(0, dtype), np.zeros(0, np.int64)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The places of distinct words in the table, which learns those that it lacks."""
+        at = pc.index_in(words, value_set=self.words)
+        if len(self.words) + at.null_count > KEPT_WORDS and len(self.words):
+            self.__init__(self.encode, self.ids.dtype)
+            return self.places(words)
+        missing = at.is_null()
+        fresh = words.filter(missing)
+        first = len(self.words)
+        if len(fresh):
+            ids, ends = self.encode(fresh.to_pylist())
+            self.words = pa.concat_arrays([self.words, fresh])
+            self.ends = np.concatenate((self.ends, ends + len(self.ids)))
+            self.ids = np.concatenate((self.ids, ids))
+        out = at.fill_null(0).to_numpy().copy()
+        out[missing.to_numpy(zero_copy_only=False)] = np.arange(first, first + len(fresh))
+        return out
+
+
 class Encoder:
     """A tokenizer that drops white space, so that words between blanks have ids of their own."""
 
@@ -58,11 +86,11 @@ class Encoder:
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         parts = ["It's", "naïve", "x1--y", "don't", "日本", "ß"]
         alone = [i for p in parts for i in self.whole(p).tolist()]
-        self.added = added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        if self.whole(" \n".join(parts)).tolist() != alone or any(set(t) & set(b" \t\n\v\f\r") for t in added):
+        self.added = added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if self.whole(" \n".join(parts)).tolist() != alone or any(set(t) & set(" \t\n\v\f\r") for t in added):
             raise ValueError("the tokenizer keeps white space; its texts cannot be cut at blanks")
         # letters, and the marks after them, have ids of their own, whatever the letters' case, in this kind of tokenizer
-        self.plain, self.letters = None, re.compile("[A-Za-z]+")
+        self.plain, self.letters = None, ""
         parts = json.loads(definition)
         if suffix := parts["model"].get("end_of_word_suffix"):
             steps = parts.get("pre_tokenizer") or {}
@@ -70,76 +98,93 @@ class Encoder:
             parts["normalizer"], parts["pre_tokenizer"] = None, {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *steps]}
             self.plain = Tokenizer.from_str(json.dumps(parts))
             self.last = np.array([t.endswith(suffix) for t in self.tokens])
-            latin = [c for c in map(chr, range(0xC0, 0x180)) if c.isalpha() and len(c.lower()) == 1]
-            agree = [c for c in latin if self.whole(f"x{c}Y").tobytes() == self._plain([f"x{c}Y".lower()])[0]]
-            self.letters = re.compile(f"[A-Za-z{''.join(agree)}]+")
+            lower = lambda w: pc.utf8_lower(pa.array([w]))[0].as_py()
+            latin = [c for c in map(chr, range(0xC0, 0x180)) if c.isalpha() and len(lower(c)) == 1]
+            agree = [c for c in latin if self.whole(f"x{c}Y").tolist() == self._plain([lower(f"x{c}Y")])[0].tolist()]
+            self.letters = f"^[A-Za-z{''.join(agree)}]+$"
             marks = ("", ".", ",", ";", ":", "!", "?", "?!", "...")
             if any(t.isalpha() for t in added) or any(
-                self.whole(w + m).tobytes() != self._plain([w.lower()])[0] + self.whole(m).tobytes() for w in ("it", "The", "ABCXYZ", "don", *latin[:1]) for m in marks
+                self.whole(w + m).tolist() != [*self._plain([lower(w)])[0].tolist(), *self.whole(m).tolist()] for w in ("it", "The", "ABCXYZ", "don") for m in marks
             ):
                 self.plain = None
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
+        self.stems, self.others = Known(self._plain, self.dtype), Known(self._any, self.dtype)
+        self.beside: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
         """Ids of a text as the tokenizer gives them."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
 
-    def _plain(self, words: list[str]) -> list[bytes]:
-        """Ids of words of lower-case letters, by the model alone."""
-        ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
-        return self._sliced(ids, np.flatnonzero(self.last[ids]) + 1)
-
-    def _any(self, words: list[str]) -> list[bytes]:
-        """Ids of words of any characters."""
-        found = self.tokenizer.encode_batch([words], is_pretokenized=True, add_special_tokens=False)[0]
-        return self._sliced(np.array(found.ids, self.dtype), np.searchsorted(found.word_ids, np.arange(1, len(words) + 1)))
-
-    def _sliced(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        raw, cut = ids.tobytes(), (ends * self.dtype.itemsize).tolist()
-        return [raw[a:b] for a, b in zip([0, *cut], cut)]
-
-    def _learn(self, fresh: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not met before."""
-        letters, marks, other, special = {}, {}, [], {}
-        for w in fresh:
-            stem = w.rstrip(b".,;:!?")
-            text = stem.decode()
-            if self.plain and self.letters.fullmatch(text):
-                letters[w], marks[w] = text.lower(), w[len(stem) :].decode()
-            elif any(t in w for t in self.added):
-                special[w] = self.whole(w.decode()).tobytes()
-            else:
-                other.append(w.decode())
-        found: dict[str, bytes] = {"": b""}
-        for of, words in ((self._plain, list(set(letters.values()))), (self._any, [*other, *set(marks.values()).difference([""])])):
-            for at in range(0, len(words), 512):
-                some = words[at : at + 512]
-                found.update(zip(some, of(some)))
-        return {**special, **{w.encode(): found[w] for w in other}, **{w: found[s] + found[marks[w]] for w, s in letters.items()}}
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of lower-case letters, by the model alone, and where each word's end."""
+        lists = [" ".join(words[i : i + 1024]) for i in range(0, len(words), 1024)]
+        found = self.plain.encode_batch_fast(lists, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, self.dtype), *(np.array(e.ids, self.dtype) for e in found)])
+        return ids, np.flatnonzero(self.last[ids]) + 1
+
+    def _any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of any characters, and where each word's end."""
+        out, size = [np.zeros(0, self.dtype)], []
+        for at in range(0, len(words), 1024):
+            some = words[at : at + 1024]
+            # special tokens belong to no word
+            if special := any(t in w for w in some for t in self.added):
+                found = [self.whole(w) for w in some]
+                out += found
+                size += map(len, found)
+            if not special:
+                found = self.tokenizer.encode_batch([some], is_pretokenized=True, add_special_tokens=False)[0]
+                out.append(np.array(found.ids, self.dtype))
+                size += np.diff(np.searchsorted(found.word_ids, np.arange(len(some) + 1))).tolist()
+        return np.concatenate(out), np.cumsum(np.array(size, np.int64))
+
+    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Two pieces of each of some words, letters and marks or the word and nothing; the ids of all pieces and where they end."""
+        out = np.zeros((len(words), 2), np.int32)  # piece 0 is empty
+        simple, rest, marks = np.zeros(len(words), bool), words, pa.array([], pa.large_string())
+        marked = simple
+        if self.plain is not None:
+            stems = pc.utf8_rtrim(words, characters=".,;:!?")
+            simple = pc.match_substring_regex(stems, self.letters).to_numpy(zero_copy_only=False)
+            marked = simple & pc.not_equal(pc.binary_length(words), pc.binary_length(stems)).to_numpy(zero_copy_only=False)
+            letters = pc.utf8_lower(stems.filter(pa.array(simple))).dictionary_encode()
+            out[simple, 0] = 1 + self.stems.places(letters.dictionary)[letters.indices.to_numpy()]
+            rest, marks = words.filter(pa.array(~simple)), pc.replace_substring_regex(words.filter(pa.array(marked)), "^.*[^.,;:!?]", "")
+        others = pa.concat_arrays([rest, marks]).dictionary_encode()
+        place = 1 + len(self.stems.words) + self.others.places(others.dictionary)[others.indices.to_numpy()]
+        out[~simple, 0], out[marked, 1] = place[: len(rest)], place[len(rest) :]
+        ids = np.concatenate((self.stems.ids, self.others.ids))
+        return out, ids, np.concatenate(([0], self.stems.ends, self.others.ends + len(self.stems.ids)))
 
     def texts(self, parts: list[bytes]) -> list[np.ndarray]:
-        """Ids of some texts, word by word; words met before are not encoded again."""
-        if len(self.known) > KEPT_WORDS:  # words that are met again move on, others are forgotten
-            self.known, self.before = {}, self.known
-        known = self.known
-        out = []
-        split = [p.split() for p in parts]
-        found = [list(map(known.get, words)) for words in split]
-        missing = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
-        known.update((w, self.before[w]) for w in missing.intersection(self.before))
-        known.update(self._learn(missing.difference(self.before)))
-        for words, ids in zip(split, found):
-            if None in ids:
-                ids = [known[w] if i is None else i for w, i in zip(words, ids)]
-            out.append(np.frombuffer(b"".join(ids), self.dtype))
-        return out
+        """Ids of some texts; each distinct word among them is encoded once."""
+        data = np.frombuffer(b"\n".join([b"", *parts, b""]), np.uint8)
+        blank = _BLANK[data]
+        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        starts, stops = edge[::2], edge[1::2]
+        lengths = stops - starts
+        offsets = np.concatenate(([0], np.cumsum(lengths)))
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~blank])]).dictionary_encode()
+        pieces, ids, ends = self._pieces(words.dictionary.cast(pa.large_string()))
+        size = np.diff(ends, prepend=0).astype(np.int32)
+        used = pieces[words.indices.to_numpy()]
+        per_word = size[used].sum(axis=1)
+        used = used.reshape(-1)
+        used = used[used > 0]
+        wide = np.int32 if len(data) < 1 << 28 else np.int64
+        end = np.cumsum(size[used], dtype=wide)
+        shift = ends.astype(wide)[used] - end  # from places in the result to places in ``ids``
+        flat = ids[np.arange(end[-1] if len(end) else 0, dtype=shift.dtype) + np.repeat(shift, size[used])]
+        borders = np.cumsum([len(p) + 1 for p in parts])
+        cut = np.concatenate(([0], np.cumsum(per_word)))[np.searchsorted(starts, borders)]
+        return np.split(flat, cut[:-1]) if parts else []
 
     def word(self, word: bytes) -> bytes:
         """Ids of one word, as they stand in memory."""
-        found = self.known.get(word)
+        found = self.beside.get(word)
         if found is None:
-            found = self.known[word] = self.whole(word.decode()).tobytes()
+            if len(self.beside) >= KEPT_BESIDE:
+                self.beside = {}
+            found = self.beside[word] = self.whole(word.decode()).tobytes()
         return found
 
     def text(self, ids: list[int] | None) -> str:
@@ -277,24 +322,37 @@ def _encode(batches: Iterator[pa.RecordBatch], definition: Broadcast) -> Iterato
     """The ids of the chunks of each block; equal chunks of a bucket are encoded once.  Recipes pass."""
     encoder = _encoder(definition)
     squeeze, inflate = zstandard.ZstdCompressor(level=9), zstandard.ZstdDecompressor()
-    done: dict[bytes, np.ndarray] = {}
+    waiting: list[tuple[int, list[int], list[int]]] = []  # block, numbers, places of the chunks
+    place: dict[bytes, int] = {}
     bucket, size = None, 0
+
+    def encoded_rows():
+        ids = encoder.texts(list(place))
+        for block, numbers, places in waiting:
+            own = [ids[i] for i in places]
+            packed = pickle.dumps((np.array(numbers, np.int32), np.array([len(x) for x in own], np.int64), np.concatenate(own)))
+            yield _travel([(0, block, 1, squeeze.compress(packed))])
+
     for batch in batches:
         for at in range(batch.num_rows):
             number, block, kind, payload = (c[at].as_py() for c in batch.columns)
             if kind == 0:
                 yield _travel([(0, block, 0, payload)])
                 continue
-            if number != bucket or size > KEPT_BYTES:
-                bucket, size, done = number, 0, {}
-            some = pickle.loads(inflate.decompress(payload))
-            fresh = [c for _, c in some if c not in done]
-            found = encoder.texts(fresh)
-            done.update(zip(fresh, found))
-            size += sum(len(c) + x.nbytes for c, x in zip(fresh, found))
-            ids = [done[c] for _, c in some]
-            packed = pickle.dumps((np.array([n for n, _ in some], np.int32), np.array([len(x) for x in ids], np.int64), np.concatenate(ids)))
-            yield _travel([(0, block, 1, squeeze.compress(packed))])
+            if size > (KEPT_BYTES if number == bucket else AT_ONCE):
+                yield from encoded_rows()
+                waiting, place, size = [], {}, 0
+            bucket = number
+            numbers, places = [], []
+            for n, chunk in pickle.loads(inflate.decompress(payload)):
+                if chunk not in place:
+                    place[chunk] = len(place)
+                    size += len(chunk)
+                numbers.append(n)
+                places.append(place[chunk])
+            waiting.append((block, numbers, places))
+    if waiting:
+        yield from encoded_rows()
 
 
 def assemble(chunks: list[np.ndarray], joins: list[Join]) -> np.ndarray:

@@ -136,14 +136,17 @@ def encoder():
         return bpe.Encoder(file.read())
 
 
-def test_words_have_the_ids_of_the_library(encoder, monkeypatch):
+def test_texts_have_the_ids_of_the_library(encoder):
     rng, tokenizer = random.Random(6), library()
-    monkeypatch.setattr(bpe, "KEPT_WORDS", 10)  # so that words are forgotten and learned again
     texts = [mixed_text(rng, n) for n in (0, 1, 5, 40, 400)] + ["".join(rng.choices("aäé .,!'\u0301<|endoftext|>Iß", k=300)) for _ in range(200)]
-    for _ in range(3):
-        for t, ids in zip(texts, encoder.texts([t.encode() for t in texts])):
-            assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    for t, ids in zip(texts, encoder.texts([t.encode() for t in texts])):
+        assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    assert encoder.texts([]) == [] and [x.tolist() for x in encoder.texts([b"", b" "])] == [[], []]
     assert encoder.plain is not None
+    alone = [x.tolist() for x in encoder.texts([t.encode() for t in texts])]
+    encoder.plain, kept = None, encoder.plain  # the way of tokenizers of another kind
+    assert [x.tolist() for x in encoder.texts([t.encode() for t in texts])] == alone
+    encoder.plain = kept
 
 
 @pytest.mark.parametrize("left,right", [("one two thr", "ee four five"), ("one two ", "three"), ("word", "s and more"), ("x don", "'t y"), ("a e", "\u0301 b"), ("a <|endof", "text|> b"), ("", "a b"), ("a b", "")])
