@@ -198,9 +198,15 @@ m AS (
 ),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
 hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS f FROM b WHERE source IS NOT NULL GROUP BY source),
-moments AS (SELECT sum(f) / sum(n) AS mean, sum(f * f / n) / sum(n) AS second FROM hosts),
+sums AS (
+  SELECT sum(n)::DOUBLE AS t, sum(f) / sum(n) AS mean, sum(f * f / n::DOUBLE) AS squares, sum(n::DOUBLE * n) AS sizes, count(*) AS c FROM hosts
+),
+excess AS (
+  SELECT mean, CASE WHEN mean > 0 AND mean < 1 THEN (squares - t * mean * mean) / (mean * (1 - mean)) - (c - 1) ELSE 0 END AS within,
+    t - c - sizes / t + 1 AS room FROM sums
+),
 prior AS (
-  SELECT mean, CASE WHEN second - mean * mean > 1e-12 THEN greatest(mean * (1 - mean) / (second - mean * mean) - 1, 0) END AS s FROM moments
+  SELECT mean, CASE WHEN room > 1e-9 AND within / room > 1e-12 THEN greatest(room / within - 1, 0) END AS s FROM excess
 ),
 rates AS (SELECT source, CASE WHEN s IS NULL THEN mean ELSE (f + mean * s) / (n + s) END AS rate FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

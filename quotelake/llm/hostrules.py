@@ -1,8 +1,8 @@
 """Quality rules on documents, with verdicts on their hosts.
 
 Each text is measured once.  The rule failures of a host are pooled and their rate is
-drawn towards the corpus by a beta prior that is fitted to the hosts themselves, so a host with
-few documents is not condemned by one of them.
+drawn towards the corpus by a beta prior that is fitted to the hosts themselves, so the fewer
+documents a host has, the less their failures count against it.
 """
 
 from __future__ import annotations
@@ -63,23 +63,27 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 def host_rates(rows: DataFrame) -> DataFrame:
     """(host, n, failed, rate) with shrunk failure rates, of ``rows`` (host, failed boolean).
 
-    The prior has the mean of all rows and, by the method of moments, the spread of the
-    hosts' rates; if the hosts do not differ, every rate is the mean.  Rows without host
-    belong to no host.  Only three sums reach the driver.
+    The prior is the beta distribution that the hosts' true rates seem to come from: its mean is that
+    of all rows, and its spread is what the hosts' rates have in excess of the chance that small
+    numbers of documents bring with them (beta-binomial moments).  If there is no excess, every rate
+    is the mean.  Rows without host belong to no host.  Only five sums reach the driver.
     """
     hosts = materialised(
         rows.filter("host is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("failed").cast("bigint")).alias("failed")),
         "hosts",
     )
-    total, bad, squares = hosts.agg(F.sum("n"), F.sum("failed"), F.sum(F.col("failed") * F.col("failed") / F.col("n"))).first()
+    n, failed = F.col("n").cast("double"), F.col("failed")
+    total, bad, squares, sizes, count = hosts.agg(F.sum("n"), F.sum("failed"), F.sum(failed * failed / n), F.sum(n * n), F.count("*")).first()
     if not total:
         return hosts.withColumn("rate", F.lit(0.0))
     mean = bad / total
-    variance = squares / total - mean * mean
-    strength = mean * (1 - mean) / variance - 1 if variance > 1e-12 else None
-    if strength is None:
+    chance = mean * (1 - mean)
+    room = total - count - sizes / total + 1  # what the excess is measured in: nothing if each host has one document
+    within = (squares - total * mean * mean) / chance - (count - 1) if chance > 0 else 0.0
+    alike = within / room if room > 1e-9 else 0.0  # how alike documents of a host are, 0 to 1
+    if alike <= 1e-12:
         return hosts.withColumn("rate", F.lit(float(mean)))
-    strength = max(float(strength), 0.0)
+    strength = max(1 / alike - 1, 0.0)
     return hosts.withColumn("rate", (F.col("failed") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength)))
 
 

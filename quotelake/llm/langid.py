@@ -21,7 +21,7 @@ from quotelake.llm.arrow import sliced, values
 from quotelake.llm.scratch import unused
 
 BINS = 1 << 16
-MAX_LANGUAGES = 256  # bounds the model at 64 MB
+MAX_LANGUAGES = 256  # bounds the model at 64 MB of single-precision numbers
 BACKOFF = 0.02  # weight of the common distribution in each language's
 ROUNDS = 12
 PENALTY = 8.0  # per language beyond the first, times the logarithm of the trigrams
@@ -70,19 +70,19 @@ class Model:
         weight, _ = _fit(np.column_stack((p[:, chosen], np.full(len(p), 1 / BINS))), n)  # the last one: no language
         return {self.languages[i]: float(w) for i, w in zip(chosen, weight)}
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The language with the largest proportion, and that proportion, less in short texts.
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """The language with the largest proportion; that proportion, less in short texts; the proportion of no learned language.
 
-        A text of which a larger part is in no learned language is undetermined.
+        A text of which most is in no learned language has the best of them all the same,
+        with a low score.
         """
         found = self.mixture(text)
         if not found:
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 1.0
         language = max(found, key=lambda k: (found[k], k))
-        if 1 - sum(found.values()) > found[language]:
-            return UNDETERMINED, 0.0
         n = len(trigrams(text))
-        return language, (found[language] * n + PRIOR / (len(self.languages) + 1)) / (n + PRIOR)
+        score = (found[language] * n + PRIOR / (len(self.languages) + 1)) / (n + PRIOR)
+        return language, min(1.0, score), max(0.0, 1 - sum(found.values()))
 
 
 def _fit(p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
@@ -109,32 +109,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(texts: DataFrame) -> Model:
     """Fit on all rows of ``texts`` (lang, text) without a null.
 
-    Counting is a grouped sum; the driver receives at most 2**16 sums per language, and
-    more than 256 languages are an error.
+    More than 256 languages are an error, found before anything is counted.  Counting is a
+    grouped sum; the driver receives at most 2**16 sums per language.
     """
     rows = texts.select("lang", "text").dropna()
+    names = sorted(r[0] for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(names) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     sums = rows.mapInArrow(_count, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     table = sums.toArrow()
-    names = sorted(set(table["lang"].to_pylist()))
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"{len(names)} languages; at most {MAX_LANGUAGES} are supported")
-    counts = np.zeros((BINS, len(names)))
-    place = {lang: i for i, lang in enumerate(names)}
-    counts[table["bin"].to_numpy(), [place[x] for x in table["lang"].to_pylist()]] = table["n"].to_numpy()
-    common = (counts.sum(axis=1) + 1) / (counts.sum() + BINS)
-    own = counts / np.maximum(counts.sum(axis=0), 1)
-    return Model(names, (1 - BACKOFF) * own + BACKOFF * common[:, None])
+    lang, bins, n = table["lang"].combine_chunks().dictionary_encode(), table["bin"].to_numpy(), table["n"].to_numpy()
+    place = lang.indices.to_numpy()
+    common = (np.bincount(bins, n, BINS) + 1) / (n.sum() + BINS)
+    likelihood = np.empty((BINS, len(names)), np.float32)
+    found = {x: i for i, x in enumerate(lang.dictionary.to_pylist())}
+    for i, name in enumerate(names):  # one language at a time in double precision
+        own = place == found.get(name, -1)
+        counts = np.bincount(bins[own], n[own], BINS)
+        likelihood[:, i] = (1 - BACKOFF) * counts / max(counts.sum(), 1) + BACKOFF * common
+    return Model(names, likelihood)
 
 
 def identify(spark: SparkSession, model: Model, text: Column) -> Column:
-    """A struct (lang_pred, score) for each text."""
+    """A struct (lang_pred, score, unknown) for each text."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double, unknown double")
     def predict(texts: pa.Array) -> pa.Array:
         found = [shared.value.predict(t) for t in values(texts)]
-        columns = [pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
-        return pa.StructArray.from_arrays(columns, ["lang_pred", "score"])
+        columns = [pa.array([r[i] for r in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
+        return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "unknown"])
 
     return predict(text)
 
@@ -145,17 +149,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def identified(docs: DataFrame, name: str = "_found") -> DataFrame:
-    """``docs`` with a struct ``name`` (lang_pred, score), learned from its rows that are not held out.
+    """``docs`` with a struct ``name`` (lang_pred, score, unknown), learned from its rows that are not held out.
 
-    Null texts, texts without a letter and texts mostly in no learned language are ``und``
-    with score 0, as is everything if no row has a language.  Ties go to the first name.  Repeated rows count as often as they occur.
+    ``unknown`` is the proportion of the text that is in no learned language.  Null texts and
+    texts without a letter are ``und`` with score 0, as is everything if no row has a language.
+    Ties go to the first name.  Repeated rows count as often as they occur.
     """
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     return docs.withColumn(name, identify(docs.sparkSession, model, F.col("text")))
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """The rows whose text has a language that makes up at least ``min_score`` of it."""
+    """The rows whose text has a language that makes up at least ``min_score`` of it, and no less than no language does."""
     name = unused(docs, "_found")
-    lang, score = F.col(name)["lang_pred"], F.col(name)["score"]
-    return identified(docs, name).filter((lang != UNDETERMINED) & (score >= min_score)).drop(name)
+    lang, score, unknown = (F.col(name)[c] for c in ("lang_pred", "score", "unknown"))
+    return identified(docs, name).filter((lang != UNDETERMINED) & (score >= min_score) & (score >= unknown)).drop(name)

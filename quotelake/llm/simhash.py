@@ -243,6 +243,7 @@ def one_per_group(docs: DataFrame, k: int = 4, max_bits: int = 4) -> DataFrame:
     of_print = _groups(prints, max_bits, 2048)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "t", "r")
     first = prints.join(of_print, prints["fp"] == of_print["print"]).groupBy("root").agg(F.min(order).alias("first"))
-    stays = materialised(first.select(F.col("first.t").alias("t"), F.col("first.r").alias("r")).distinct(), "stays")
-    kept = marked.join(stays, (F.col(of_text) == F.col("t")) & (F.col(of_row) == F.col("r")), "left_semi")
+    t, r = unused(marked, "_t"), unused(marked, "_r")
+    stays = materialised(first.select(F.col("first.t").alias(t), F.col("first.r").alias(r)).distinct(), "stays")
+    kept = marked.join(stays, (F.col(of_text) == F.col(t)) & (F.col(of_row) == F.col(r)), "left_semi")
     return kept.dropDuplicates([of_text, of_row]).drop(of_text, of_row)

@@ -10,6 +10,7 @@ number of sequences in the shards before.  One shuffle, no sampling, no second t
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,8 +33,10 @@ from quotelake.session import local_rows, scratch_path
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the pattern that the byte-level vocabularies were made with
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG_RUN = 10_000  # characters
 PER_PARTITION = 1 << 28  # sequences that a partition can have
 ROUNDS = 4
+READ_RECORDS = 4096
 
 
 def permute(index: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -58,6 +61,25 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+# fixed value: the characters that the pattern takes for white space
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+
+
+def encode(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of a text; a long run of white space is taken out of the pattern's way.
+
+    The pattern makes one piece of such a run, up to its last character if a word follows,
+    but searches it with a step of recursion for each character.
+    """
+    ids, done = [], 0
+    for run in _RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoding.encode_ordinary(text[done : run.start()])
+        ids += encoding._encode_single_piece(text[run.start() : end].encode())
+        done = end
+    return ids + encoding.encode_ordinary(text[done:]) if done else encoding.encode_ordinary(text)
+
+
 def encoding(ranks: dict[bytes, int]) -> tiktoken.Encoding:
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
@@ -79,7 +101,7 @@ class Layout:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], ranks: Broadcast, layout: Layout, partitions: int, shards: int, key: int) -> Iterator[pa.RecordBatch]:
-    encode = encoding(ranks.value).encode_ordinary
+    codec = encoding(ranks.value)
     part, done = TaskContext.get().partitionId(), 0
     size = partitions * PER_PARTITION
     squeeze = zstandard.ZstdCompressor(level=1)
@@ -111,7 +133,7 @@ def _pack(batches: Iterator[pa.RecordBatch], ranks: Broadcast, layout: Layout, p
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if not text:
                 continue
-            ids = encode(text)
+            ids = encode(codec, text)
             ids.append(layout.end)
             parts.append(np.array(ids, layout.dtype))
             total += len(ids)
@@ -190,26 +212,37 @@ def write_shards(docs: DataFrame, folder: str, length: int = 2048, key: int = 1,
 
 
 def read_shards(spark: SparkSession, folder: str, length: int = 2048, end: int = 50256, first_slot: int = 0, count: int | None = None) -> DataFrame:
-    """(slot, n_tokens, tokens) of ``count`` slots from ``first_slot`` on; each shard is read from its first wanted byte."""
+    """(slot, n_tokens, tokens) of ``count`` slots from ``first_slot`` on; each shard is read from its first wanted byte.
+
+    ``tokens`` has the whole record; what follows the first ``n_tokens`` is padding.  A record
+    that does not have the checksum of the index is an error.  Up to READ_RECORDS
+    neighbouring records are read by one task.
+    """
     layout = Layout(length, end)
     wanted = spark.read.parquet(f"{folder}/index").filter(F.col("slot") >= first_slot)
     if count is not None:
         wanted = wanted.filter(F.col("slot") < first_slot + count)
-    parts = wanted.groupBy("shard").agg(F.min("slot").alias("slot"), F.min("byte_offset").alias("low"), F.max("byte_offset").alias("high"))
+    parts = wanted.groupBy("shard", F.floor(F.col("byte_offset") / (READ_RECORDS * layout.stride)).alias("block")).agg(F.sort_array(F.collect_list(F.struct("byte_offset", "slot", "n_tokens", "crc32"))).alias("records"))
 
     def read(batches):
+        store, base = open_store(folder)
         for batch in batches:
-            for shard, slot, low, high in zip(*(c.to_pylist() for c in batch.columns)):
-                store, base = open_store(folder)
+            for shard, records in zip(batch.column(0).to_pylist(), batch.column(2)):
+                rows = records.values
+                offset, slot, n_tokens, sums = (rows.field(i).to_numpy() for i in range(4))
                 with store.open_input_file(f"{base}/{_name(shard)}") as file:
-                    file.seek(low)
-                    for at in range(low, high + 1, layout.stride * 256):
-                        data = file.read(min(layout.stride * 256, high + layout.stride - at))
-                        tokens = np.frombuffer(data, layout.dtype).reshape(-1, layout.length)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.arange(slot, slot + len(tokens), dtype=np.int64)), pa.array([t.tolist() for t in tokens], pa.list_(pa.int32()))], ["slot", "tokens"])
-                        slot += len(tokens)
-
-    return parts.select("shard", "slot", "low", "high").mapInArrow(read, "slot bigint, tokens array<int>")
+                    file.seek(int(offset[0]))
+                    for at in range(0, len(slot), 256):
+                        n = min(256, len(slot) - at)
+                        data = file.read(n * layout.stride)
+                        found = [zlib.crc32(data[i : i + layout.stride]) for i in range(0, n * layout.stride, layout.stride)]
+                        if len(data) != n * layout.stride or found != sums[at : at + n].tolist():
+                            raise ValueError(f"{_name(shard)}: records from byte {offset[at]} on are damaged")
+                        tokens = pa.array(np.frombuffer(data, layout.dtype).astype(np.int32))
+                        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * layout.length), tokens)
+                        yield pa.RecordBatch.from_arrays([pa.array(slot[at : at + n]), pa.array(n_tokens[at : at + n]), lists], ["slot", "n_tokens", "tokens"])
+
+    return parts.mapInArrow(read, "slot bigint, n_tokens int, tokens array<int>")
 
 
 def shard_folder(spark: SparkSession) -> str:

@@ -49,10 +49,41 @@ def test_texts_in_no_learned_language_go(spark):
     for some in (rows, rows[:60]):  # also where one language was learned
         df = frame(spark, some + [(i, t, None, "a") for i, t in foreign])
         got = {r.doc_id: r._found for r in langid.identified(df).collect()}
-        assert all(got[i].lang_pred == "und" and got[i].score == 0 for i, _ in foreign)
+        assert all(got[i].lang_pred in ("el", "de") and got[i].score < 0.3 < got[i].unknown for i, _ in foreign)
         assert {r.doc_id for r in langid.keep_identified(df).collect()} == {i for i, *_ in some}
 
 
+def test_mixtures_against_plain_expectation_maximisation(spark):
+    rows = texts(1, ONE, 40, 0, "el") + texts(2, TWO, 40, 100, "de") + texts(3, ["uno", "dos", "tres", "cuatro"], 40, 200, "es")
+    model = langid.train(frame(spark, rows).select("lang", "text"))
+    counts = {}
+    for _, t, lang, _ in rows:
+        for b in langid.trigrams(t).tolist():
+            counts.setdefault(lang, {}).setdefault(b, 0)
+            counts[lang][b] += 1
+    total = sum(sum(c.values()) for c in counts.values())
+
+    def p(lang, b):
+        common = (sum(c.get(b, 0) for c in counts.values()) + 1) / (total + langid.BINS)
+        return (1 - langid.BACKOFF) * counts[lang].get(b, 0) / sum(counts[lang].values()) + langid.BACKOFF * common
+
+    rng = random.Random(4)
+    for share in (0.0, 0.2, 0.5, 1.0):
+        text = " ".join(rng.choice(ONE if rng.random() < share else TWO) for _ in range(200))
+        bins = langid.trigrams(text).tolist()
+        names = ["de", "el"] if 0 < share < 1 else ["el" if share else "de"]
+        columns = {n: [p(n, b) for b in bins] for n in names} | {"": [1 / langid.BINS] * len(bins)}
+        w = dict.fromkeys(columns, 1 / len(columns))
+        for _ in range(langid.ROUNDS):
+            of = [sum(w[n] * c[i] for n, c in columns.items()) for i in range(len(bins))]
+            w = {n: sum(w[n] * c[i] / of[i] for i in range(len(bins))) / len(bins) for n, c in columns.items()}
+        found = model.mixture(text)
+        assert set(found) == set(names) and all(abs(found[n] - w[n]) < 1e-3 for n in names)
+        lang, score, unknown = model.predict(text)
+        assert lang == max(names, key=w.get) and abs(unknown - w[""]) < 1e-3
+        assert abs(score - (w[lang] * len(bins) + langid.PRIOR / 4) / (len(bins) + langid.PRIOR)) < 1e-3
+
+
 def test_no_languages_to_learn_from(spark):
     rows = [(1, "alpha", None, "a"), (2, None, None, "a")]
     assert [(r._found.lang_pred, r._found.score) for r in langid.identified(frame(spark, rows)).collect()] == [("und", 0.0)] * 2
@@ -106,6 +137,30 @@ def test_host_rules(spark):
     assert hostrules.host_verdicts(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 2, 5])
+def test_small_hosts_of_one_true_rate_are_not_condemned(spark, size):
+    rng = random.Random(size)
+    rows = [(f"h{i}", rng.random() < 0.3) for i in range(6000) for _ in range(size)]
+    rates = [r.rate for r in hostrules.host_rates(spark.createDataFrame(rows, "host string, failed boolean")).collect()]
+    assert len(rates) == 6000 and max(rates) < 0.5 and min(rates) > 0.1
+
+
+def test_hosts_that_differ_are_told_apart(spark):
+    rng = random.Random(12)
+    rows = [(f"h{i}", rng.random() < (0.9 if i % 5 == 0 else 0.05)) for i in range(400) for _ in range(1 + i % 30)]
+    got = {r.host: r for r in hostrules.host_rates(spark.createDataFrame(rows, "host string, failed boolean")).collect()}
+    n = {h: sum(x == h for x, _ in rows) for h in got}
+    f = {h: sum(b for x, b in rows if x == h) for h in got}
+    total = sum(n.values())
+    p = sum(f.values()) / total
+    # the moments of the beta-binomial distribution, host by host
+    spread = sum(n[h] * (f[h] / n[h] - p) ** 2 for h in n) / (p * (1 - p))
+    alike = (spread - (len(n) - 1)) / sum((n[h] - 1) * (1 - n[h] / total) for h in n)
+    s = 1 / alike - 1
+    assert all(abs(got[h].rate - (f[h] + p * s) / (n[h] + s)) < 1e-9 for h in n)
+    assert all((r.rate > 0.5) == (int(h[1:]) % 5 == 0) for h, r in got.items() if r.n >= 12)
+
+
 def test_mixing_meets_its_limits(spark):
     rng = random.Random(4)
     rows = [(i, "w " * rng.randint(1, 30), None, "big" if i % 3 else ("small" if i % 2 else None)) for i in range(600)]

@@ -94,7 +94,9 @@ def test_shards_round_trip(spark, tmp_path):
     encode = tokens.encoding(tokens.load_ranks(tokens.VOCABULARY)).encode_ordinary
     total = sum(len(encode(t)) + 1 for _, t, _ in rows if t)
     assert sum(r.n_tokens for r in index) == total
-    read = {r.slot: r.tokens for r in tokens.read_shards(spark, folder, length=64).collect()}
+    back = tokens.read_shards(spark, folder, length=64).collect()
+    read = {r.slot: r.tokens for r in back}
+    assert {r.slot: r.n_tokens for r in back} == {r.slot: r.n_tokens for r in index}
     for r in index:
         assert len(read[r.slot]) == 64 and set(read[r.slot][r.n_tokens :]) <= {50256}
         assert zlib.crc32(np.array(read[r.slot], "<u2").tobytes()) == r.crc32
@@ -108,14 +110,55 @@ def test_shards_round_trip(spark, tmp_path):
     again = tokens.write_shards(docs, str(tmp_path / "again"), length=64, shards=5).collect()
     assert sorted(map(tuple, [(r.slot, r.crc32) for r in again])) == [(r.slot, r.crc32) for r in index]
     assert tokens.write_shards(docs.limit(0), str(tmp_path / "none"), length=64).count() == 0
+    path = next((tmp_path / "shards").glob("shard-*.bin"))
+    path.write_bytes(path.read_bytes()[:-2] + b"\x01\x01")
+    with pytest.raises(Exception, match="damaged"):
+        tokens.read_shards(spark, folder, length=64).collect()
 
 
-def test_stages_keep_columns_of_any_name(spark):
+def test_sequences_have_the_slots_of_the_permutation(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(["alpha", "béta", "gamma"], k=rng.choice([3, 40, 200])))) for i in range(90)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    parts = [[r.text for r in part] for part in docs.rdd.glom().collect()]
+    encode = tokens.encoding(tokens.load_ranks(tokens.VOCABULARY)).encode_ordinary
+    placed = []
+    for p, some in enumerate(parts):
+        stream = [x for t in some for x in [*encode(t), 50256]]
+        sequences = [stream[i : i + 32] for i in range(0, len(stream), 32)]
+        places = tokens.permute(np.arange(len(sequences), dtype=np.uint64) + np.uint64(p * tokens.PER_PARTITION), len(parts) * tokens.PER_PARTITION, 5)
+        placed += zip(places.tolist(), sequences)
+    tokens.write_shards(docs, str(tmp_path / "shards"), length=32, key=5, shards=4).collect()
+    got = sorted(tokens.read_shards(spark, str(tmp_path / "shards"), length=32).collect(), key=lambda r: r.slot)
+    assert [r.tokens[: r.n_tokens] for r in got] == [s for _, s in sorted(placed)]
+
+
+def test_long_blanks_have_the_ids_of_an_uncut_text(monkeypatch):
+    codec = tokens.encoding(tokens.load_ranks(tokens.VOCABULARY))
+    monkeypatch.setattr(tokens, "_RUN", tokens.re.compile(tokens._RUN.pattern.replace("10000", "5")))
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "Bé", "1", "'s", "!", "\u0301", " " * rng.randrange(12), "\n" * rng.randrange(9), "\t\u00a0\u3000" * 3]) for _ in range(12))
+        assert tokens.encode(codec, text) == codec.encode_ordinary(text), repr(text)
+
+
+def test_a_text_of_blanks_is_written(spark, tmp_path):
+    rows = [(1, "a" + " " * 5_000_000 + "b"), (2, "\n" * 2_000_000), (3, "plain")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    index = tokens.write_shards(spark.read.parquet(str(tmp_path / "docs")), str(tmp_path / "shards"))
+    assert {d for r in index.collect() for d in r.doc_ids} == {1, 2, 3}
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    names = "_id _hash _print _found _pass _pass_ _source _whole _last fp node root component_id fingerprint text_hash item_id key s t n_words score".split()
+    names = "_id _hash _print _found _pass _pass_ _source _whole _last _text _row _t _r t r fp node root component_id fingerprint text_hash item_id key s n_words score".split()
     rows = [(i, f"w{i} and some more plain words of text {i % 7} " * 3, "en", "ab"[i % 2]) for i in range(30)]
     rows += [(None, None, None, None), (31, "", "en", "a"), (5, rows[5][1], "en", "b")]
     docs = spark.createDataFrame([(*r, *names) for r in rows], "doc_id bigint, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    spark.createDataFrame(docs.collect(), docs.schema).write.parquet(str(tmp_path / "docs"))
+    last = corpus_pipeline.STAGES[-1][1](spark, spark.read.parquet(str(tmp_path / "docs")), "/root/testdata/sf0.001")
+    assert {d for r in last.collect() for d in r.doc_ids} == {r[0] for r in rows if r[1]}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         got = stage(spark, docs, "/root/testdata/sf0.001")
         assert got.schema.names == docs.schema.names, name
