@@ -30,13 +30,13 @@ from tokenizers import Tokenizer
 
 from quotelake.llm.arrow import sliced, values
 
-BLOCK = 8 << 20  # bytes of text cut together
+BLOCK = 4 << 20  # bytes of text cut together
 SPAN = 32  # bytes that the rolling hash sees
 MASK = np.uint32(2047)  # a chunk ends at one place in 2,048
 LEAST = 256  # bytes of a chunk, at least
-BUCKETS = 4  # of each task
-AT_ONCE = 12 << 20  # bytes of distinct chunks that are encoded together, of one bucket or more
-KEPT_BYTES = 48 << 20  # of a larger bucket, so many are taken together
+BUCKETS = 2  # of each task
+AT_ONCE = 8 << 20  # bytes of distinct chunks that are encoded together, of one bucket or more
+KEPT_BYTES = 32 << 20  # of a larger bucket, so many are taken together
 KEPT_WORDS = 1 << 19  # words of each kind whose ids a worker keeps
 KEPT_BESIDE = 1 << 17  # words beside joins whose ids a worker keeps
 PARTS = 4096  # a chunk is encoded once for each so many partitions of the input, so that a bucket stays small
@@ -44,7 +44,7 @@ EMIT = 1 << 20  # ids in a batch
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _MULTIPLY = [np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D), np.uint32(0x27D4EB2F), np.uint32(0x165667B1)]
-_loaded: dict[int, Encoder] = {}
+_loaded: dict[tuple, Encoder | Decoder] = {}
 
 
 class Known:
@@ -73,43 +73,55 @@ class Known:
         return out
 
 
+def _tokenizer(definition: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+    tokenizer = Tokenizer.from_str(definition)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def _dtype(tokenizer: Tokenizer) -> np.dtype:
+    return np.dtype("<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+
+
 class Encoder:
     """A tokenizer that drops white space, so that words between blanks have ids of their own."""
 
     def __init__(self, definition: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.tokenizer = _tokenizer(definition)
+        self.dtype = _dtype(self.tokenizer)
         parts = ["It's", "naïve", "x1--y", "don't", "日本", "ß"]
         alone = [i for p in parts for i in self.whole(p).tolist()]
-        self.added = added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        if self.whole(" \n".join(parts)).tolist() != alone or any(set(t) & set(" \t\n\v\f\r") for t in added):
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if self.whole(" \n".join(parts)).tolist() != alone or any(set(t) & set(" \t\n\v\f\r") for t in self.added):
             raise ValueError("the tokenizer keeps white space; its texts cannot be cut at blanks")
-        # letters, and the marks after them, have ids of their own, whatever the letters' case, in this kind of tokenizer
-        self.plain, self.letters = None, ""
-        parts = json.loads(definition)
-        if suffix := parts["model"].get("end_of_word_suffix"):
-            steps = parts.get("pre_tokenizer") or {}
-            steps = [s for s in steps.get("pretokenizers", [steps]) if s.get("type") == "ByteLevel" and not s["use_regex"] and not s["add_prefix_space"]]
-            parts["normalizer"], parts["pre_tokenizer"] = None, {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *steps]}
-            self.plain = Tokenizer.from_str(json.dumps(parts))
-            self.last = np.array([t.endswith(suffix) for t in self.tokens])
-            lower = lambda w: pc.utf8_lower(pa.array([w]))[0].as_py()
-            latin = [c for c in map(chr, range(0xC0, 0x180)) if c.isalpha() and len(lower(c)) == 1]
-            agree = [c for c in latin if self.whole(f"x{c}Y").tolist() == self._plain([lower(f"x{c}Y")])[0].tolist()]
-            self.letters = f"^[A-Za-z{''.join(agree)}]+$"
-            marks = ("", ".", ",", ";", ":", "!", "?", "?!", "...")
-            if any(t.isalpha() for t in added) or any(
-                self.whole(w + m).tolist() != [*self._plain([lower(w)])[0].tolist(), *self.whole(m).tolist()] for w in ("it", "The", "ABCXYZ", "don") for m in marks
-            ):
-                self.plain = None
+        self.plain, self.letters = self._for_letters(json.loads(definition))
         self.stems, self.others = Known(self._plain, self.dtype), Known(self._any, self.dtype)
         self.beside: dict[bytes, bytes] = {}
 
+    def _for_letters(self, parts: dict) -> tuple[Tokenizer | None, str]:
+        """The model alone, if words of letters, and the marks after them, have ids of their own whatever the letters' case; those letters."""
+        suffix = parts["model"].get("end_of_word_suffix")
+        if not suffix or any(t.isalpha() for t in self.added):
+            return None, ""
+        steps = parts.get("pre_tokenizer") or {}
+        steps = [s for s in steps.get("pretokenizers", [steps]) if s.get("type") == "ByteLevel" and not s["use_regex"] and not s["add_prefix_space"]]
+        parts["normalizer"], parts["pre_tokenizer"] = None, {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *steps]}
+        self.plain = _tokenizer(json.dumps(parts))
+        last = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self.last = last
+        lower = lambda w: pc.utf8_lower(pa.array([w]))[0].as_py()
+        latin = [c for c in map(chr, range(0xC0, 0x180)) if c.isalpha() and len(lower(c)) == 1]
+        both = [np.split(ids, ends[:-1]) for ids, ends in (self._any([f"x{c}Y" for c in latin]), self._plain([lower(f"x{c}Y") for c in latin]))]
+        agree = [c for c, a, b in zip(latin, *both) if np.array_equal(a, b)]
+        marks = ("", ".", ",", ";", ":", "!", "?", "?!", "...")
+        for w in ("it", "The", "ABCXYZ", "don"):
+            if any(self.whole(w + m).tolist() != [*self._plain([lower(w)])[0].tolist(), *self.whole(m).tolist()] for m in marks):
+                return None, ""
+        return self.plain, f"^[A-Za-z{''.join(agree)}]+$"
+
     def whole(self, text: str) -> np.ndarray:
         """Ids of a text as the tokenizer gives them."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
@@ -187,20 +199,29 @@ class Encoder:
             found = self.beside[word] = self.whole(word.decode()).tobytes()
         return found
 
-    def text(self, ids: list[int] | None) -> str:
-        """The text of some ids; without a decoder the library joins tokens by a space."""
-        if self.tokenizer.decoder is not None:
-            return self.tokenizer.decode(ids or [], skip_special_tokens=False)
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in ids or []])
 
+class Decoder:
+    """The text of ids; without a decoder of its own the library joins tokens by a space."""
 
-def _encoder(definition: Broadcast) -> Encoder:
-    """The encoder of this worker; it serves all of its tasks."""
-    key = xxhash.xxh3_64_intdigest(definition.value)
+    def __init__(self, definition: str) -> None:
+        tokenizer = _tokenizer(definition)
+        self.dtype = _dtype(tokenizer)
+        self.tokenizer = tokenizer if tokenizer.decoder is not None else None
+        self.tokens = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+
+    def text(self, ids: list[int]) -> str:
+        if self.tokenizer:
+            return self.tokenizer.decode(ids, skip_special_tokens=False)
+        return " ".join(map(self.tokens.__getitem__, ids))
+
+
+def _load(kind: type, definition: Broadcast):
+    """The encoder or decoder of this worker; it serves all of its tasks."""
+    key = kind, xxhash.xxh3_64_intdigest(definition.value)
     if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Encoder(definition.value)
+        for old in [k for k in _loaded if k[0] is kind]:
+            del _loaded[old]
+        _loaded[key] = kind(definition.value)
     return _loaded[key]
 
 
@@ -289,7 +310,7 @@ def _travel(rows: list[tuple]) -> pa.RecordBatch:
 
 def _cut(batches: Iterator[pa.RecordBatch], definition: Broadcast, buckets: int) -> Iterator[pa.RecordBatch]:
     """A recipe for each block, and its distinct chunks packed by bucket."""
-    encoder, squeeze = _encoder(definition), zstandard.ZstdCompressor(level=6)
+    encoder, squeeze = _load(Encoder, definition), zstandard.ZstdCompressor(level=6)
     part = TaskContext.get().partitionId()
     for number, rows in enumerate(_blocks(batches)):
         recipe, chunks, joins = Recipe(), {}, {}
@@ -320,7 +341,7 @@ def _cut(batches: Iterator[pa.RecordBatch], definition: Broadcast, buckets: int)
 
 def _encode(batches: Iterator[pa.RecordBatch], definition: Broadcast) -> Iterator[pa.RecordBatch]:
     """The ids of the chunks of each block; equal chunks of a bucket are encoded once.  Recipes pass."""
-    encoder = _encoder(definition)
+    encoder = _load(Encoder, definition)
     squeeze, inflate = zstandard.ZstdCompressor(level=9), zstandard.ZstdDecompressor()
     waiting: list[tuple[int, list[int], list[int]]] = []  # block, numbers, places of the chunks
     place: dict[bytes, int] = {}
@@ -372,14 +393,18 @@ def assemble(chunks: list[np.ndarray], joins: list[Join]) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _assemble(batches: Iterator[pa.RecordBatch], doc_id: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """The ids of each text, block by block; a block's recipe comes first."""
+def _assemble(batches: Iterator[pa.RecordBatch], doc_id: pa.DataType, decode: Broadcast | None) -> Iterator[pa.RecordBatch]:
+    """The ids of each text, block by block, and with ``decode`` the text that they decode to; a block's recipe comes first."""
     inflate = zstandard.ZstdDecompressor()
+    text = _load(Decoder, decode).text if decode else None
 
     def emit(rows):
         cut = np.concatenate(([0], np.cumsum([len(x) for _, x in rows]))).astype(np.int32)
         flat = np.concatenate([x for _, x in rows]).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], doc_id), pa.ListArray.from_arrays(pa.array(cut), pa.array(flat))], ["doc_id", "ids"])
+        columns = [pa.array([d for d, _ in rows], doc_id), pa.ListArray.from_arrays(pa.array(cut), pa.array(flat))]
+        if text:
+            columns.append(pa.array([text(x.tolist()) for _, x in rows], pa.string()))
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
     def texts(recipe, found):
         waiting, size = [], 0
@@ -416,9 +441,11 @@ def _definition(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(file.read())
 
 
-def encoded(docs: DataFrame, path: str) -> DataFrame:
+def encoded(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
     """(doc_id, ids) for every row of ``docs`` (doc_id, text): the tokenizer's ids without special tokens of its own.
 
+    With ``decoded``, a third column has the text that the ids decode to.
+
     ``path`` is a tokenizer file of the tokenizers library; its truncation and padding are not
     used, and it must drop white space.  Strings of special tokens in a text become those
     tokens, as in the library.  Null and empty texts have no ids.  Repeated rows come back
@@ -433,7 +460,8 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     cut = docs.select("doc_id", "text").mapInArrow(lambda b: _cut(b, definition, tasks * BUCKETS), _TRAVEL_SQL)
     met = cut.repartitionById(tasks, F.col("bucket") % F.lit(tasks)).sortWithinPartitions("bucket")
     back = met.mapInArrow(lambda b: _encode(b, definition), _TRAVEL_SQL).repartition(tasks, "block").sortWithinPartitions("block", "kind")
-    return back.mapInArrow(lambda b: _assemble(b, kind), f"doc_id {doc_id.simpleString()}, ids array<int>")
+    text = definition if decoded else None
+    return back.mapInArrow(lambda b: _assemble(b, kind, text), f"doc_id {doc_id.simpleString()}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decoded(spark: SparkSession, ids: Column, path: str) -> Column:
@@ -442,7 +470,7 @@ def decoded(spark: SparkSession, ids: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def of(lists: pa.Array) -> pa.Array:
-        text = _encoder(definition).text
-        return pa.array([text(x) for x in values(lists)], pa.string())
+        text = _load(Decoder, definition).text
+        return pa.array([text(x or []) for x in values(lists)], pa.string())
 
     return of(ids)

@@ -92,10 +92,9 @@ BPE_VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = bpe.encoded(table(spark, sf_dir, "documents"), BPE_VOCABULARY)
+    found = bpe.encoded(table(spark, sf_dir, "documents"), BPE_VOCABULARY, decoded=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    text = bpe.decoded(spark, F.col("ids"), BPE_VOCABULARY)
-    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2(text, 256).alias("decoded_sha256"))
+    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
