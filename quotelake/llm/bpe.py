@@ -30,11 +30,11 @@ from tokenizers import Tokenizer
 
 from quotelake.llm.arrow import sliced, values
 
-BLOCK = 4 << 20  # bytes of text cut together
+BLOCK = 8 << 20  # bytes of text cut together
 SPAN = 32  # bytes that the rolling hash sees
 MASK = np.uint32(2047)  # a chunk ends at one place in 2,048
 LEAST = 256  # bytes of a chunk, at least
-BUCKETS = 2  # of each task
+BUCKETS = 1  # of each task
 AT_ONCE = 8 << 20  # bytes of distinct chunks that are encoded together, of one bucket or more
 KEPT_BYTES = 32 << 20  # of a larger bucket, so many are taken together
 KEPT_WORDS = 1 << 19  # words of each kind whose ids a worker keeps
@@ -310,7 +310,7 @@ def _travel(rows: list[tuple]) -> pa.RecordBatch:
 
 def _cut(batches: Iterator[pa.RecordBatch], definition: Broadcast, buckets: int) -> Iterator[pa.RecordBatch]:
     """A recipe for each block, and its distinct chunks packed by bucket."""
-    encoder, squeeze = _load(Encoder, definition), zstandard.ZstdCompressor(level=6)
+    encoder, squeeze = _load(Encoder, definition), zstandard.ZstdCompressor(level=9)
     part = TaskContext.get().partitionId()
     for number, rows in enumerate(_blocks(batches)):
         recipe, chunks, joins = Recipe(), {}, {}
