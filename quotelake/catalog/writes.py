@@ -147,32 +147,18 @@ def _slices(quotes: DataFrame) -> list[DataFrame]:
 
 
 def keyed_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches published to a keyed table, the second delivered twice."""
+    """Three batches applied to a keyed table, the second delivered twice."""
     target = KeyedTable(spark, scratch_path(spark, "keyed"), TABLE_SCHEMA, "coin_id", "source")
     target.create()
     first, second, third = _slices(line_quotes(spark, sf_dir))
-    for batch_id, batch in (("a", first), ("b", second), ("b", second), ("c", third)):
-        target.upsert(batch, _policy(FULL, stamped=False), ORDER, batch_id, MOMENT)
+    for batch in (first, second, second, third):
+        target.upsert(batch, _policy(FULL, stamped=False), ORDER, MOMENT)
     return target.read()
 
 
 KEYED_TABLE_UPSERT = f"SELECT * EXCLUDE (created_at, updated_at) FROM ({_upsert_sql(FULL)})"
 
 
-def upsert_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches, compacted, the second delivered once more and a third on top."""
-    target = KeyedTable(spark, scratch_path(spark, "compacted"), TABLE_SCHEMA, "coin_id", "source")
-    target.create()
-    first, second, third = _slices(line_quotes(spark, sf_dir))
-    for batch_id, batch in (("a", first), ("b", second)):
-        target.upsert(batch, _policy(FULL, stamped=False), ORDER, batch_id, MOMENT)
-    target.compact(MOMENT)
-    target.drop_superseded(datetime.now(timezone.utc))
-    for batch_id, batch in (("b", second), ("c", third)):
-        target.upsert(batch, _policy(FULL, stamped=False), ORDER, batch_id, MOMENT)
-    return target.read()
-
-
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three arrivals in a landing folder, each taken up by an incremental run."""
     root = scratch_path(spark, "stream")
@@ -435,7 +421,7 @@ def keyed_table_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     target.create()
     names = F.array(*(F.lit(n) for n in ("a/b", "x=y", "a:b", "50%")))
     quotes = line_quotes(spark, sf_dir).withColumn("source", F.element_at(names, (F.col("coin_id") % 4 + 1).cast("int")))
-    target.upsert(quotes, _policy(FULL, stamped=False), ORDER, "all", MOMENT)
+    target.upsert(quotes, _policy(FULL, stamped=False), ORDER, MOMENT)
     return target.read().select("coin_id", "source")
 
 
@@ -504,7 +490,6 @@ QUERIES = {
     "upsert_idempotent": upsert_idempotent,
     "upsert_delta": upsert_delta_counts,
     "keyed_table_upsert": keyed_table_upsert,
-    "upsert_after_compaction": upsert_after_compaction,
     "stream_upsert": stream_upsert,
     "load_all_sources": load_all_sources,
     "load_statistics": load_statistics,
@@ -526,7 +511,6 @@ ORACLE = {
     "upsert_idempotent": _upsert_sql(FULL),
     "upsert_delta": UPSERT_DELTA_COUNTS,
     "keyed_table_upsert": KEYED_TABLE_UPSERT,
-    "upsert_after_compaction": KEYED_TABLE_UPSERT,
     "stream_upsert": KEYED_TABLE_UPSERT,
     "load_all_sources": LOAD_ALL_SOURCES,
     "load_statistics": LOAD_STATISTICS,

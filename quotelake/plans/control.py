@@ -90,6 +90,13 @@ def start_run(lake: Lake, run_id: str, source: str, at: datetime) -> None:
     )
 
 
+def succeeded(lake: Lake, run_id: str) -> tuple[int, int] | None:
+    """The accepted and rejected counts of a run that ended well, or None."""
+    ended = lake.runs.read().filter((F.col("run_id") == run_id) & (F.col("status") == "success"))
+    row = ended.select("records_processed", "records_failed").first()
+    return tuple(row) if row else None
+
+
 def complete_run(
     lake: Lake,
     run_id: str,

@@ -87,7 +87,7 @@ def load_batch(
     """Validate, land and upsert one batch; returns the accepted and rejected counts.
 
     Safe to repeat with the same ``batch_id``: the landed folder and the
-    drift rows are replaced and the upsert is skipped when it was published.  ``drift`` is ``"rows"`` for one drift row per
+    drift rows are replaced and the upsert leaves the same rows.  ``drift`` is ``"rows"`` for one drift row per
     record and field, ``"summary"`` for one per field, or None.
     """
     landed = lake.land(validate(records, spec), spec.name, batch_id, now)
@@ -96,7 +96,7 @@ def load_batch(
     if processed:
         good = landed.filter(F.col("status") == "ok")
         batch = with_identity(unify(good, spec, F.lit(now), keep=("ord",)))
-        lake.unified.upsert(batch, unified_policy(spec), ("ord",), batch_id, now)
+        lake.unified.upsert(batch, unified_policy(spec), ("ord",), now)
     if drift and spec.expected_types:
         lake.drift.replace(drift_rows(landed, spec, now, drift).select(*lake.drift.schema.names), batch_id)
     return processed, failed
@@ -141,6 +141,8 @@ def run_source(
 
     ``run_id`` names the batch too: give one to make a repeated delivery a no-op.
     """
+    if run_id and (done := control.succeeded(lake, run_id)):
+        return RunResult(spec.name, run_id, "success", *done)
     run_id = run_id or str(uuid.uuid4())
     started = clock()
     control.start_run(lake, run_id, spec.name, started)

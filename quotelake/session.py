@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -71,10 +73,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quotelake/{label}-{uuid.uuid4().hex}"
 
 
-def remove_folder(spark: SparkSession, path: str) -> bool:
-    """Delete a folder of a table; False if there is none."""
+def make_folder(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings that hold for the plans made inside."""
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def local_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:

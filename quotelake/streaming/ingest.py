@@ -101,7 +101,7 @@ def upsert_stream(
         landing = f"{table.root}/landing/batch_id={name}"
         batch.write.mode("overwrite").parquet(landing)
         landed = batch.sparkSession.read.schema(batch.schema).parquet(landing)
-        table.upsert(landed, policy, order, name, moment)
+        table.upsert(landed, policy, order, moment)  # a redelivered batch leaves the same rows
 
     table.create()
     return _available_now(stream.writeStream.foreachBatch(apply), checkpoint)

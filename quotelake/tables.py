@@ -1,26 +1,28 @@
-"""Tables on plain Parquet: append-only logs and a keyed table with published versions.
+"""Tables on plain Parquet: append-only logs and a bucketed table with one row per key.
 
-One writer per table is assumed, as one job loads the sources in turn.  Nothing is ever
-rewritten in place, so a reader or a retried task never meets half a write.
+One writer per table is assumed, as one job loads the sources in turn.
 """
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake import schemas
-from quotelake.operators.upsert import UpsertPolicy, fold_batch
-from quotelake.session import local_rows, remove_folder
+from quotelake.operators.upsert import UpsertPolicy, fold_batch, merge
+from quotelake.session import local_rows, make_folder, settings
 from quotelake.specs import SourceSpec
 
-VERSION, REFRESHED = "table_version", "refreshed_columns"
-REFRESHED_FIELD = T.StructField(REFRESHED, T.ArrayType(T.StringType()))
-DELTA, BASE, EMPTY = "delta", "base", "empty"  # kinds of versions
+UPSERT_SETTINGS = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # buckets are by the key alone, and rows of one key and group lie together all the same
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
 
 
 class LogTable:
@@ -49,138 +51,84 @@ class LogTable:
 
 
 class KeyedTable:
-    """One row per key, changed by upserts that publish a version each.
-
-    A version lives under ``data/table_version=N/<group>=../``.  An upsert writes its folded
-    batch and nothing else, whatever the table holds; a log row makes it current and names
-    the batch, so a batch that is delivered twice is applied once.  Reads fold the versions
-    by key: a column comes from the last version that refreshed it, or else from the first
-    that has the key.  ``compact`` writes the folded rows as one version, from which reads
-    need no shuffle; ``drop_superseded`` then frees the older ones.
+    """One row per key: a Parquet table with a directory per group, bucketed and sorted by key.
+
+    An upsert is one job.  The batch is folded to a row per key and joined with the rows of the
+    groups that it touches, and Spark writes those groups anew (dynamic partition overwrite).
+    The stored side is read in its buckets, so only the batch is shuffled; other groups are
+    neither read nor written.  New files are staged and a group's directory is exchanged for
+    them when all are written, so a failed job leaves the rows as they were; a batch applied
+    again leaves the same rows.  Readers that need more than that at the moment of an
+    exchange want a table format with snapshots underneath.
+
+    The number of buckets is fixed when the table is created; by default it is the session's
+    number of shuffle partitions.  Choose it so that a bucket of the largest group fits in a
+    task's memory.
     """
 
-    LOG_SCHEMA = T.StructType(
-        [
-            T.StructField(VERSION, T.LongType()),
-            T.StructField("batch_id", T.StringType()),
-            T.StructField("kind", T.StringType()),
-            T.StructField("published_at", T.TimestampType()),
-        ]
-    )
+    DEFINITION = T.StructType([T.StructField("buckets", T.IntegerType())])
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, group: str, lookups: tuple[str, ...] = ()):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, group: str, lookups: tuple[str, ...] = (), buckets: int | None = None):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.key, self.group = key, group
-        # Files are sorted by key; other columns looked up by value get a Bloom filter.
-        self.write_options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookups}
+        self.key, self.group, self.buckets = key, group, buckets
+        # files are sorted by key; other columns looked up by value get a Bloom filter
+        self.options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookups}
         if lookups:
-            self.write_options["parquet.bloom.filter.adaptive.enabled"] = "true"
-        self.log = LogTable(spark, f"{self.root}/log", self.LOG_SCHEMA)
+            self.options["parquet.bloom.filter.adaptive.enabled"] = "true"
+        # the catalog's name for this folder
+        self.name = f"keyed_{hashlib.sha256(self.root.encode()).hexdigest()[:24]}"
 
     def create(self) -> None:
-        self.log.create()
-
-    def _last(self, batch_id: str | None = None) -> tuple[int, int, bool]:
-        """The last version, the last compacted one, and whether the batch was published."""
-        seen = F.coalesce(F.bool_or(F.col("batch_id") == F.lit(batch_id)), F.lit(False))
-        base = F.max(F.when(F.col("kind") == BASE, F.col(VERSION)))
-        top, base, seen = self.log.read().agg(F.max(VERSION), base, seen).first()
-        return top or 0, base or 0, seen
-
-    def _live(self) -> list[int]:
-        """The versions that reads fold: the last compacted one and one per batch since."""
-        current = (F.col(VERSION) >= self._last()[1]) & (F.col("kind") != EMPTY)
-        return sorted(r[0] for r in self.log.read().filter(current).select(VERSION).collect())
-
-    def _folder(self, version: int) -> str:
-        return f"{self.root}/data/{VERSION}={version}"
+        """Create the table if it is absent."""
+        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        local_rows(self.spark, [(buckets,)], self.DEFINITION).coalesce(1).write.mode("ignore").parquet(f"{self.root}/definition")
+        make_folder(self.spark, f"{self.root}/rows")
+
+    def _table(self) -> str:
+        """The table's name in the session's catalog, which learns it from the folder."""
+        if not self.spark.catalog.tableExists(self.name):
+            buckets = self.spark.read.schema(self.DEFINITION).parquet(f"{self.root}/definition").first()[0]
+            # the group's column comes last, as in every partitioned table
+            fields = sorted(self.schema, key=lambda f: f.name == self.group)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            options = ", ".join(f"'{k}' = '{v}'" for k, v in {"path": f"{self.root}/rows", **self.options}.items())
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet OPTIONS ({options}) "
+                f"PARTITIONED BY (`{self.group}`) CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {buckets} BUCKETS"
+            )
+            self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+        return self.name
 
     def read(self, group: str | None = None) -> DataFrame:
-        """The current rows, or those of one group.  A filter on the group column prunes directories."""
-        versions = self._live()
-        if not versions:
-            return local_rows(self.spark, [], self.schema)
-        layout = T.StructType([*self.schema.fields, REFRESHED_FIELD, T.StructField(VERSION, T.LongType())])
-        reader = self.spark.read.schema(layout).option("basePath", f"{self.root}/data")
-        rows = reader.parquet(*(self._folder(v) for v in versions))
-        if group is not None:
-            rows = rows.filter(F.col(self.group) == group)
-        if len(versions) > 1:  # one version holds a key once
-            rows = self._fold(rows)
-        return rows.select(*self.schema.names)
-
-    def _fold(self, rows: DataFrame) -> DataFrame:
-        age = F.col(VERSION)
-
-        def current(c: str) -> Column:
-            refreshed = F.array_contains(REFRESHED, F.lit(c))
-            return F.max_by(c, F.when(refreshed, age).otherwise(-age)).alias(c)
-
-        keys = (self.group, self.key)
-        return rows.groupBy(*keys).agg(*(current(c) for c in self.schema.names if c not in keys))
-
-    def _write(self, rows: DataFrame, refreshed: tuple[str, ...], version: int) -> None:
-        (
-            rows.withColumn(REFRESHED, F.array(*map(F.lit, refreshed)).cast("array<string>"))
-            # files of useful size: small groups share a task, large ones are split
-            .hint("rebalance", self.group)
-            .sortWithinPartitions(self.group, self.key)
-            .write.mode("overwrite")  # leftovers of a failed, unpublished attempt
-            .options(**self.write_options)
-            .partitionBy(self.group)
-            .parquet(self._folder(version))
-        )
+        """The rows, or those of one group.  A filter on the group column prunes directories."""
+        rows = self.spark.read.table(self._table()).select(*self.schema.names)
+        return rows if group is None else rows.filter(F.col(self.group) == group)
+
+    def upsert(self, batch: DataFrame, policy: UpsertPolicy, order: tuple[str, ...], now: datetime) -> None:
+        """Apply a batch.
 
-    def upsert(
-        self,
-        batch: DataFrame,
-        policy: UpsertPolicy,
-        order: tuple[str, ...],
-        batch_id: str,
-        now: datetime,
-    ) -> bool:
-        """Apply a batch and publish it; False when it was applied before.
-
-        ``batch`` is read twice and must be stored data.  A batch with a NULL key, or a NULL
-        or empty group, is an error before anything is written.
+        ``batch`` is read twice and must be stored data; its groups are as few as sources are.  A
+        batch with a NULL key, or a NULL or empty group, is an error before anything is written.
         """
         if {*policy.keys} != {self.key, self.group}:
             raise ValueError(f"the key of the table is {self.key}, {self.group}")
-        top, _, published = self._last(batch_id)
-        if published:
-            return False
         nameless = F.col(self.key).isNull() | F.coalesce(F.col(self.group).cast("string") == "", F.lit(True))
-        n, missing = batch.agg(F.count("*"), F.count_if(nameless)).first()
+        missing, touched = batch.agg(F.count_if(nameless), F.collect_set(self.group)).first()
         if missing:
             raise ValueError(f"{missing} rows without {self.key} or {self.group}")
-        if n:
-            folded = fold_batch(batch, policy, order)
-            columns = [
-                (F.lit(now) if f.name in policy.stamps else F.col(f.name)).cast(f.dataType).alias(f.name)
-                for f in self.schema.fields
-            ]
-            self._write(folded.select(*columns), (*policy.update, *policy.touched), top + 1)
-        self.log.append_rows([(top + 1, batch_id, DELTA if n else EMPTY, now)])
-        return True
-
-    def compact(self, now: datetime) -> bool:
-        """Write the current rows as one version; False when they already are."""
-        if len(self._live()) < 2:
-            return False
-        version = self._last()[0] + 1
-        self._write(self.read(), (), version)
-        self.log.append_rows([(version, None, BASE, now)])
-        return True
-
-    def drop_superseded(self, before: datetime) -> int:
-        """Delete versions older than a compaction that was published before ``before``; how many.
-
-        Readers that started before that compaction must have ended.
-        """
-        log = self.log.read()
-        base = log.filter((F.col("kind") == BASE) & (F.col("published_at") < F.lit(before))).agg(F.max(VERSION)).first()[0] or 0
-        versions = [r[0] for r in log.filter((F.col(VERSION) < base) & (F.col("kind") != EMPTY)).select(VERSION).collect()]
-        return sum(remove_folder(self.spark, self._folder(v)) for v in versions)
+        if not touched:
+            return
+        name = self._table()
+        with settings(self.spark, UPSERT_SETTINGS):
+            merged = self.merged(batch, policy, order, now, touched)
+            merged.write.mode("overwrite").insertInto(name)
+
+    def merged(self, batch: DataFrame, policy: UpsertPolicy, order: tuple[str, ...], now: datetime, touched: list[str]) -> DataFrame:
+        """The rows of the touched groups after a batch, in the table's column order."""
+        stored = self.read().filter(F.col(self.group).isin(touched))
+        rows = merge(stored, fold_batch(batch, policy, order), policy, F.lit(now))
+        fields = sorted(self.schema, key=lambda f: f.name == self.group)
+        return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
 
 
 class Lake:
