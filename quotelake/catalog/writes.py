@@ -12,7 +12,7 @@ from quotelake.catalog import table
 from quotelake.operators.upsert import UpsertPolicy, fold_batch, merge, upsert, upsert_delta
 from quotelake.operators.validate import REASONS
 from quotelake.plans import control, reads
-from quotelake.plans.pipeline import load_batch, run_all, scan_source
+from quotelake.plans.pipeline import load_batch, run_all, run_source, scan_source
 from quotelake.session import scratch_path
 from quotelake.sources.json_files import scan_json
 from quotelake.sources.listing import market_top_records
@@ -171,12 +171,45 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def stream_late_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals that are not in the order of their events: an older event changes nothing."""
+    root = scratch_path(spark, "late")
+    quotes = line_quotes(spark, sf_dir).withColumn("shipped", F.col("l_shipdate").cast("date"))
+    schema = T.StructType([*TABLE_SCHEMA.fields, T.StructField("shipped", T.DateType())])
+    target = KeyedTable(spark, f"{root}/table", schema, "coin_id", "source")
+    policy = UpsertPolicy(("coin_id", "source"), (*METRICS, "shipped"), newer="shipped")
+    for lot in range(3):
+        quotes.filter(F.col("l_orderkey") % 3 == lot).write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(quotes.schema).parquet(f"{root}/landing")
+        upsert_stream(stream, target, policy, ORDER, f"{root}/checkpoint")
+    return target.read().withColumn("shipped", F.col("shipped").cast("string"))
+
+
+STREAM_LATE_QUOTES = """
+WITH q AS (
+  SELECT l_partkey AS coin_id, l_returnflag AS source, l_linestatus AS name, l_suppkey AS symbol,
+         l_extendedprice AS price_usd, l_quantity AS market_cap_usd, l_tax AS volume_24h_usd,
+         l_discount AS price_change_24h_percent, l_linenumber AS rank, l_shipdate::DATE::VARCHAR AS shipped,
+         row_number() OVER (PARTITION BY l_partkey, l_returnflag
+           ORDER BY l_orderkey % 3, l_shipdate NULLS FIRST, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS arrival,
+         row_number() OVER (PARTITION BY l_partkey, l_returnflag
+           ORDER BY l_shipdate DESC NULLS LAST, l_orderkey % 3 DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS latest
+  FROM lineitem)
+SELECT a.coin_id, a.source, a.name, a.symbol, z.price_usd, z.market_cap_usd, z.volume_24h_usd, z.price_change_24h_percent, z.rank, z.shipped
+FROM q a JOIN q z ON a.coin_id = z.coin_id AND a.source = z.source AND a.arrival = 1 AND z.latest = 1
+"""
+
+
 # --- whole loads ----------------------------------------------------------------------
 
 
 def _land_customers(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, str]:
     """Customers as detail records per line, and the list of entities as array pages."""
     customers = table(spark, sf_dir, "customer")
+    return _land_details(customers, f"{root}/detail"), _land_listing(customers, f"{root}/listing", 5)
+
+
+def _land_details(customers: DataFrame, path: str) -> str:
     usd = F.struct(
         F.col("c_acctbal").alias("price"),
         F.col("c_nationkey").alias("volume_24h"),
@@ -192,17 +225,18 @@ def _land_customers(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, s
         rank.alias("rank"),
         F.struct(usd.alias("USD")).alias("quotes"),
     )
-    customers.select(F.to_json(detail)).write.text(f"{root}/detail")
+    customers.select(F.to_json(detail)).write.mode("append").text(path)
+    return path
+
+
+def _land_listing(customers: DataFrame, path: str, least: int) -> str:
+    """Nations from ``least`` on are active."""
     entity = F.struct(
-        F.concat(F.lit("c"), "c_custkey").alias("id"), (F.col("c_nationkey") >= 5).alias("is_active")
+        F.concat(F.lit("c"), "c_custkey").alias("id"), (F.col("c_nationkey") >= least).alias("is_active")
     )
-    (
-        customers.groupBy(F.floor(F.col("c_custkey") / 500).alias("page"))
-        .agg(F.to_json(F.collect_list(entity)).alias("value"))
-        .write.partitionBy("page")
-        .text(f"{root}/listing")
-    )
-    return f"{root}/detail", f"{root}/listing"
+    pages = customers.groupBy(F.floor(F.col("c_custkey") / 500).alias("page"))
+    pages.agg(F.to_json(F.collect_list(entity)).alias("value")).write.mode("append").partitionBy("page").text(path)
+    return path
 
 
 def _land_suppliers(spark: SparkSession, sf_dir: str, root: str) -> str:
@@ -482,6 +516,90 @@ SELECT CAST(count(*) FILTER (WHERE p_size <= 45) AS BIGINT) AS processed,
 FROM part
 """
 
+def stream_listed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details arriving in two lots, each against the listing of its time; a run without new files adds nothing."""
+    root = scratch_path(spark, "listed")
+    lake = Lake(spark, f"{root}/lake")
+    customers = table(spark, sf_dir, "customer")
+    even = F.col("c_custkey") % 2 == 0
+    for lot, least in ((customers.filter(even), 10), (customers.filter(~even), 5), (None, 0)):
+        listing = _land_listing(customers, f"{root}/listing", least)
+        if lot is not None:
+            _land_details(lot, f"{root}/detail")
+        load_new_files(lake, TICKER, f"{root}/detail", f"{root}/checkpoint", listing_path=listing)
+    counts = control.runs(lake).agg(F.sum("records_processed").alias("processed"), F.sum("records_failed").alias("failed"))
+    rows = lake.unified.read().select("coin_id", "name", "symbol", "price_usd", "market_cap_usd", "volume_24h_usd", "rank", "source")
+    return rows.crossJoin(F.broadcast(counts))  # one row beside every row
+
+
+STREAM_LISTED_LOAD = """
+WITH listed AS (
+  SELECT * FROM customer WHERE c_nationkey >= CASE WHEN c_custkey % 2 = 0 THEN 10 ELSE 5 END
+)
+SELECT concat('c', c_custkey) AS coin_id, c_name AS name, c_mktsegment AS symbol, c_acctbal AS price_usd,
+       CAST(c_custkey AS DOUBLE) AS market_cap_usd, CAST(c_nationkey AS DOUBLE) AS volume_24h_usd,
+       CAST(c_nationkey AS INTEGER) AS rank, 'coinpaprika' AS source,
+       (SELECT count(*) FROM listed WHERE c_nationkey < 20)::BIGINT AS processed,
+       (SELECT count(*) FROM listed WHERE c_nationkey >= 20)::BIGINT AS failed
+FROM listed WHERE c_nationkey < 20
+"""
+
+
+def raw_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of the first source from three days, read from the second load on, that load excluded."""
+    root = scratch_path(spark, "since")
+    customers = table(spark, sf_dir, "customer")
+    lake = Lake(spark, f"{root}/lake")
+    lake.create_tables()
+    days = [datetime(2024, 2, day, hour, tzinfo=timezone.utc) for day, hour in ((1, 23), (2, 0), (2, 1), (3, 5))]
+    for n, moment in enumerate(days):
+        path = _land_details(customers.filter(F.col("c_custkey") % 4 == n), f"{root}/detail-{n}")
+        for _ in range(2):  # each batch is delivered twice
+            load_batch(lake, TICKER, scan_source(spark, TICKER, path), f"lot-{n}", moment)
+    rows = lake.raw_since(TICKER, days[1])
+    name = F.expr("variant_get(raw_data, '$.name', 'string')")
+    return rows.select("coin_id", "symbol", "rank", "price_usd", name.alias("name"), F.col("ingest_date").cast("string").alias("day"), "batch_id")
+
+
+RAW_SINCE = """
+SELECT concat('c', c_custkey) AS coin_id, lower(c_mktsegment) AS symbol, c_nationkey::INTEGER AS rank, c_acctbal AS price_usd, c_name AS name,
+       CASE c_custkey % 4 WHEN 2 THEN '2024-02-02' ELSE '2024-02-03' END AS day, concat('lot-', c_custkey % 4) AS batch_id
+FROM customer WHERE c_custkey % 4 >= 2 AND c_nationkey < 20
+"""
+
+
+def drift_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads: a missing field that comes back, an unknown one that stays, and one that turns up last."""
+    root = scratch_path(spark, "cycle")
+    part = table(spark, sf_dir, "part")
+    lake = Lake(spark, f"{root}/lake")
+    lake.create_tables()
+    small = F.col("p_size") <= 25
+    for n in range(3):
+        fields = [
+            F.concat(F.lit("p"), "p_partkey").alias("id"),
+            F.col("p_name").alias("name"),
+            F.col("p_brand").alias("symbol"),
+            (F.when(~small, F.col("p_size")) if n == 0 else F.col("p_size")).alias("rank"),
+            F.create_map().cast("map<string,string>").alias("quotes"),
+        ]
+        fields += [F.when(small, "x").alias("extra")] if n < 2 else [F.lit(True).alias("late")]
+        part.select(F.to_json(F.struct(*fields))).write.text(f"{root}/{n}")
+        moment = datetime(2024, 2, 1 + n, tzinfo=timezone.utc)
+        run_source(lake, TICKER, lambda n=n: scan_source(spark, TICKER, f"{root}/{n}"), "summary", clock=lambda moment=moment: moment, run_id=f"run-{n}")
+    day = lambda c: F.to_date(c).cast("string").alias(c)
+    state = control.drift_state(lake)
+    return state.select("drift_type", "field_name", "actual_type", "occurrences", *map(day, ("first_seen", "last_seen", "resolved_at")), "resolved")
+
+
+DRIFT_STATE = """
+WITH n AS (SELECT count(*)::BIGINT AS a, count(*) FILTER (WHERE p_size <= 25)::BIGINT AS s FROM part)
+SELECT 'missing_field' AS drift_type, 'rank' AS field_name, NULL AS actual_type, s AS occurrences, '2024-02-01' AS first_seen,
+       '2024-02-01' AS last_seen, '2024-02-02' AS resolved_at, TRUE AS resolved FROM n
+UNION ALL SELECT 'new_field', 'extra', 'str', 2 * s, '2024-02-01', '2024-02-02', '2024-02-03', TRUE FROM n
+UNION ALL SELECT 'new_field', 'late', 'bool', a, '2024-02-03', '2024-02-03', NULL, FALSE FROM n
+"""
+
 QUERIES = {
     "upsert_full": upsert_full,
     "upsert_no_rank": upsert_no_rank,
@@ -501,6 +619,10 @@ QUERIES = {
     "drift_log": drift_log,
     "keyed_table_groups": keyed_table_groups,
     "raw_market": raw_market,
+    "drift_state": drift_state,
+    "raw_since": raw_since,
+    "stream_listed_load": stream_listed_load,
+    "stream_late_quotes": stream_late_quotes,
 }
 
 ORACLE = {
@@ -522,4 +644,8 @@ ORACLE = {
     "drift_log": DRIFT_LOG,
     "keyed_table_groups": KEYED_TABLE_GROUPS,
     "raw_market": RAW_MARKET,
+    "drift_state": DRIFT_STATE,
+    "raw_since": RAW_SINCE,
+    "stream_listed_load": STREAM_LISTED_LOAD,
+    "stream_late_quotes": STREAM_LATE_QUOTES,
 }

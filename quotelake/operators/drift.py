@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quotelake.functions.coerce import python_text, python_type_name
 
@@ -73,3 +74,27 @@ def summarize(drift: DataFrame) -> DataFrame:
         F.max("confidence_score").alias("confidence_score"),
         F.min("sample_value").alias("sample_value"),
     )
+
+
+def life_cycle(drift: DataFrame, checked: DataFrame) -> DataFrame:
+    """One row per source, kind, field and types: when it was first and last found, and when it was gone.
+
+    ``drift`` is the stored log, in either form; ``checked`` has the (source_name, checked_at)
+    of every batch that was looked through.  A finding is resolved at the first batch of its source after
+    the last that had it; until there is one it is open.  Both are small: findings are summed up
+    first, and there is a row per batch.
+    """
+    kind = ["source_name", "drift_type", "field_name", "expected_type", "actual_type"]
+    found = drift.groupBy(*kind).agg(
+        F.sum("occurrences").alias("occurrences"),
+        F.min("detected_at").alias("first_seen"),
+        F.max("detected_at").alias("last_seen"),
+    )
+    batches = checked.select("source_name", F.col("checked_at").alias("at")).distinct()
+    times = found.select("source_name", F.col("last_seen").alias("at")).distinct()
+    following = Window.partitionBy("source_name").orderBy("at").rowsBetween(1, 1)
+    both = batches.unionByName(times).distinct()
+    # a finding's last batch is one of the batches, so the next time is the next batch
+    after = both.select(F.col("source_name").alias("_source"), F.col("at").alias("_at"), F.min("at").over(following).alias("resolved_at"))
+    state = found.join(after, (F.col("source_name") == F.col("_source")) & (F.col("last_seen") == F.col("_at")), "left")
+    return state.select(*kind, "occurrences", "first_seen", "last_seen", "resolved_at", F.col("resolved_at").isNotNull().alias("resolved"))

@@ -18,12 +18,21 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class UpsertPolicy:
     """``update`` columns are overwritten on a match, ``created`` is set on insert only,
-    ``touched`` on every write; all other non-key columns keep their first value."""
+    ``touched`` on every write; all other non-key columns keep their first value.
+
+    ``newer`` names an event time among the ``update`` columns: a row whose time is before the
+    stored one, however late it arrives, changes nothing.  A NULL time is before all others.
+    Without it the last arrival counts."""
 
     keys: tuple[str, ...]
     update: tuple[str, ...]
     created: str | None = None
     touched: tuple[str, ...] = ()
+    newer: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.newer is not None and self.newer not in self.update:
+            raise ValueError(f"{self.newer} is not among the columns that an upsert refreshes")
 
     @property
     def stamps(self) -> tuple[str, ...]:
@@ -39,9 +48,10 @@ def fold_batch(batch: DataFrame, policy: UpsertPolicy, order: tuple[str, ...]) -
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     first = policy.keep_first([c for c in batch.columns if c not in order])
     # one comparison for all first values and one for all last values
-    ends = {"_first": (F.min_by, first), "_last": (F.max_by, list(policy.update))}
-    picked = [pick(F.struct(*cs), position).alias(name) for name, (pick, cs) in ends.items() if cs]
-    values = [F.col(f"{name}.{c}").alias(c) for name, (_, cs) in ends.items() for c in cs]
+    age = F.struct(F.col(policy.newer), position) if policy.newer else position
+    ends = {"_first": (F.min_by, first, position), "_last": (F.max_by, list(policy.update), age)}
+    picked = [pick(F.struct(*cs), by).alias(name) for name, (pick, cs, by) in ends.items() if cs]
+    values = [F.col(f"{name}.{c}").alias(c) for name, (_, cs, _) in ends.items() for c in cs]
     return batch.groupBy(*policy.keys).agg(*picked).select(*policy.keys, *values)
 
 
@@ -54,6 +64,9 @@ def _merged_columns(
     def new(c: str) -> Column:
         return F.col(f"n.{c}")
 
+    if policy.newer:
+        older = F.coalesce(new(policy.newer) < old(policy.newer), new(policy.newer).isNull() & old(policy.newer).isNotNull())
+        loaded = loaded & ~(stored & F.coalesce(older, F.lit(False)))
     out = []
     for c in columns:
         if c in policy.keys:

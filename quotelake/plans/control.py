@@ -7,11 +7,12 @@ columns set once from a key's first event, the rest from its last.
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.operators.drift import life_cycle
 from quotelake.operators.upsert import UpsertPolicy, fold_batch
 from quotelake.tables import Lake
 
@@ -97,6 +98,12 @@ def succeeded(lake: Lake, run_id: str) -> tuple[int, int] | None:
     return tuple(row) if row else None
 
 
+def started_at(lake: Lake, run_id: str) -> datetime | None:
+    """When a run was first started."""
+    first = lake.runs.read().filter(F.col("run_id") == run_id).agg(F.min("started_at")).first()[0]
+    return first and first.astimezone(timezone.utc)
+
+
 def complete_run(
     lake: Lake,
     run_id: str,
@@ -115,6 +122,12 @@ def complete_run(
     )
 
 
+def drift_state(lake: Lake) -> DataFrame:
+    """The life cycle of every drift finding; each successful run counts as having looked for drift."""
+    done = runs(lake).filter(F.col("status") == "success")
+    return life_cycle(lake.drift.read(), done.select("source_name", F.col("started_at").alias("checked_at")))
+
+
 def read_since(df: DataFrame, column: str, last) -> DataFrame:
     """Rows after the checkpoint time; all rows when there is none yet."""
     return df if last is None else df.filter(F.col(column) > F.lit(last))

@@ -54,26 +54,29 @@ def unified_policy(spec: SourceSpec) -> UpsertPolicy:
 def scan_source(
     spark: SparkSession, spec: SourceSpec, path: str, listing_path: str | None = None
 ) -> DataFrame:
-    """Records of a landed source.
+    """Records of a landed source; ``listing_path`` selects detail records, as in :func:`source_records`."""
+    if spec.layout == "csv":
+        return scan_csv(spark, path, spec.multi_line)
+    return source_records(scan_json(spark, path, spec.layout), spec, listing_path)
+
+
+def source_records(records: DataFrame, spec: SourceSpec, listing_path: str | None = None) -> DataFrame:
+    """Scanned JSON records, or a micro-batch of them, as a source's rows.
 
     ``listing_path`` is the entity list that selects detail records: active ones, with a
-    ``spec.limit`` the first so many of each listing file.  Without it every detail record counts.
+    ``spec.limit`` the first so many of each listing file.  It is read as it is now.  Without it
+    every detail record counts.
     """
-    if spec.layout == "csv":
-        return scan_csv(spark, path, spec.multi_line)
-    records = scan_json(spark, path, spec.layout)
-    if spec.nested_quotes:
-        if listing_path:
-            listing = active_only(scan_json(spark, listing_path, "json_array").filter(~F.col("malformed")))
-            if spec.limit:
-                listing = per_file(listing, spec.limit, F.asc("ord"))
-            # a key listed twice is looked up once here; the upsert would fold it anyway
-            key = F.nullif(F.to_json(variant_field("record", "id")), F.lit("null")).alias("_key")
-            keys = listing.select(key).distinct()
-            keyed = records.select("*", key)
-            records = enrich(keys, keyed, "_key").drop("_key")
-        return flatten_quotes(records)
-    return market_top_records(records, n=spec.limit) if spec.limit else records
+    if not spec.nested_quotes:
+        return market_top_records(records, n=spec.limit) if spec.limit else records
+    if listing_path:
+        listing = active_only(scan_json(records.sparkSession, listing_path, "json_array").filter(~F.col("malformed")))
+        if spec.limit:
+            listing = per_file(listing, spec.limit, F.asc("ord"))
+        # a key listed twice is looked up once here; the upsert would fold it anyway
+        key = F.nullif(F.to_json(variant_field("record", "id")), F.lit("null")).alias("_key")
+        records = enrich(listing.select(key).distinct(), records.select("*", key), "_key").drop("_key")
+    return flatten_quotes(records)
 
 
 def load_batch(
@@ -143,8 +146,9 @@ def run_source(
     """
     if run_id and (done := control.succeeded(lake, run_id)):
         return RunResult(spec.name, run_id, "success", *done)
+    # a batch that is delivered again keeps the time, and so the ingest date, of its first delivery
+    started = (control.started_at(lake, run_id) if run_id else None) or clock()
     run_id = run_id or str(uuid.uuid4())
-    started = clock()
     control.start_run(lake, run_id, spec.name, started)
     try:
         # One batch id for all attempts, so a retry replaces what the last one left.

@@ -74,6 +74,7 @@ def landed_schema(spec) -> T.StructType:
         ("ingested_at", TS),
         ("status", STR),
         ("batch_id", STR),
+        ("ingest_date", T.DateType()),
     )
 
 

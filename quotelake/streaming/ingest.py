@@ -14,10 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from quotelake.operators.upsert import UpsertPolicy
-from quotelake.plans.pipeline import run_source, utc_now
+from quotelake.plans.pipeline import run_source, source_records, utc_now
 from quotelake.sources.csv_files import CORRUPT, csv_reader_options, csv_records
 from quotelake.sources.json_files import JSON_SCHEMA, json_reader_options, json_records
-from quotelake.sources.listing import flatten_quotes, market_top_records
 from quotelake.sources.order import with_file_columns
 from quotelake.specs import SourceSpec
 from quotelake.tables import KeyedTable, Lake
@@ -47,13 +46,10 @@ def stream_files(
     return with_file_columns(frame)
 
 
-def batch_records(batch: DataFrame, spec: SourceSpec) -> DataFrame:
+def batch_records(batch: DataFrame, spec: SourceSpec, listing_path: str | None = None) -> DataFrame:
     if spec.layout == "csv":
         return csv_records(batch)
-    records = json_records(batch, spec.layout)
-    if spec.nested_quotes:
-        return flatten_quotes(records)
-    return market_top_records(records, n=spec.limit) if spec.limit else records
+    return source_records(json_records(batch, spec.layout), spec, listing_path)
 
 
 def batch_name(batch: DataFrame, epoch: int) -> str:
@@ -70,15 +66,19 @@ def load_new_files(
     columns: tuple[str, ...] | None = None,
     drift: str | None = None,
     max_files: int | None = None,
+    listing_path: str | None = None,
 ) -> StreamingQuery:
     """Load all files that are new since the last call, then stop.
 
+    ``listing_path`` selects detail records as in a batch load; each micro-batch reads the
+    listing anew.
+
     ``max_files`` splits a large backlog into micro-batches, oldest files first.  A spec's
     limit holds for each listing file, as in a batch load.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        run_source(lake, spec, lambda: batch_records(batch, spec), drift, run_id=batch_name(batch, epoch))
+        run_source(lake, spec, lambda: batch_records(batch, spec, listing_path), drift, run_id=batch_name(batch, epoch))
 
     lake.create_tables()
     stream = stream_files(lake.spark, spec, path, columns, max_files)

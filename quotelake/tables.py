@@ -6,7 +6,7 @@ One writer per table is assumed, as one job loads the sources in turn.
 from __future__ import annotations
 
 import hashlib
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,9 @@ UPSERT_SETTINGS = {
 }
 
 
+INGEST_DATE = "ingest_date"
+
+
 class LogTable:
     """An append-only table; the state of a key is a fold over its rows."""
 
@@ -154,21 +157,32 @@ class Lake:
         """Write a validated batch once, accepted and rejected rows apart, and read it back.
 
         Every later step of the load reads these files, so the source is scanned once and a
-        lost executor costs no second scan.  A batch id has its own folder: a new batch
-        appends, the same batch again replaces itself.
+        lost executor costs no second scan.  A batch id has its own folder below the day of
+        ``now`` (UTC): a new batch appends, the same batch again replaces itself.
         """
-        path = f"{self.raw_path(source)}/batch_id={batch_id}"
+        path = f"{self.raw_path(source)}/{INGEST_DATE}={now.astimezone(timezone.utc):%Y-%m-%d}/batch_id={batch_id}"
         status = F.when(F.size("reject_reasons") == 0, "ok").otherwise("rejected")
         stamped = validated.withColumn("ingested_at", F.lit(now)).withColumn("status", status)
         stamped.write.mode("overwrite").partitionBy("status").parquet(path)
         return self.spark.read.schema(stamped.schema).parquet(path)
 
+    def raw_since(self, spec: SourceSpec, last: datetime | None) -> DataFrame:
+        """The accepted rows of batches after ``last``; all of them where it is None.
+
+        Only folders of that day and later are opened.
+        """
+        rows = self.raw(spec)
+        if last is None:
+            return rows
+        day = last.astimezone(timezone.utc).date()
+        return rows.filter((F.col(INGEST_DATE) >= F.lit(day)) & (F.col("ingested_at") > F.lit(last)))
+
     def raw(self, spec: SourceSpec) -> DataFrame:
         """All accepted rows ever loaded from a source; every run adds its own."""
         row_id = F.xxhash64("batch_id", "ord").alias("id")
         fields = [f.name for f in spec.fields]
         accepted = self._landed(spec).filter(F.col("status") == "ok")
-        return accepted.select(row_id, *fields, F.col("payload").alias("raw_data"), "ingested_at", "batch_id")
+        return accepted.select(row_id, *fields, F.col("payload").alias("raw_data"), "ingested_at", "batch_id", INGEST_DATE)
 
     def quarantine(self, spec: SourceSpec) -> DataFrame:
         """All rejected rows with their reasons."""

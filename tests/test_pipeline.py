@@ -1,7 +1,9 @@
 """Whole loads, incremental loads and their control records."""
 
 import json
+import re
 from dataclasses import replace
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -222,3 +224,70 @@ def test_drift_of_a_redelivered_batch_is_stored_once(spark, lake, tmp_path, form
         load_batch(lake, TICKER, scan_source(spark, TICKER, path), "same", utc_now(), form)
     got = lake.drift.read()
     assert got.count() == rows and got.agg(F.sum("occurrences")).first()[0] == 4
+
+
+def replayed(tmp_path):
+    """Forget that the last micro-batch was committed, so that it is delivered again."""
+    last = max((p for p in (tmp_path / "cp" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    (tmp_path / "cp" / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+    last.unlink()
+
+
+def test_a_stream_selects_by_the_listing_as_a_batch_does(spark, lake, tmp_path):
+    spec = replace(TICKER, limit=3)
+    listing = [{"id": "t1"}, {"id": "t2", "is_active": False}, {"id": "t3", "is_active": True}, {"id": "t4", "is_active": None}, {"id": "t5"}, {"id": "t0"}]
+    listing_path = write(tmp_path / "listing" / "1.json", json.dumps(listing))
+    options = dict(checkpoint=str(tmp_path / "cp"), listing_path=str(tmp_path / "listing"))
+    for lot in ((0, 1, 2), (3, 4, 5)):
+        write(tmp_path / "in" / f"{lot[0]}.json", "\n".join(json.dumps(ticker(i)) for i in lot))
+        load_new_files(lake, spec, str(tmp_path / "in"), **options)
+    batch = Lake(spark, str(tmp_path / "batch"))
+    run_all(batch, {spec.name: (str(tmp_path / "in"), listing_path)}, {spec.name: spec}, attempts=1)
+    want = {("coinpaprika", i) for i in ("t1", "t3", "t5")}
+    assert set(unified(lake)) == set(unified(batch)) == want
+    before = sorted(lake.unified.read().collect())
+    replayed(tmp_path)
+    load_new_files(lake, spec, str(tmp_path / "in"), **options)
+    assert sorted(lake.unified.read().collect()) == before and lake.raw(spec).count() == len(want)
+    # the next micro-batch reads the listing as it is by then
+    write(tmp_path / "listing" / "2.json", json.dumps([{"id": "t9"}]))
+    write(tmp_path / "in" / "9.json", json.dumps(ticker(9)))
+    load_new_files(lake, spec, str(tmp_path / "in"), **options)
+    assert set(unified(lake)) == want | {("coinpaprika", "t9")}
+
+
+def test_raw_rows_lie_by_day_and_reads_open_later_days_only(spark, lake, tmp_path):
+    path = write(tmp_path / "c.csv", HEADER + "a,A,aa,1,2,3\n")
+    days = [datetime(2024, 1, d, 12, tzinfo=timezone.utc) for d in (1, 2, 3)]
+    for n, day in enumerate(days):
+        load_batch(lake, CSV, scan_source(spark, CSV, path), f"b{n}", day)
+    assert lake.raw_since(CSV, None).count() == lake.raw(CSV).count() == 3
+    rows = lake.raw_since(CSV, days[1])
+    assert [r.batch_id for r in rows.collect()] == ["b2"]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*ingest_date#\d+ >= 20", plan), plan
+
+
+def test_a_batch_delivered_again_on_another_day_keeps_its_day(spark, lake, tmp_path):
+    path = write(tmp_path / "c.csv", HEADER + "a,A,aa,1,2,3\n")
+    days = iter(datetime(2024, 1, d, tzinfo=timezone.utc) for d in range(1, 9))
+
+    def broken():
+        raise ValueError("lost")
+
+    with pytest.raises(ValueError):
+        run_source(lake, CSV, broken, attempts=1, clock=lambda: next(days), run_id="one")
+    for _ in range(2):
+        done = run_source(lake, CSV, lambda: scan_source(spark, CSV, path), attempts=1, clock=lambda: next(days), run_id="one")
+        assert (done.status, done.processed, done.failed) == ("success", 1, 0)
+    assert [str(r.ingest_date) for r in lake.raw(CSV).collect()] == ["2024-01-01"]
+
+
+def test_findings_are_resolved_and_open_again(spark, lake, tmp_path):
+    lots = [[{"extra": 1}], [{}], [{"extra": 2}], [{"extra": "x"}]]
+    for n, more in enumerate(lots):
+        path = write(tmp_path / f"{n}.json", json.dumps(ticker(1, **more[0])))
+        run_source(lake, TICKER, lambda path=path: scan_source(spark, TICKER, path), "rows", clock=lambda n=n: datetime(2024, 1, 1 + n, tzinfo=timezone.utc), run_id=f"r{n}")
+    got = {r.actual_type: r for r in control.drift_state(lake).collect()}
+    assert (got["int"].first_seen.day, got["int"].last_seen.day, got["int"].resolved_at.day, got["int"].occurrences) == (1, 3, 4, 2)
+    assert got["str"].resolved_at is None and not got["str"].resolved and got["int"].resolved

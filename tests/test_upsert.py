@@ -88,3 +88,25 @@ def test_delta_counts(spark):
     current = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     batch = spark.createDataFrame([("b", 2), ("b", 3), ("c", 1), ("d", 1)], "k string, v int")
     assert tuple(upsert_delta(current, batch, ("k",)).first()) == (2, 1)
+
+
+def test_an_older_event_changes_nothing(spark):
+    rng = random.Random(11)
+    schema = "coin_id string, source string, name string, price double, at int"
+    maybe = lambda v: None if rng.random() < 0.2 else v
+    rows = [(f"c{rng.randrange(6)}", "x", f"n{i}", float(i), maybe(rng.randrange(5)), i) for i in range(120)]
+    guarded = UpsertPolicy(("coin_id", "source"), ("price", "at"), newer="at")
+    table = spark.createDataFrame([], schema)
+    want = {}
+    for low in range(0, 120, 40):
+        lot = rows[low : low + 40]
+        merged = upsert(table, spark.createDataFrame(lot, schema + ", ord int"), guarded, ("ord",))
+        table = spark.createDataFrame(merged.collect(), schema)
+        for coin, _, name, price, at, _ in lot:
+            if coin not in want:
+                want[coin] = (name, price, at)
+            elif (-1 if at is None else at) >= (-1 if want[coin][2] is None else want[coin][2]):
+                want[coin] = (want[coin][0], price, at)
+    assert {r.coin_id: (r.name, r.price, r.at) for r in table.collect()} == want
+    with pytest.raises(ValueError):
+        UpsertPolicy(("coin_id",), ("price",), newer="at")
