@@ -33,6 +33,63 @@ def test_main_text(html, want):
     assert htmltext.main_text(html) == want
 
 
+ARTICLE = f"<h1>Head</h1><p>{PARA}</p><p>{PARA * 2}</p><p>Short.</p>"
+TEXT = f"Head\n{PARA.strip()}\n{(PARA * 2).strip()}\nShort."
+TEASER = f"<article><h2>Other</h2><p>{PARA[:60]}</p></article>"
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<div class='layout no-sidebar'>{ARTICLE}</div>",
+        f"<div class='post with-header'>{ARTICLE}</div>",
+        f"<div id='page' class='has-comments'>{ARTICLE}</div><p>foot</p>",
+        f"<article class='post share-enabled'>{ARTICLE}</article><p>{PARA}</p>",
+        f"<div class='sidebar'>{ARTICLE}</div>",  # a name does not outweigh the headline
+        f"<div class='headline'><h1>Head</h1></div><div class='body'><p>{PARA}</p><p>{PARA * 2}</p><p>Short.</p></div>",
+        f"<article><div class='post-header'><h1>Head</h1></div><p>{PARA}</p><p>{PARA * 2}</p><p>Short.</p></article>",
+        f"<article>{ARTICLE}<div class='user-feedback'><p>{PARA * 3}</p></div></article>",
+        f"<article>{ARTICLE}<section class='comment-list'><article class='comment'><p>{PARA * 3}</p></article></section></article>",
+        f"<main>{ARTICLE}{TEASER * 2}</main>",
+        f"<main><article>{ARTICLE}</article>{TEASER * 2}</main>",
+        f"<article>{ARTICLE}</article>{TEASER * 3}",
+        f"<div class='sidebar-left'><p>{PARA * 2}</p></div><div class='x'>{ARTICLE}</div><ul><li><a href='/1'>one two three</a></li><li><a href='/2'>more</a></li></ul>",
+        f"<section class='comments'><article class='comment'><p>{PARA * 4}</p></article></section><div>{ARTICLE}</div>",
+        f"<div class='x'>{ARTICLE}</div><div class='y'>" + "".join(f"<div><b>{i}</b> <i>unit</i></div>" for i in range(12)) + "</div>",
+    ],
+)
+def test_articles_of_raw_pages(body):
+    html = page(f"<header><a href='/'>Site</a></header><nav><ul><li><a href='/'>Home</a></li></ul></nav>{body}<footer>foot line of the page</footer>")
+    assert htmltext.main_text(html) == TEXT
+
+
+def test_the_clusters_decide(monkeypatch):
+    body = f"<div class='x'>{ARTICLE}</div><div class='y'>" + "".join(f"<div><b>{i}</b> <i>unit</i></div>" for i in range(40)) + "</div>"
+    assert htmltext.main_text(page(body)) == TEXT
+    monkeypatch.setattr(htmltext, "content_lines", lambda ratios: np.ones(len(ratios), bool))
+    assert htmltext.main_text(page(body)) != TEXT
+
+
+def test_clusters_against_plain_arithmetic():
+    rng = random.Random(4)
+    for _ in range(50):
+        ratios = [rng.choice([0, 1, 3, 40, 200]) * rng.random() for _ in range(rng.randrange(1, 60))]
+        weights = [2.718281828459045 ** (-(d * d) / 2) for d in range(-3, 4)]
+        at = lambda i: ratios[i] if 0 <= i < len(ratios) else 0.0
+        smooth = [sum(w * at(i + d) for d, w in zip(range(-3, 4), weights)) / sum(weights) for i in range(len(ratios))]
+        mean = sum(smooth) / len(smooth)
+        cut = mean
+        for _ in range(20):
+            high, low = [x for x in smooth if x > cut], [x for x in smooth if x <= cut]
+            if not high or not low:
+                break
+            cut = (sum(high) / len(high) + sum(low) / len(low)) / 2
+        spread = (sum((x - mean) ** 2 for x in smooth) / len(smooth)) ** 0.5
+        near = [abs(x - min(cut, spread)) < 1e-9 for x in smooth]
+        got = htmltext.content_lines(np.array(ratios))
+        assert all(n or g == (x >= min(cut, spread)) for g, x, n in zip(got.tolist(), smooth, near))
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, "u", page(f"<article><p>é{PARA}</p></article>"), "x"), (1, "u", None, "x"), (None, None, "", "x"), (2, "u", "<p>" * 5000 + PARA * 2000, "x")]
     got = htmltext.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()
