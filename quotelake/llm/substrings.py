@@ -6,7 +6,8 @@ string to the minimiser's bucket, so equal windows of all documents meet there;
 brings them together and the bytes decide.  Two things keep buckets even: a window that
 a document with a smaller id has in the same block of the scan is settled there and does not travel, and
 word groups that make up a large share of the corpus get the last ranks, so that they
-name only windows that hold nothing rarer.
+name only windows that hold nothing rarer.  A bucket that is too large all the same is
+dealt out once more, by whole windows.
 """
 
 from __future__ import annotations
@@ -179,43 +180,75 @@ def _scatter(batches: Iterator[pa.RecordBatch], k: int, frequent: np.ndarray, bu
             yield _rows(rows)
 
 
-def _gather(batches: Iterator[pa.RecordBatch], k: int, limit: int) -> Iterator[pa.RecordBatch]:
+def _unpacked(inflate: zstandard.ZstdDecompressor, blob: bytes) -> tuple[np.ndarray, bytes]:
+    """(doc, text hash, first word, words) of each packed string, and the strings."""
+    raw = inflate.decompress(blob)
+    n = struct.unpack_from("<q", raw)[0]
+    return np.frombuffer(raw, "<i8", 4 * n, 8).reshape(4, n), raw[8 + 32 * n :]
+
+
+def _joined(parts: list[tuple[np.ndarray, bytes]], k: int) -> tuple[_Block, np.ndarray]:
+    """Packed strings as one block, and where its windows start."""
+    columns = np.concatenate([c for c, _ in parts], axis=1)
+    packed = b" ".join([s for _, s in parts])
+    starts, ends = spans(packed)
+    piece = np.repeat(np.arange(columns.shape[1]), columns[3])
+    at = np.flatnonzero(piece[: len(starts) - k + 1] == piece[k - 1 :])
+    return _Block(packed, starts, ends, piece, columns[0], columns[1], columns[2]), at
+
+
+def _deal(parts: list[tuple[np.ndarray, bytes]], k: int, bucket: int, shares: int, squeeze: zstandard.ZstdCompressor) -> pa.RecordBatch:
+    """The windows of a bucket that is too large, dealt to shares by a hash of the whole window."""
+    b, at = _joined(parts, k)
+    word, piece = b.place(at), b.piece[at]
+    share = (hashes(b.packed, b.starts[at], b.ends[at + k - 1]) % np.uint64(shares)).astype(np.int64)
+    order = np.lexsort((at, share))
+    at, word, piece, share = at[order], word[order], piece[order], share[order]
+    # neighbours that go to one share still travel as one string
+    new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (share[1:] != share[:-1]) | (piece[1:] != piece[:-1])))
+    first = np.flatnonzero(new)
+    last = np.concatenate((first[1:] - 1, [len(at) - 1]))
+    columns = np.stack((b.doc[piece[first]], b.text_hash[piece[first]], word[first], last - first + k))
+    low, high = b.starts[at[first]].tolist(), b.ends[at[last] + k - 1].tolist()
+    rows, share = [], share[first]
+    cut = np.concatenate(([0], np.flatnonzero(share[1:] != share[:-1]) + 1, [len(share)])).tolist()
+    for i, j in zip(cut, cut[1:]):
+        strings = b" ".join([b.packed[low[x] : high[x]] for x in range(i, j)])
+        blob = struct.pack("<q", j - i) + columns[:, i:j].astype("<i8").tobytes() + strings
+        rows.append((bucket, squeeze.compress(blob), int(share[i]), None, None))
+    return _rows(rows)
+
+
+def _gather(batches: Iterator[pa.RecordBatch], k: int, limit: int, shares: int) -> Iterator[pa.RecordBatch]:
     """Ranges of the windows that a smaller document has, bucket by bucket.
 
     A bucket with more than ``limit`` bytes is settled as it arrives: a window that has been
-    found behind a smaller document is done with, so only the first of equal windows wait.
+    found behind a smaller document is done with, so only the first of equal windows wait.  Where
+    those are too many as well, they and all that follow leave the bucket, window by window, for one of
+    ``shares`` shares (the row's ``doc``); equal windows have the same share.  Without
+    shares a bucket holds them all.
     """
-    inflate = zstandard.ZstdDecompressor()
-
-    def unpacked(blob):
-        raw = inflate.decompress(blob)
-        n = struct.unpack_from("<q", raw)[0]
-        return np.frombuffer(raw, "<i8", 4 * n, 8).reshape(4, n), raw[8 + 32 * n :]
+    inflate, squeeze = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
 
     def settle(parts, last):
         """The ranges found, and what later windows of the bucket must still be compared with."""
-        columns = np.concatenate([c for c, _ in parts], axis=1)
-        packed = b" ".join([s for _, s in parts])
-        starts, ends = spans(packed)
-        piece = np.repeat(np.arange(columns.shape[1]), columns[3])
-        b = _Block(packed, starts, ends, piece, columns[0], columns[1], columns[2])
-        at = np.flatnonzero(piece[: len(starts) - k + 1] == piece[k - 1 :])
-        word = b.place(at)
+        b, at = _joined(parts, k)
+        word, piece = b.place(at), b.piece[at]
         again = _repeats(b, at, k)
-        found = _ranges(again, word, word + k, b.doc[piece[at]], b.text_hash[piece[at]])
+        found = _ranges(again, word, word + k, b.doc[piece], b.text_hash[piece])
         if last:
             return found, []
         at, word = at[~again], word[~again]
-        cut = np.flatnonzero(at[1:] != at[:-1] + 1)
+        cut = np.flatnonzero((at[1:] != at[:-1] + 1) | (b.piece[at[1:]] != b.piece[at[:-1]]))
         first, final = np.concatenate(([0], cut + 1)), np.concatenate((cut, [len(at) - 1]))
-        kept = np.stack((b.doc[piece[at[first]]], b.text_hash[piece[at[first]]], word[first], final - first + k))
-        strings = [packed[i:j] for i, j in zip(starts[at[first]].tolist(), ends[at[final] + k - 1].tolist())]
+        kept = np.stack((b.doc[b.piece[at[first]]], b.text_hash[b.piece[at[first]]], word[first], final - first + k))
+        strings = [b.packed[i:j] for i, j in zip(b.starts[at[first]].tolist(), b.ends[at[final] + k - 1].tolist())]
         return found, [(kept, b" ".join(strings))]
 
     def out(rows):
         return _rows([(0, None, *r) for r in rows])
 
-    bucket, parts, size, most = None, [], 0, limit
+    bucket, parts, size, most, leaving = None, [], 0, limit, False
     for batch in batches:
         through = [r for r in zip(*(c.to_pylist() for c in batch.columns[2:])) if r[2] is not None]
         if through:
@@ -223,16 +256,28 @@ def _gather(batches: Iterator[pa.RecordBatch], k: int, limit: int) -> Iterator[p
         for number, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if blob is None:
                 continue
-            if parts and (number != bucket or size > most):
-                found, parts = settle(parts, number != bucket)
+            if parts and number != bucket and leaving:
+                yield _deal(parts, k, bucket, shares, squeeze)
+                parts = []
+            elif parts and (number != bucket or size > most):
+                found, parts = ([], parts) if leaving else settle(parts, number != bucket)
                 if found:
                     yield out(found)
                 size = sum(c.nbytes + len(s) for c, s in parts)
-                most = max(limit, 2 * size)
-            bucket = number
-            parts.append(unpacked(blob))
+                leaving = leaving or bool(shares) and size > limit // 2
+                most = limit if leaving else max(limit, 2 * size)
+                if leaving and parts:
+                    yield _deal(parts, k, bucket, shares, squeeze)
+                    parts = []
+            if number != bucket:
+                bucket, leaving, most = number, False, limit
+            if not parts:
+                size = 0
+            parts.append(_unpacked(inflate, blob))
             size += parts[-1][0].nbytes + len(parts[-1][1])
-    if parts and (found := settle(parts, True)[0]):
+    if parts and leaving:
+        yield _deal(parts, k, bucket, shares, squeeze)
+    elif parts and (found := settle(parts, True)[0]):
         yield out(found)
 
 
@@ -241,7 +286,7 @@ def repeated_ranges(docs: DataFrame, k: int = 13, share: float = 1e-4, bucket_by
 
     ``share`` is the part of all words from which on a word group is ranked last; at most
     4 / ``share`` groups are.  ``bucket_bytes`` is the amount of packed text that a task
-    sorts at once.
+    sorts at once; a bucket with more text of its own than that is dealt out once more.
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -263,7 +308,16 @@ def repeated_ranges(docs: DataFrame, k: int = 13, share: float = 1e-4, bucket_by
         .repartitionById(max(tasks, buckets // 16), F.col("bucket") % F.lit(max(tasks, buckets // 16)))
         .sortWithinPartitions("bucket")
     )
-    found = moved.mapInArrow(lambda b: _gather(b, k, 2 * bucket_bytes), "bucket int, blob binary, doc bigint, text_hash bigint, found binary")
+    rows = "bucket int, blob binary, doc bigint, text_hash bigint, found binary"
+    shares = 8 * tasks
+    found = materialised(moved.mapInArrow(lambda b: _gather(b, k, bucket_bytes, shares), rows), "gathered")
+    # what left the buckets that were too large: a share of one bucket is a bucket here
+    left = found.filter(F.col("blob").isNotNull())
+    if not left.isEmpty():
+        dealt = left.select(F.pmod(F.xxhash64("bucket", "doc"), F.lit(1 << 30)).cast("int").alias("bucket"), "blob", *(F.lit(None).cast(t).alias(n) for n, t in (("doc", "bigint"), ("text_hash", "bigint"), ("found", "binary"))))
+        dealt = dealt.repartitionById(shares, F.col("bucket") % F.lit(shares)).sortWithinPartitions("bucket")
+        again = dealt.mapInArrow(lambda b: _gather(b, k, bucket_bytes, 0), rows)
+        found = found.filter(F.col("blob").isNull()).unionByName(again)
     return found.groupBy("doc", "text_hash").agg(F.collect_set("found").alias("found"))
 
 

@@ -161,6 +161,35 @@ def test_repeated_windows(spark, k, small, monkeypatch):
     assert sorted(r.kept_sha256 for r in sha) == sorted(hashlib.sha256(r[3].encode()).hexdigest() for r in plain_repeats(rows, k))
 
 
+def test_a_bucket_with_most_windows_is_dealt_out():
+    import pyarrow as pa
+    import zstandard
+
+    rng = random.Random(10)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(400)) for _ in range(40)]
+    texts += texts[:5]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text_hash": i, "text": t} for i, t in enumerate(texts)])
+    rare = np.zeros(0, np.uint64)
+    whole = pa.Table.from_batches(substrings._scatter([batch], 13, rare, 1)).to_batches()
+    parts = [b.slice(i, 1) for b in whole for i in range(b.num_rows)]
+    # many small blobs of one bucket, as from many blocks
+    small = [x for i, t in enumerate(texts) for x in substrings._scatter([pa.RecordBatch.from_pylist([{"doc_id": i, "text_hash": i, "text": t}])], 13, rare, 1)]
+    limit, shares = 6000, 4
+    rows = [r for b in substrings._gather(iter(small), 13, limit, shares) for r in b.to_pylist()]
+    dealt = [r for r in rows if r["blob"] is not None]
+    inflate = zstandard.ZstdDecompressor()
+    assert {r["doc"] for r in dealt} == set(range(shares))
+    assert max(len(inflate.decompress(r["blob"])) for r in dealt) < 40 * limit
+    again = [pa.RecordBatch.from_pylist([{**r, "bucket": r["doc"], "doc": None} for r in sorted(dealt, key=lambda r: r["doc"])], schema=substrings._ROW)]
+    rows = [r for r in rows if r["found"] is not None] + [r for b in substrings._gather(iter(again), 13, limit, 0) for r in b.to_pylist()]
+
+    def words(found):
+        return {(r["doc"], i) for r in found for a, z in np.frombuffer(r["found"], "<i8").reshape(-1, 2).tolist() for i in range(a, z)}
+
+    want = [r for b in substrings._gather(iter(parts), 13, 1 << 30, 0) for r in b.to_pylist()]
+    assert words(rows) == words(want) and len(words(want)) == 5 * 400
+
+
 def test_pieces_of_a_long_text_cover_every_window(monkeypatch):
     import pyarrow as pa
 
