@@ -238,6 +238,13 @@ def quote_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.quote_page(_order_quotes(spark, sf_dir), page=40, page_size=100)[0]
 
 
+def quote_page_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deep page of one source, found with the sketches that were stored beside the quotes."""
+    quotes, path = _order_quotes(spark, sf_dir), scratch_path(spark, "sketch")
+    reads.page_sketch(quotes).write.parquet(path)
+    return reads.quote_page(quotes, page=25, page_size=100, source="1-URGENT", sketch=spark.read.parquet(path))[0]
+
+
 def quote_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page after the last row of the fifth."""
     quotes = _order_quotes(spark, sf_dir)
@@ -425,6 +432,7 @@ QUERIES = {
     "drift_documents": drift_documents,
     "quote_page": quote_page,
     "quote_page_deep": quote_page_deep,
+    "quote_page_sketched": quote_page_sketched,
     "quote_page_after": quote_page_after,
     "quote_page_source": quote_page_source,
     "quote_page_symbol": quote_page_symbol,
@@ -451,6 +459,7 @@ ORACLE = {
     "drift_documents": DRIFT_DOCUMENTS,
     "quote_page": _ORDER_QUOTES + _PAGE.format(n=100, k=200),
     "quote_page_deep": _ORDER_QUOTES + _PAGE.format(n=100, k=3900),
+    "quote_page_sketched": _ORDER_QUOTES + "WHERE o_orderpriority = '1-URGENT' " + _PAGE.format(n=100, k=2400),
     "quote_page_after": _ORDER_QUOTES + _PAGE.format(n=100, k=500),
     "quote_page_source": _ORDER_QUOTES + "WHERE o_orderpriority = '1-URGENT' " + _PAGE.format(n=20, k=20),
     "quote_page_symbol": _ORDER_QUOTES + "WHERE o_orderstatus = 'F' " + _PAGE.format(n=50, k=0),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotelake.operators.paging import Key, offset_page, page_after
+from quotelake.operators.paging import Key, offset_page, order_sketch, page_after
 from quotelake.schemas import NEVER_RUN, QUOTE_COLUMNS, RUN_COLUMNS
 from quotelake.session import local_rows
 from quotelake.specs import SOURCES
@@ -49,14 +49,25 @@ def quote_page(
     page_size: int = PAGE_SIZE,
     source: str | None = None,
     symbol: str | None = None,
+    sketch: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """One page, latest update first, and the one-row total before paging."""
+    """One page, latest update first, and the one-row total before paging.
+
+    ``sketch``, a stored :func:`page_sketch`, saves a deep page a pass, unless a symbol is asked for.
+    """
     check_bounds(page=(page, 1, None), page_size=(page_size, 1, MAX_PAGE_SIZE))
     matching = quote_filter(quotes, source, symbol)
-    rows = offset_page(_shown(matching), PAGE_ORDER, (page - 1) * page_size, page_size)
+    if sketch is not None:
+        sketch = None if symbol else quote_filter(sketch, source)
+    rows = offset_page(_shown(matching), PAGE_ORDER, (page - 1) * page_size, page_size, sketch)
     return rows, matching.agg(F.count("*").alias("total"))
 
 
+def page_sketch(quotes: DataFrame) -> DataFrame:
+    """Per source a quantile sketch of the page order, to be stored beside the quotes."""
+    return order_sketch(quotes, PAGE_ORDER, "source")
+
+
 def quote_page_after(
     quotes: DataFrame,
     last: Mapping[str, Any],

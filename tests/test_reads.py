@@ -80,6 +80,50 @@ def test_deep_pages_among_rows_without_time(spark, monkeypatch):
     assert [r.coin_id for r in page.collect()] == [f"c{i:03}" for i in range(200, 300)]
 
 
+PAGE_CASES = {
+    "one time": [(f"c{i:05}", "xyz"[i % 3], T0) for i in range(900)],
+    "long names alike": [("the same long beginning of all names " + "é" * (i % 4) + f"{i * 7919 % 900:04}", "x", T0) for i in range(900)],
+    "names that end in zero bytes": [("a" + "\0" * (i % 5), "x", T0) for i in range(300)],
+    "one time of most": [(f"c{i}", "xy"[i % 2], None if i < 200 else T0 if i < 800 else T0 + timedelta(days=i)) for i in range(900)],
+    "equal rows": [("c", "x", T0)] * 500,
+    "empty and short names": [("" if i % 3 == 0 else "ab"[i % 2] * (i % 11), "x", T0) for i in range(400)],
+    "times before 1970": [(f"c{i}", "x", datetime(1969, 12, 31, tzinfo=timezone.utc) - timedelta(microseconds=i * 37)) for i in range(600)],
+    "none": [],
+}
+
+
+@pytest.mark.parametrize("case", PAGE_CASES)
+def test_deep_pages_in_any_order_of_rows(spark, monkeypatch, case):
+    made = PAGE_CASES[case]
+    df = quotes(spark, [(c, "n", "S", 1.0, s, at) for c, s, at in made]).repartition(3)
+    order = sorted(made, key=lambda r: (r[2] is not None, -(r[2] - T0).total_seconds() if r[2] else 0, r[1], r[0].encode()))
+    for top, place in ((0, len(made) // 2), (60, len(made) // 2), (60, max(0, len(made) - 3)), (60, len(made))):
+        monkeypatch.setattr(paging, "TOPK_ROWS", top)
+        got = paging.offset_page(df, reads.PAGE_ORDER, place, 20).collect()
+        assert [(r.coin_id, r.source, r.updated_at and r.updated_at.timestamp()) for r in got] == [
+            (c, s, at and at.timestamp()) for c, s, at in order[place : place + 20]
+        ]
+
+
+def test_deep_page_with_a_sketch_of_other_rows(spark, monkeypatch):
+    monkeypatch.setattr(paging, "TOPK_ROWS", 30)
+    rows = [(f"c{i:04}", "n", "S", 1.0, "x", T0 + timedelta(minutes=i)) for i in range(1000)]
+    df = quotes(spark, rows)
+    want = [f"c{i:04}" for i in range(479, 459, -1)]
+    old = reads.page_sketch(quotes(spark, [(c, n, y, p, s, at - timedelta(days=9)) for c, n, y, p, s, at in rows]))
+    for sketch in (reads.page_sketch(df), reads.page_sketch(df.limit(10)), old, reads.page_sketch(df.limit(0))):
+        assert [r.coin_id for r in reads.quote_page(df, 27, 20, sketch=sketch)[0].collect()] == want
+
+
+def test_a_deep_page_takes_three_passes(spark, monkeypatch):
+    df = quotes(spark, [(f"c{i}", "n", "S", 1.0, "x", T0 + timedelta(seconds=i)) for i in range(50_000)])
+    asked, real = [], type(df).first
+    monkeypatch.setattr(type(df), "first", lambda self: asked.append(self) or real(self))
+    rows = reads.quote_page(df, 300, 100)[0].collect()
+    assert [r.coin_id for r in rows] == [f"c{i}" for i in range(49_999 - 29_900, 49_999 - 30_000, -1)]
+    assert len(asked) == 3  # the sketch, its quantiles (without a job), the count; then the page
+
+
 def run_rows(spark, rows):
     made = [(f"run-{i}", s, st, 100 + i, 0, sec, None, "{}", T0 + timedelta(hours=i), done) for i, (s, st, sec, done) in enumerate(rows)]
     return spark.createDataFrame(made, RUN_SCHEMA)
