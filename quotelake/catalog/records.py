@@ -400,11 +400,11 @@ def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cell = F.when(F.col("c_custkey") % 100 == 0, F.repeat(F.lit('""'), 10_000)).otherwise(F.col("c_name"))
     extra = F.when(F.col("c_custkey") % 3 == 0, ",more").otherwise("")
     line = F.concat(F.col("c_custkey").cast("string"), F.lit(',"'), cell, F.lit('"'), extra)
-    # one header per file: the lines are written below it as one text
-    rows = table(spark, sf_dir, "customer").groupBy((F.col("c_custkey") % 8).alias("f")).agg(F.array_join(F.collect_list(line), "\n").alias("t"))
-    rows.select(F.concat(F.lit("id,name\n"), "t")).repartition(8).write.text(path)
-    whole = scan_csv(spark, path).filter(F.col("id") != "id")
-    one = scan_csv(spark, path).filter(F.col("id") != "id").select(F.col("id").alias("other"), F.col("malformed").alias("alone"))
+    # written as lines, so the separator and quotes are theirs; every file begins with the header
+    lines = table(spark, sf_dir, "customer").select(line.alias("id,name")).repartition(8)
+    lines.write.csv(path, header=True, sep="\u0001", quote="", emptyValue="")
+    whole = scan_csv(spark, path)
+    one = scan_csv(spark, path).select(F.col("id").alias("other"), F.col("malformed").alias("alone"))
     return whole.join(one, F.col("id") == F.col("other")).select(F.col("id").cast("bigint").alias("id"), F.length("name").cast("bigint").alias("n"), "malformed", "alone")
 
 
