@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -274,7 +276,7 @@ def _land_parts(spark: SparkSession, sf_dir: str, root: str) -> str:
     return f"{root}/parts"
 
 
-def _loaded(spark: SparkSession, sf_dir: str, loads: int = 1) -> Lake:
+def _loaded(spark: SparkSession, sf_dir: str, loads: int = 1, at_once: int = 1) -> Lake:
     root = scratch_path(spark, "lake")
     inputs = {
         TICKER.name: _land_customers(spark, sf_dir, root),
@@ -283,7 +285,7 @@ def _loaded(spark: SparkSession, sf_dir: str, loads: int = 1) -> Lake:
     }
     lake = Lake(spark, f"{root}/lake")
     for _ in range(loads):
-        for result in run_all(lake, inputs, attempts=1):
+        for result in run_all(lake, inputs, attempts=1, at_once=at_once):
             if result.error:
                 raise RuntimeError(f"{result.source}: {result.error}")
     return lake
@@ -311,6 +313,31 @@ FROM part WHERE p_size <= 45
 """
 
 
+def load_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of all sources at once: rows of the raw histories, the unified table and its defaults."""
+    lake = _loaded(spark, sf_dir, loads=2, at_once=3)
+    raw = functools.reduce(
+        DataFrame.unionByName,
+        (lake.raw(spec).agg(F.lit(spec.name).alias("source"), F.count("*").alias("raw_rows"), F.countDistinct("id").alias("raw_ids")) for spec in (TICKER, MARKET, CSV)),
+    )
+    stamped = F.col("id").isNotNull() & (F.col("created_at") < F.col("updated_at"))
+    unified = lake.unified.read().groupBy("source").agg(
+        F.count("*").alias("unified_rows"), F.count_if(stamped).alias("stamped_rows"), F.sum("price_usd").cast("decimal(20,2)").cast("double").alias("price_sum")
+    )
+    return raw.join(unified, "source").join(control.runs(lake).groupBy(F.col("source_name").alias("source")).agg(F.count_if(F.col("status") == "success").alias("runs")), "source")
+
+
+LOAD_SIDE_BY_SIDE = """
+WITH u AS (
+  SELECT 'coinpaprika' AS source, c_acctbal AS price FROM customer WHERE c_nationkey >= 5 AND c_nationkey < 20
+  UNION ALL SELECT 'coingecko', s_acctbal FROM supplier
+  UNION ALL SELECT 'csv', p_retailprice FROM part WHERE p_size <= 45)
+SELECT source, 2 * count(*) AS raw_rows, 2 * count(*) AS raw_ids, count(*) AS unified_rows, count(*) AS stamped_rows,
+  CAST(CAST(sum(price) AS DECIMAL(20,2)) AS DOUBLE) AS price_sum, 2::BIGINT AS runs
+FROM u GROUP BY source
+"""
+
+
 def load_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of all sources as the statistics report shows them."""
     lake = _loaded(spark, sf_dir, loads=2)
@@ -405,18 +432,18 @@ FROM supplier
 
 
 def top_n_per_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three largest of each landed listing, one listing file per nation."""
+    """The three largest of each landed listing, one listing file per nation and range of keys."""
     path = scratch_path(spark, "listings")
     record = F.struct(F.concat(F.lit("s"), "s_suppkey").alias("id"), F.col("s_acctbal").alias("market_cap"))
-    lists = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.to_json(F.collect_list(record)).alias("value"))
-    lists.write.partitionBy("s_nationkey").text(path)
+    lists = table(spark, sf_dir, "supplier").groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 5000).alias("range"))
+    lists.agg(F.to_json(F.collect_list(record)).alias("value")).write.partitionBy("s_nationkey", "range").text(path)
     top = market_top_records(scan_json(spark, path, "json_array"), n=3)
     return top.select(F.expr("variant_get(record, '$.id', 'string')").alias("id"))
 
 
 TOP_N_PER_LISTING = """
 SELECT concat('s', s_suppkey) AS id FROM supplier
-QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, '"s' || s_suppkey || '"') <= 3
+QUALIFY row_number() OVER (PARTITION BY s_nationkey, s_suppkey // 5000 ORDER BY s_acctbal DESC, '"s' || s_suppkey || '"') <= 3
 """
 
 
@@ -610,6 +637,7 @@ QUERIES = {
     "keyed_table_upsert": keyed_table_upsert,
     "stream_upsert": stream_upsert,
     "load_all_sources": load_all_sources,
+    "load_side_by_side": load_side_by_side,
     "load_statistics": load_statistics,
     "checkpoint_after_load": checkpoint_after_load,
     "raw_append_counts": raw_append_counts,
@@ -635,6 +663,7 @@ ORACLE = {
     "keyed_table_upsert": KEYED_TABLE_UPSERT,
     "stream_upsert": KEYED_TABLE_UPSERT,
     "load_all_sources": LOAD_ALL_SOURCES,
+    "load_side_by_side": LOAD_SIDE_BY_SIDE,
     "load_statistics": LOAD_STATISTICS,
     "checkpoint_after_load": CHECKPOINT_AFTER_LOAD,
     "raw_append_counts": RAW_APPEND_COUNTS,

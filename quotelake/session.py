@@ -35,6 +35,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
         .config("spark.sql.variant.allowDuplicateKeys", "true")  # the last one wins
+        .config("spark.scheduler.mode", "FAIR")  # for sources that are loaded side by side
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -91,6 +92,15 @@ def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
+def sibling(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the same settings, which are its own from then on."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 def local_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A handful of driver-side rows as a local relation, without starting Python workers."""
     arrow = to_arrow_schema(schema)

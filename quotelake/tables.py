@@ -1,11 +1,13 @@
 """Tables on plain Parquet: append-only logs and a bucketed table with one row per key.
 
-One writer per table is assumed, as one job loads the sources in turn.
+One job writes a lake at a time.  It may load several sources side by side: each has its own
+directories, and the control logs take one writer after the other.
 """
 
 from __future__ import annotations
 
 import hashlib
+import threading
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -33,13 +35,15 @@ class LogTable:
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.schema = spark, path, schema
+        self.lock = threading.Lock()  # appends to one folder share Spark's folder for unfinished files
 
     def create(self) -> None:
         """Create the table if it is absent."""
         local_rows(self.spark, [], self.schema).write.mode("ignore").parquet(self.path)
 
     def append(self, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.path)
+        with self.lock:
+            rows.write.mode("append").parquet(self.path)
 
     def append_rows(self, rows: list[tuple]) -> None:
         """Append a handful of driver-side control rows as one file."""
@@ -102,6 +106,10 @@ class KeyedTable:
             self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
         return self.name
 
+    def refresh(self) -> None:
+        """See what another session of this application has written."""
+        self.spark.catalog.refreshTable(self._table())
+
     def read(self, group: str | None = None) -> DataFrame:
         """The rows, or those of one group.  A filter on the group column prunes directories."""
         rows = self.spark.read.table(self._table()).select(*self.schema.names)
@@ -146,6 +154,14 @@ class Lake:
         self.checkpoints = LogTable(spark, f"{self.root}/etl_checkpoint", schemas.CHECKPOINT_SCHEMA)
         self.drift = LogTable(spark, f"{self.root}/schema_drift", schemas.DRIFT_SCHEMA)
 
+    def beside(self, spark: SparkSession) -> Lake:
+        """The same lake for another session of this application, to be used at the same time."""
+        other = Lake(spark, self.root)
+        other.unified.buckets = self.unified.buckets
+        for name in ("runs", "checkpoints", "drift"):
+            getattr(other, name).lock = getattr(self, name).lock
+        return other
+
     def create_tables(self) -> None:
         for table in (self.unified, self.runs, self.checkpoints, self.drift):
             table.create()

@@ -96,6 +96,30 @@ def test_failing_source_stops_no_other(spark, lake, tmp_path):
     assert health == {"coinpaprika": "success", "coingecko": "failure", "csv": "success"}
 
 
+def test_sources_side_by_side_give_the_rows_of_sources_in_turn(spark, lake, tmp_path):
+    inputs = landed(tmp_path)
+    other = Lake(spark, str(tmp_path / "beside"))
+    for _ in range(2):
+        in_turn = run_all(lake, inputs, attempts=1, drift="summary")
+        beside = run_all(other, inputs, attempts=1, drift="summary", at_once=3)
+        assert [(r.source, r.status, r.processed, r.failed) for r in in_turn] == [(r.source, r.status, r.processed, r.failed) for r in beside]
+    columns = [c for c in lake.unified.schema.names if not c.endswith("_at")]
+    rows = [sorted(map(repr, x.unified.read().select(*columns).collect())) for x in (lake, other)]
+    assert rows[0] == rows[1] and rows[0]
+    for name in ("runs", "checkpoints", "drift"):
+        assert getattr(lake, name).read().count() == getattr(other, name).read().count() > 0
+    assert [lake.raw(s).count() for s in (TICKER, MARKET, CSV)] == [other.raw(s).count() for s in (TICKER, MARKET, CSV)]
+
+
+def test_a_failing_source_stops_none_beside_it(spark, lake, tmp_path):
+    inputs = {**landed(tmp_path), MARKET.name: str(tmp_path / "missing")}
+    results = {r.source: r.status for r in run_all(lake, inputs, attempts=1, at_once=2)}
+    assert results == {"coinpaprika": "success", "coingecko": "failed", "csv": "success"}
+    assert {r.source for r in lake.unified.read().select("source").distinct().collect()} == {"coinpaprika", "csv"}
+    with pytest.raises(ValueError):
+        run_all(lake, inputs, at_once=0)
+
+
 def test_run_source_reraises(spark, lake):
     with pytest.raises(ZeroDivisionError):
         run_source(lake, CSV, lambda: 1 / 0, attempts=1)
