@@ -4,7 +4,7 @@ Token shares are raised to an exponent between 0 (all sources alike) and 1 (as t
 the largest that reaches a target entropy, or the smallest that keeps repetition within a limit.  The weights are
 realised in whole passes over a source and one partial pass: documents are dealt to
 blocks by a keyed hash, whole blocks are taken in order until the budget is met, and the
-last block is cut inside.  So a source is never sorted as a whole.
+last block is cut inside.  So neither a source nor its blocks are sorted as a whole.
 """
 
 from __future__ import annotations
@@ -82,6 +82,30 @@ def _key(seed: int, part: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), part, F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("source", F.lit(""))))
 
 
+def _cut_blocks(keyed: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per source the last block of which something is in the partial pass, and the tokens before it.
+
+    Found digit by digit: sums of every prefix are made at once, and each of them is only set
+    against the 15 others that differ in its last digit.  So no task holds a source's blocks.
+    """
+    blocks = keyed.groupBy("s", "block").agg(F.sum("n_words").alias("n"))
+    prefixes = blocks.select("s", "n", "block", F.explode(F.expr("sequence(1, length(block))")).alias("level"))
+    prefixes = prefixes.select("s", "level", F.expr("substr(block, 1, level - 1)").alias("parent"), F.expr("substr(block, 1, level)").alias("prefix"), "n")
+    sums = prefixes.groupBy("s", "level", "parent", "prefix").agg(F.sum("n").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("s", "parent").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1))
+    sums = materialised(sums.select(F.col("s").alias("t"), "level", "parent", "prefix", F.coalesce(ahead, F.lit(0)).alias("ahead")), "mix-sums")
+    deepest = plan.agg(F.max("digits")).first()[0] or 0
+    found = plan.filter("rest > 0").select("s", "rest", "digits", F.lit("").alias("block"), F.lit(0).cast("bigint").alias("before"))
+    for level in range(1, deepest + 1):
+        step = sums.filter(F.col("level") == level)
+        # a source of fewer digits meets nothing and stays as it is
+        met = found.join(step, F.col("s").eqNullSafe(F.col("t")) & (F.col("block") == F.col("parent")), "left")
+        met = met.select("s", "rest", "digits", F.coalesce("prefix", "block").alias("block"), (F.col("before") + F.coalesce("ahead", F.lit(0))).alias("before"))
+        met = met.filter("before < rest").groupBy("s", "rest", "digits")
+        found = met.agg(F.max("block").alias("last"), F.max_by("before", "block").alias("before")).withColumnRenamed("last", "block")
+    return found.select("s", "block", "before")
+
+
 def _plan(docs: DataFrame, mix: Mix, seed: int) -> DataFrame:
     """Per source: passes, tokens of the partial pass, and the key up to which documents are in it."""
     spark = docs.sparkSession
@@ -102,11 +126,9 @@ def _plan(docs: DataFrame, mix: Mix, seed: int) -> DataFrame:
     plan = local_rows(spark, rows, schema)
     keyed = measured.join(plan, F.col("source").eqNullSafe(F.col("s"))).withColumn("key", _key(seed, F.col("whole").cast("string")))
     keyed = keyed.withColumn("block", F.expr("substr(key, 1, digits)")).select("s", "key", "block", "rest", "n_words")
-    blocks = keyed.groupBy("s", "block", "rest").agg(F.sum("n_words").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("s").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    # the last block of which something is in the partial pass
-    cut = blocks.withColumn("before", F.coalesce(before, F.lit(0))).filter("before < rest").groupBy("s").agg(F.max("block").alias("block"), F.max_by("before", "block").alias("before"))
-    inside = keyed.join(cut.withColumnRenamed("s", "t"), F.col("s").eqNullSafe(F.col("t")) & (keyed["block"] == cut["block"])).select("s", "key", "rest", "before", "n_words")
+    cut = _cut_blocks(keyed, plan)
+    cut = cut.withColumnsRenamed({"s": "t", "block": "last_block"})
+    inside = keyed.join(cut, F.col("s").eqNullSafe(F.col("t")) & (F.col("block") == F.col("last_block"))).select("s", "key", "rest", "before", "n_words")
     inside = inside.groupBy("s", "key", "rest", "before").agg(F.sum("n_words").alias("n"))
     ahead = F.sum("n").over(Window.partitionBy("s").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
     last = inside.withColumn("ahead", F.col("before") + F.coalesce(ahead, F.lit(0))).filter("ahead < rest").groupBy("s").agg(F.max("key").alias("last"))

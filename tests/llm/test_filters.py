@@ -161,6 +161,19 @@ def test_hosts_that_differ_are_told_apart(spark):
     assert all((r.rate > 0.5) == (int(h[1:]) % 5 == 0) for h, r in got.items() if r.n >= 12)
 
 
+def test_blocks_of_any_size_give_the_same_mix(spark, monkeypatch):
+    """Sources of 1 to 600 documents, null, repeated rows and empty texts, cut in blocks of one document to all."""
+    sizes = {"a": 600, "b": 70, "c": 1, None: 40}
+    rows = [(i, " ".join(["w"] * (i % 13)), None, source) for source, n in sizes.items() for i in range(n)] + [(7, "w w w", None, "b")] * 5
+    docs, found = frame(spark, rows), []
+    for size in (1, 3, 40, 4096):
+        monkeypatch.setattr(mixing, "BLOCK_DOCS", size)
+        for mix in (mixing.Mix(repetition=1.5), mixing.Mix(entropy=1.2, budget=2500)):
+            found.append(sorted(map(repr, mixing.mixed(docs, mix).collect())))
+    assert found[0] == found[2] == found[4] == found[6] and found[1] == found[3] == found[5] == found[7]
+    assert found[0] != found[1] and len(found[0]) >= len([r for r in rows if r[1]])
+
+
 def test_mixing_meets_its_limits(spark):
     rng = random.Random(4)
     rows = [(i, "w " * rng.randint(1, 30), None, "big" if i % 3 else ("small" if i % 2 else None)) for i in range(600)]
