@@ -290,7 +290,7 @@ def test_raw_rows_lie_by_day_and_reads_open_later_days_only(spark, lake, tmp_pat
     rows = lake.raw_since(CSV, days[1])
     assert [r.batch_id for r in rows.collect()] == ["b2"]
     with settings(spark, {"spark.sql.maxMetadataStringLength": "10000"}):  # else filters are cut where column numbers are long
-        plan = rows._jdf.queryExecution().executedPlan().toString()
+        plan = lake.raw_since(CSV, days[1])._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*ingest_date#\d+ >= 20", plan), plan
 
 
