@@ -9,7 +9,7 @@ from quotelake.catalog import table
 from quotelake.functions import coerce
 from quotelake.operators.unify import meets_contract, unify, union_all
 from quotelake.operators.validate import REASONS, accepted, record_counts, validate
-from quotelake.session import scratch_path
+from quotelake.session import scratch_path, sibling
 from quotelake.sources import listing
 from quotelake.sources.csv_files import scan_csv
 from quotelake.sources.json_files import scan_json
@@ -319,6 +319,43 @@ FROM customer
 """
 
 
+SPLIT_BYTES = 64 << 10
+
+
+def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as array files of at most 500 records, read in splits far smaller than a file.
+
+    Texts carry brackets, quotes and escapes; nested values carry commas between braces.
+    """
+    path = scratch_path(spark, "split_pages")
+    page = F.floor(F.col("doc_id") / PAGE_ROWS)
+    odd = F.concat(F.lit('}],[{"\\'), "lang", F.lit('\\"},{'))
+    nested = F.struct(odd.alias("},{"), F.array("n_chars").alias("]"))
+    (
+        table(spark, sf_dir, "documents")
+        .groupBy(page.alias("page"))  # a page is bounded by its key range
+        .agg(F.to_json(F.sort_array(F.collect_list(F.struct("doc_id", "text", nested.alias("more"))))).alias("value"))
+        .write.partitionBy("page")
+        .text(path)
+    )
+    reader = sibling(spark)  # the split size is a setting of a session
+    reader.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
+    field = listing.variant_field
+    return scan_json(reader, path, "json_array_split").select(
+        F.try_variant_get(field("record", "doc_id"), "$", "bigint").alias("doc_id"),
+        F.md5(coerce.json_to_string(field("record", "text")).cast("binary")).alias("text_md5"),
+        F.try_variant_get("record", "$.more['},{']", "string").alias("odd"),
+        F.try_variant_get("record", "$.more[']'][0]", "bigint").alias("n_chars"),
+        "malformed",
+    )
+
+
+JSON_ARRAY_SPLIT = """
+SELECT doc_id, md5(text) AS text_md5, '}],[{"\\' || lang || '\\"},{' AS odd, n_chars, FALSE AS malformed
+FROM documents
+"""
+
+
 def active_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as listed entities: the nation decides whether the flag is there and true."""
     flag = F.expr(
@@ -426,6 +463,7 @@ QUERIES = {
     "csv_malformed": csv_malformed,
     "json_lines_scan": json_lines_scan,
     "json_array_scan": json_array_scan,
+    "json_array_split": json_array_split,
     "active_first_n": active_first_n,
     "list_detail_join": list_detail_join,
     "nested_flatten": nested_flatten,
@@ -443,6 +481,7 @@ ORACLE = {
     "csv_malformed": CSV_MALFORMED,
     "json_lines_scan": JSON_LINES_SCAN,
     "json_array_scan": JSON_ARRAY_SCAN,
+    "json_array_split": JSON_ARRAY_SPLIT,
     "active_first_n": ACTIVE_FIRST_N,
     "list_detail_join": LIST_DETAIL_JOIN,
     "nested_flatten": NESTED_FLATTEN,

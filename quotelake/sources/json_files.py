@@ -1,4 +1,4 @@
-"""JSON scans: files holding one array of records, and files with one record per line.
+"""JSON scans: files holding one array of records, whole or in splits, and files with one record per line.
 
 Spark's JSON reader parses each value once, straight into a VARIANT column, which keeps
 the difference between an absent field and an explicit null.
@@ -6,9 +6,11 @@ the difference between an absent field and an explicit null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
+from quotelake.sources.json_arrays import PIECE_END, SPLIT_LAYOUT, split_array_records
 from quotelake.sources.order import FILE_COLUMNS, with_file_columns, with_row_order
 
 CORRUPT = "_corrupt_record"
@@ -16,8 +18,8 @@ JSON_SCHEMA = f"record variant, {CORRUPT} string"
 
 
 def json_reader_options(layout: str) -> dict[str, str]:
-    """An array file is one answer page and is parsed as a whole, so land many pages or use
-    ``ndjson``, whose files are split among tasks."""
+    """An array file is one answer page and is parsed as a whole, so land many pages, or use
+    ``ndjson`` or ``json_array_split``, whose files are split among tasks."""
     return {
         "singleVariantColumn": "record",
         "columnNameOfCorruptRecord": CORRUPT,
@@ -26,10 +28,15 @@ def json_reader_options(layout: str) -> dict[str, str]:
     }
 
 
+def open_json(reader: DataFrameReader | DataStreamReader, path: str, layout: str) -> DataFrame:
+    """Files as values, lines or pieces, for a batch or a stream; :func:`json_records` makes records of them."""
+    if layout == SPLIT_LAYOUT:
+        return with_file_columns(reader.option("lineSep", PIECE_END).text(path))
+    return with_file_columns(reader.schema(JSON_SCHEMA).options(**json_reader_options(layout)).json(path))
+
+
 def read_json(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    return with_file_columns(
-        spark.read.schema(JSON_SCHEMA).options(**json_reader_options(layout)).json(path)
-    )
+    return open_json(spark.read, path, layout)
 
 
 def array_records(pages: DataFrame) -> DataFrame:
@@ -60,6 +67,8 @@ def line_records(lines: DataFrame) -> DataFrame:
 
 
 def json_records(read: DataFrame, layout: str) -> DataFrame:
+    if layout == SPLIT_LAYOUT:
+        return split_array_records(read)
     return array_records(read) if layout == "json_array" else line_records(read)
 
 

@@ -35,7 +35,7 @@ class SourceSpec:
 
     name: str
     fields: tuple[FieldSpec, ...]
-    layout: str  # csv | json_array | ndjson
+    layout: str  # csv | json_array | json_array_split | ndjson
     update_columns: tuple[str, ...]
     nested_quotes: bool = False
     limit: int | None = None  # records taken per load: first N listed, or top N by market cap

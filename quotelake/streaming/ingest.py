@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from quotelake.operators.upsert import UpsertPolicy
 from quotelake.plans.pipeline import run_source, source_records, utc_now
 from quotelake.sources.csv_files import CORRUPT, csv_reader_options, csv_records
-from quotelake.sources.json_files import JSON_SCHEMA, json_reader_options, json_records
+from quotelake.sources.json_files import json_records, open_json
 from quotelake.sources.order import with_file_columns
 from quotelake.specs import SourceSpec
 from quotelake.tables import KeyedTable, Lake
@@ -40,10 +40,8 @@ def stream_files(
         names = columns or tuple(f.name for f in spec.fields)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
         options = csv_reader_options(spec.multi_line)
-        frame = reader.schema(schema).options(**options).csv(path)
-    else:
-        frame = reader.schema(JSON_SCHEMA).options(**json_reader_options(spec.layout)).json(path)
-    return with_file_columns(frame)
+        return with_file_columns(reader.schema(schema).options(**options).csv(path))
+    return open_json(reader, path, spec.layout)
 
 
 def batch_records(batch: DataFrame, spec: SourceSpec, listing_path: str | None = None) -> DataFrame:

@@ -1,11 +1,13 @@
 """Scans of landed CSV and JSON files and the listing operators."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from quotelake.functions.coerce import json_to_string
+from quotelake.session import settings
 from quotelake.sources import csv_files, listing
 from quotelake.sources.json_files import scan_json
 
@@ -97,6 +99,82 @@ def test_json_array_keeps_order_and_bad_pages(spark, tmp_path):
     assert df.filter("malformed").count() == 2
 
 
+ODD = ['"', "\\", '\\"', "}", "{", "[", "]", ",", "},{", "]}", "\n", "é", "日本", "a", ""]
+
+
+def any_value(dice, depth=0):
+    kind = dice.randrange(8 if depth < 3 else 4)
+    if kind < 2:
+        return "".join(dice.choices(ODD, k=dice.randrange(6)))
+    if kind < 4:
+        return dice.choice([None, True, 12, -3.5])
+    if kind == 4:
+        return [any_value(dice, depth + 1) for _ in range(dice.randrange(4))]
+    return {f"{k}{dice.choice(ODD)}": any_value(dice, depth + 1) for k in range(dice.randrange(4))}
+
+
+def split_rows(spark, path, size):
+    """Records in order, read in splits of ``size`` bytes."""
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(size)}):
+        df = scan_json(spark, path, "json_array_split")
+        return df.select("ord.file_path", "ord.file_block", F.to_json("payload"), "malformed", "ord").orderBy("ord").collect()
+
+
+@pytest.mark.parametrize("size", [11, 64, 1 << 20])
+def test_split_arrays_equal_whole_ones(spark, tmp_path, size):
+    dice, want = random.Random(size), []
+    for n in range(12):
+        values = [any_value(dice) for _ in range(dice.randrange(12))]
+        text = json.dumps(values, indent=dice.choice([None, 2]), ensure_ascii=dice.random() < 0.5)
+        write(tmp_path / "p" / f"{n:02}.json", dice.choice(["", " \n", "\ufeff"]) + text + dice.choice(["", "\n"]))
+        want.append(values)
+    rows = split_rows(spark, str(tmp_path / "p"), size)
+    assert not any(r.malformed for r in rows)
+    got = [[json.loads(r[2]) for r in rows if r.file_path.endswith(f"/{n:02}.json")] for n in range(12)]
+    assert got == want
+    if size == 11:
+        assert len({(r.file_path, r.file_block) for r in rows}) > 30
+
+
+@pytest.mark.parametrize("size", [5, 1 << 20])
+def test_split_arrays_that_are_damaged(spark, tmp_path, size):
+    texts = {
+        "empty": ("", []),
+        "none": ("[]", []),
+        "blank": (" ", [(" ", True)]),
+        "bad_record": ('[{"a":1},{"b":tru},{"c":3}]', [({"a": 1}, False), (',{"b":tru}', True), ({"c": 3}, False)]),
+        "no_comma": ('[{"a":1}{"b":2}]', [({"a": 1}, False), ('{"b":2}', True)]),
+        "two_commas": ('[{"a":1},,{"b":2}]', [({"a": 1}, False), (',,{"b":2}', True)]),
+        "last_comma": ('[{"a":1},]', [({"a": 1}, False), (",]", True)]),
+        "numbers": ('[1,2,{"a":3},4]', [(1, False), (2, False), ({"a": 3}, False), (4, False)]),
+        "wrong_bracket": ('[{"a":[1}],{"b":2}]', None),
+        "unclosed": ('[{"a":1},{"b":2}', [('[{"a":1}', True), (',{"b":2', True)]),
+        "in_string": ('[{"a":1},{"b":"2}]', None),
+        "object": ('{"a":[{"b":1},{"c":2}]}', None),
+        "two_arrays": ('[{"a":1}][{"b":2}]', [({"a": 1}, False), ('][{"b":2}', True)]),
+    }
+    for name, (text, _) in texts.items():
+        write(tmp_path / "p" / f"{name}.json", text)
+    rows = split_rows(spark, str(tmp_path / "p"), size)
+    for name, (_, want) in texts.items():
+        got = [(json.loads(r[2]), r.malformed) for r in rows if r.file_path.endswith(f"/{name}.json")]
+        if want is None:
+            assert got and all(bad for _, bad in got), name
+        else:
+            assert got == want, name
+
+
+def test_split_arrays_read_once(spark, tmp_path):
+    path = write(tmp_path / "a.json", json.dumps([{"id": i} for i in range(3000)]))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "1000"}):
+        df = scan_json(spark, path, "json_array_split")
+        assert df.count() == 3000
+        df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert "ReusedExchange" in final and final.count("FileScan text") == 1
+
+
 def test_json_lines(spark, tmp_path):
     path = write(tmp_path / "a.json", '{"id":"a","x":null}\n\n   \nnot json\n{"id":"b"}\n')
     df = scan_json(spark, path, "ndjson").orderBy("ord")
