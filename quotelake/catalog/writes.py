@@ -515,6 +515,36 @@ FROM supplier, (VALUES (1), (2)) AS loads(n)
 """
 
 
+def raw_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw history of the ticker source after two loads, with the times that a load fills in."""
+    root = scratch_path(spark, "raw_ticker")
+    usd = F.struct(F.col("c_acctbal").cast("string").alias("price"), F.lit("n/a").alias("volume_24h"))
+    record = F.struct(
+        F.concat(F.lit("c"), "c_custkey").alias("id"),
+        F.col("c_name").alias("name"),
+        F.lower("c_mktsegment").alias("symbol"),
+        F.struct(usd.alias("USD")).alias("quotes"),
+    )
+    table(spark, sf_dir, "customer").select(F.to_json(record)).write.text(f"{root}/ticker")
+    lake = Lake(spark, f"{root}/lake")
+    for _ in range(2):
+        run_all(lake, {TICKER.name: f"{root}/ticker"}, attempts=1)
+    quoted = F.expr("variant_get(raw_data, '$.quotes.USD.price', 'string')").alias("quoted")
+    history = lake.raw(TICKER).select("coin_id", "symbol", quoted, F.col("ingested_at").isNotNull().alias("stamped"))
+    now = lake.unified.read(TICKER.name)
+    filled = [F.col(c).isNotNull() for c in ("id", "created_at", "updated_at", "source_updated_at")]
+    kept = now.select("coin_id", "price_usd", functools.reduce(lambda a, b: a & b, filled).alias("filled"))
+    return history.join(kept, "coin_id")
+
+
+RAW_TICKER = """
+SELECT concat('c', c_custkey) AS coin_id, lower(c_mktsegment) AS symbol,
+       CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS DOUBLE)::VARCHAR AS quoted, TRUE AS stamped,
+       CAST(c_acctbal AS DOUBLE) AS price_usd, TRUE AS filled
+FROM customer, (VALUES (1), (2)) AS loads(n)
+"""
+
+
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files arriving in two lots, loaded incrementally; the run log counts each."""
     root = scratch_path(spark, "arrivals")
@@ -647,6 +677,7 @@ QUERIES = {
     "drift_log": drift_log,
     "keyed_table_groups": keyed_table_groups,
     "raw_market": raw_market,
+    "raw_ticker": raw_ticker,
     "drift_state": drift_state,
     "raw_since": raw_since,
     "stream_listed_load": stream_listed_load,
@@ -673,6 +704,7 @@ ORACLE = {
     "drift_log": DRIFT_LOG,
     "keyed_table_groups": KEYED_TABLE_GROUPS,
     "raw_market": RAW_MARKET,
+    "raw_ticker": RAW_TICKER,
     "drift_state": DRIFT_STATE,
     "raw_since": RAW_SINCE,
     "stream_listed_load": STREAM_LISTED_LOAD,

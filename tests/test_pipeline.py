@@ -227,6 +227,23 @@ def test_json_streams(spark, lake, tmp_path, spec):
     assert lake.unified.read().filter(F.col("source") == spec.name).count() == len(rows)
 
 
+def test_split_arrays_load_as_whole_ones(spark, lake, tmp_path):
+    page = [{"id": f"m{i}", "name": 'M},{"', "symbol": "m", "market_cap": i, "extra": [{"x": i}]} for i in range(200)]
+    write(tmp_path / "in" / "1.json", json.dumps(page + [{"id": "m0", "name": "last", "symbol": "m", "market_cap": 7}]))
+    split = replace(MARKET, layout="json_array_split")
+    other = Lake(spark, str(tmp_path / "other"))
+    streamed = Lake(spark, str(tmp_path / "streamed"))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "500"}):
+        for kept, spec in ((lake, MARKET), (other, split)):
+            kept.create_tables()
+            run_source(kept, spec, lambda spec=spec: scan_source(spark, spec, str(tmp_path / "in")), None)
+        load_new_files(streamed, split, str(tmp_path / "in"), str(tmp_path / "cp"))
+    columns = ("coin_id", "name", "symbol", "market_cap_usd")
+    want, *got = (sorted(map(tuple, k.unified.read().select(*columns).collect())) for k in (lake, other, streamed))
+    assert len(want) == 200 and got == [want, want]
+    assert want[0] == ("m0", 'M},{"', "M", 7.0)
+
+
 def test_several_polls_keep_every_entity(spark, lake, tmp_path):
     for poll in range(4):
         page = [{"id": f"m{i}", "name": "M", "symbol": "m", "market_cap": i, "current_price": poll} for i in range(60)]
