@@ -9,9 +9,10 @@ from quotelake.catalog import table
 from quotelake.functions import coerce
 from quotelake.operators.unify import meets_contract, unify, union_all
 from quotelake.operators.validate import REASONS, accepted, record_counts, validate
-from quotelake.session import scratch_path, sibling
+from quotelake.session import scratch_path
 from quotelake.sources import listing
 from quotelake.sources.csv_files import scan_csv
+from quotelake.sources.json_arrays import split_session
 from quotelake.sources.json_files import scan_json
 from quotelake.specs import CSV, MARKET, TICKER
 
@@ -338,8 +339,7 @@ def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.partitionBy("page")
         .text(path)
     )
-    reader = sibling(spark)  # the split size is a setting of a session
-    reader.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
+    reader = split_session(spark, SPLIT_BYTES)
     field = listing.variant_field
     return scan_json(reader, path, "json_array_split").select(
         F.try_variant_get(field("record", "doc_id"), "$", "bigint").alias("doc_id"),

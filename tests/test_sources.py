@@ -1,15 +1,17 @@
 """Scans of landed CSV and JSON files and the listing operators."""
 
+import hashlib
 import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from quotelake.catalog import records as record_queries
 from quotelake.functions.coerce import json_to_string
 from quotelake.session import settings
 from quotelake.sources import csv_files, listing
-from quotelake.sources.json_files import scan_json
+from quotelake.sources.json_files import read_json, scan_json
 
 
 def write(path, text):
@@ -175,6 +177,35 @@ def test_split_arrays_read_once(spark, tmp_path):
     assert "ReusedExchange" in final and final.count("FileScan text") == 1
 
 
+def test_split_arrays_count_a_piece_once(spark, tmp_path):
+    path = write(tmp_path / "a.json", json.dumps([{"id": i, "x": '\\"[{'} for i in range(300)]))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "1000"}):
+        df = scan_json(spark, path, "json_array_split")
+        assert df.count() == 300
+        df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert final.count("regexp_replace(value") == 1  # and not in both uses of the pieces
+
+
+def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    dice, scans = random.Random(3), []
+    texts = ["".join(dice.choices(ODD, k=30_000)) for _ in range(30)]
+    rows = [(i, text, "en", len(text)) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    monkeypatch.setattr(record_queries, "scan_json", lambda *a: scans.append(a) or scan_json(*a))
+    got = record_queries.json_array_split(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text_md5, r.n_chars, r.malformed) for r in got) == [
+        (i, hashlib.md5(text.encode()).hexdigest(), n, False) for i, text, _, n in rows
+    ]
+    pieces = read_json(*scans[0])
+    splits = pieces.select("_file_path", "_file_block").distinct().count()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert splits > 5 * tasks and pieces.rdd.getNumPartitions() <= 2 * tasks
+
+
 def test_json_lines(spark, tmp_path):
     path = write(tmp_path / "a.json", '{"id":"a","x":null}\n\n   \nnot json\n{"id":"b"}\n')
     df = scan_json(spark, path, "ndjson").orderBy("ord")
