@@ -8,6 +8,10 @@ a document with a smaller id has in the same block of the scan is settled there
 word groups that make up a large share of the corpus get the last ranks, so that they
 name only windows that hold nothing rarer.  A bucket that is too large all the same is
 dealt out once more, by whole windows.
+
+Packed strings overlap: with the ids they carry, they take about four times the text.  So
+the texts are scanned more than once, each time for a part of the buckets, and the
+strings of one part are gone before the next are packed.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +31,12 @@ from pyspark.sql import functions as F
 from quotelake.llm.arrow import ROWS, sliced
 from quotelake.llm.scratch import materialised
 from quotelake.llm.words import equal_groups, hashes, mix, pack, spans, windows
+from quotelake.session import settings
 
 GRAM = 3  # words that make up a minimiser
 BLOCK = 4 << 20  # bytes of words handled at a time
+PACKED = 4  # times the text: packed strings and the ids they carry
+ROUND = 64 << 20  # bytes of text of which all buckets are packed at once
 _LAST = np.uint64(1 << 63)
 _NO_ID = np.iinfo(np.int64).max  # rows without id come after all others
 
@@ -141,8 +149,8 @@ def _repeats(b: _Block, at: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _scatter(batches: Iterator[pa.RecordBatch], k: int, frequent: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Super-k-mers, packed by bucket, and the ranges that a block can settle itself."""
+def _scatter(batches: Iterator[pa.RecordBatch], k: int, frequent: np.ndarray, buckets: int, turn: int = 0, rounds: int = 1) -> Iterator[pa.RecordBatch]:
+    """Super-k-mers of this turn's buckets, packed by bucket, and the ranges of theirs that a block can settle itself."""
     squeeze = zstandard.ZstdCompressor(level=1)
     for b in _blocks(batches, k, k):
         n = len(b.starts) - k + 1
@@ -156,15 +164,17 @@ def _scatter(batches: Iterator[pa.RecordBatch], k: int, frequent: np.ndarray, bu
             step = min(width, k - GRAM + 1 - width)
             least = np.minimum(least[: len(least) - step], least[step:])
             width += step
+        dealt = mix(least[at])
+        at, dealt = (x[dealt % np.uint64(rounds) == turn] for x in (at, dealt))
         settled = _repeats(b, at, k)
         word = b.place(at)
         rows = [(int(d & 0x7FFFFFFF) % buckets, None, d, h, f) for d, h, f in _ranges(settled, word, word + k, b.doc[b.piece[at]], b.text_hash[b.piece[at]])]
-        at, word = at[~settled], word[~settled]
+        at, word, dealt = at[~settled], word[~settled], dealt[~settled]
         if len(at):
             new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (least[at[1:]] != least[at[:-1]])))
             first = np.flatnonzero(new)
             last = np.concatenate((first[1:] - 1, [len(at) - 1]))
-            bucket = (mix(least[at[first]]) % np.uint64(buckets)).astype(np.int64)
+            bucket = (dealt[first] // np.uint64(rounds) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             first, last, bucket = first[order], last[order], bucket[order]
             low, high = b.starts[at[first]], b.ends[at[last] + k - 1]
@@ -281,12 +291,20 @@ def _gather(batches: Iterator[pa.RecordBatch], k: int, limit: int, shares: int)
         yield out(found)
 
 
-def repeated_ranges(docs: DataFrame, k: int = 13, share: float = 1e-4, bucket_bytes: int = 16 << 20) -> DataFrame:
+def _once(df: DataFrame, label: str) -> DataFrame:
+    """As ``materialised``, for rows that are not made again: what was shuffled for them goes at once."""
+    with settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return materialised(df, label)
+
+
+def repeated_ranges(docs: DataFrame, k: int = 13, share: float = 1e-4, bucket_bytes: int = 16 << 20, rounds: int | None = None) -> DataFrame:
     """(doc, text_hash, found): for documents with a repeated window, the word ranges that they cover.
 
     ``share`` is the part of all words from which on a word group is ranked last; at most
     4 / ``share`` groups are.  ``bucket_bytes`` is the amount of packed text that a task
     sorts at once; a bucket with more text of its own than that is dealt out once more.
+    The buckets are filled in ``rounds`` scans, each of which packs its part of the
+    windows: by default in two, or in one if the text is small.
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -301,16 +319,22 @@ def repeated_ranges(docs: DataFrame, k: int = 13, share: float = 1e-4, bucket_by
     often = counted.filter(F.col("gram").isNotNull() & (F.col("n") >= max(2, share * words))).select("gram").collect()
     frequent = np.unique(np.array([r[0] for r in often], np.int64).view(np.uint64) >> np.uint64(1))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(max(4 * tasks, 3 * size // bucket_bytes + 1), 1 << 30)
-    # a task takes several buckets, one after another
-    moved = (
-        texts.mapInArrow(lambda b: _scatter(b, k, frequent, buckets), "bucket int, blob binary, doc bigint, text_hash bigint, found binary")
-        .repartitionById(max(tasks, buckets // 16), F.col("bucket") % F.lit(max(tasks, buckets // 16)))
-        .sortWithinPartitions("bucket")
-    )
-    rows = "bucket int, blob binary, doc bigint, text_hash bigint, found binary"
+    rounds = rounds or (2 if size > ROUND else 1)
+    # half full when they are even
+    buckets = min(-(-max(4 * tasks, 2 * PACKED * size // bucket_bytes + 1) // rounds), 1 << 30)
+    parts = max(tasks, buckets // 16)  # a task takes several buckets, one after another
     shares = 8 * tasks
-    found = materialised(moved.mapInArrow(lambda b: _gather(b, k, bucket_bytes, shares), rows), "gathered")
+    rows = "bucket int, blob binary, doc bigint, text_hash bigint, found binary"
+
+    def gathered(turn: int) -> DataFrame:
+        moved = (
+            texts.mapInArrow(lambda b: _scatter(b, k, frequent, buckets, turn, rounds), rows)
+            .repartitionById(parts, F.col("bucket") % F.lit(parts))
+            .sortWithinPartitions("bucket")
+        )
+        return _once(moved.mapInArrow(lambda b: _gather(b, k, bucket_bytes, shares), rows), "gathered")
+
+    found = reduce(DataFrame.unionByName, [gathered(turn) for turn in range(rounds)])
     # what left the buckets that were too large: a share of one bucket is a bucket here
     left = found.filter(F.col("blob").isNotNull())
     if not left.isEmpty():
@@ -363,7 +387,7 @@ def _cut_rows(docs: DataFrame, k: int, options: dict, name: str, of) -> DataFram
 
 
 def _with_ranges(docs: DataFrame, k: int, options: dict) -> DataFrame:
-    ranges = materialised(repeated_ranges(docs, k, **options), "ranges")
+    ranges = _once(repeated_ranges(docs, k, **options), "ranges")
     key = F.coalesce(F.col("doc_id"), F.lit(_NO_ID))
     rows = docs.select("doc_id", "text", key.alias("doc"), F.xxhash64("text").alias("text_hash"))
     return rows.join(ranges, ["doc", "text_hash"], "left")

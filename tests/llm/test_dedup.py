@@ -190,6 +190,51 @@ def test_a_bucket_with_most_windows_is_dealt_out():
     assert words(rows) == words(want) and len(words(want)) == 5 * 400
 
 
+def test_rounds_pack_every_window_once():
+    import pyarrow as pa
+    import zstandard
+
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(300)) for _ in range(30)]
+    texts += texts[:4]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text_hash": i, "text": t} for i, t in enumerate(texts)])
+    rare, inflate = np.zeros(0, np.uint64), zstandard.ZstdDecompressor()
+
+    def packed(turn, rounds):
+        rows = [r for b in substrings._scatter([batch], 13, rare, 8, turn, rounds) for r in b.to_pylist()]
+        windows = [(int(d), a) for r in rows if r["blob"] for d, _, w, n in substrings._unpacked(inflate, r["blob"])[0].T.tolist() for a in range(w, w + n - 12)]
+        covered = {(r["doc"], i) for r in rows if r["found"] for a, z in np.frombuffer(r["found"], "<i8").reshape(-1, 2).tolist() for i in range(a, z)}
+        return windows, covered, {r["bucket"] for r in rows if r["blob"]}
+
+    whole, all_covered, _ = packed(0, 1)
+    turns = [packed(turn, 3) for turn in range(3)]
+    assert sorted(w for t in turns for w in t[0]) == sorted(whole) and len(set(whole)) == len(whole) == 30 * 288
+    assert set().union(*(t[1] for t in turns)) == all_covered and len(all_covered) == 4 * 300
+    assert all(len(t[0]) < 0.5 * len(whole) and t[2] == set(range(8)) for t in turns)
+
+
+def test_packed_strings_of_a_round_are_gone_before_the_next(spark, monkeypatch):
+    import os
+    import time
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    held = lambda: {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+    rows, steps, store = corpus(), [], substrings.materialised
+
+    def materialised(df, label):
+        before, out, until = held(), store(df, label), time.time() + 10
+        while held() - before and time.time() < until and label == "gathered":  # files go a moment after the step
+            time.sleep(0.1)
+        steps.append((label, label == "gathered" and len(held() - before)))
+        return out
+
+    monkeypatch.setattr(substrings, "materialised", materialised)
+    monkeypatch.setattr(substrings, "ROUND", 0, raising=False)
+    got = substrings.remove_repeats(frame(spark, rows), 13).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == plain_repeats(rows, 13)
+    assert steps == [("grams", False), ("gathered", 0), ("gathered", 0), ("ranges", False)]
+
+
 def test_pieces_of_a_long_text_cover_every_window(monkeypatch):
     import pyarrow as pa
 
